@@ -40,7 +40,7 @@ def _norm(v, approx: bool):
             return ("f", "nan")
         if approx and v != 0 and not math.isinf(v):
             return ("f", float(f"{v:.9g}"))
-        return ("f", v + 0.0)
+        return ("f", repr(v))
     if isinstance(v, int):
         return ("i", v)
     if isinstance(v, Decimal):
