@@ -1 +1,226 @@
-"""Registered queries (filled in below)."""
+"""Indexing, feature pipeline and MLlib model queries.
+
+Naive Bayes has a closed form (class priors and per-class feature log-frequencies), so its
+fitted parameters get a SQL oracle. LR, RF and GBT results depend on MLlib's optimisers and
+tree induction: their queries return one row per test flow with invariant flags and get a
+rows-only check.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from flowguard.catalog import register
+from flowguard.checks.sql import EVENTS_RULES, with_
+from flowguard.config import ExperimentConfig
+from flowguard.operators import features, models
+from flowguard.operators.split import split_by_hash, split_by_source
+from flowguard.operators.weights import add_class_weights
+from flowguard.plans.experiment import run_both_splits as run_both_splits_plan
+from flowguard.plans.experiment import run_experiment as run_experiment_plan
+from flowguard.plans.experiment import tagged_comparison
+from flowguard.session import materialize
+from flowguard.sources.tables import (
+    DOCUMENT_FEATURES,
+    EMBEDDING_DIM,
+    LINEITEM_FEATURES,
+    document_flows,
+    embedding_flows,
+    event_flows,
+    event_labels,
+    event_rule_predictions,
+    lineitem_flows,
+    table,
+)
+
+TRAIN_DAYS = [f"day-{y}.csv" for y in range(1995, 2000)]
+TEST_DAYS = [f"day-{y}.csv" for y in range(2000, 2002)]
+SAN = "CASE WHEN isnan({x}) OR {x} <= 0 OR {x} = CAST('Infinity' AS DOUBLE) THEN 0.0::DOUBLE ELSE {x} END"
+
+
+@register("index_labels", with_(EVENTS_RULES) + """
+SELECT e.event_id, e.event_type AS label, l.label_idx FROM events e JOIN ev_lbl l ON e.event_type = l.label""")
+def index_labels(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("label"))
+    out, _ = features.index_labels(ev, "label")
+    return out
+
+
+def _rank_sql(expr: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT {expr} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {expr}) - 1 AS DOUBLE) AS idx
+  FROM lineitem GROUP BY {expr})"""
+
+
+SERVICE = "'svc' || CAST(l_partkey % 41 AS STRING)"
+
+
+@register("index_categories", "WITH " + ",\n".join([
+    _rank_sql("l_returnflag", "rf"), _rank_sql("l_linestatus", "ls"), _rank_sql(SERVICE, "sv")]) + f"""
+SELECT l.l_orderkey, l.l_linenumber, rf.idx AS l_returnflag_idx, ls.idx AS l_linestatus_idx, sv.idx AS service_idx
+FROM lineitem l JOIN rf ON l.l_returnflag = rf.v JOIN ls ON l.l_linestatus = ls.v JOIN sv ON {SERVICE} = sv.v""")
+def index_categories(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", F.expr(SERVICE).alias("service"))
+    out, _ = features.index_categories(li, ["l_returnflag", "l_linestatus", "service"])
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag_idx", "l_linestatus_idx", "service_idx")
+
+
+@register("index_to_label", with_(EVENTS_RULES) + """
+SELECT p.event_id, coalesce(n.name, CAST(CAST(p.pred_rule_b AS INTEGER) AS VARCHAR)) AS predicted_label
+FROM ev_pred p LEFT JOIN ev_names n ON p.pred_rule_b = n.idx""")
+def index_to_label(spark, sf_dir):
+    pred = event_rule_predictions(spark, sf_dir)
+    labels = event_labels(spark, sf_dir)
+    return features.index_to_label(pred, "pred_rule_b", labels, "predicted_label").select("event_id", "predicted_label")
+
+
+def _lineitem_split(spark, sf_dir):
+    flows = lineitem_flows(spark, sf_dir)
+    return split_by_source(flows, TRAIN_DAYS, TEST_DAYS)
+
+
+LI_TRAIN = f"""
+tr AS (
+  SELECT l_returnflag AS label, {SAN.format(x='l_quantity')} AS f0, {SAN.format(x='l_extendedprice')} AS f1,
+         {SAN.format(x='l_discount')} AS f2, {SAN.format(x='l_tax')} AS f3
+  FROM lineitem WHERE year(l_shipdate) <= 1999),
+lbl AS (
+  SELECT label, CAST(row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS DOUBLE) AS label_idx FROM tr GROUP BY label)"""
+
+
+@register("feature_pipeline", f"""WITH {LI_TRAIN}
+SELECT t.l_orderkey, t.l_linenumber, coalesce(lbl.label_idx, CAST((SELECT count(*) FROM lbl) AS DOUBLE)) AS label_idx,
+  {SAN.format(x='t.l_quantity')} AS f_0, {SAN.format(x='t.l_extendedprice')} AS f_1,
+  {SAN.format(x='t.l_discount')} AS f_2, {SAN.format(x='t.l_tax')} AS f_3
+FROM lineitem t LEFT JOIN lbl ON t.l_returnflag = lbl.label WHERE year(t.l_shipdate) >= 2000""")
+def feature_pipeline(spark, sf_dir):
+    """Fit indexers + sanitising + assembler on the training days; transform the test days."""
+    train, test = _lineitem_split(spark, sf_dir)
+    pipe = features.feature_pipeline(LINEITEM_FEATURES)
+    prep = pipe.fit(train)
+    arr = vector_to_array(F.col("features"))
+    return prep.transform(test).select(
+        "l_orderkey", "l_linenumber", "label_idx", *[arr[i].alias(f"f_{i}") for i in range(len(LINEITEM_FEATURES))]
+    )
+
+
+@register("preprocess", """
+SELECT l_orderkey, l_linenumber, CASE WHEN upper(trim(l_returnflag)) = 'N' THEN 'normal' ELSE 'attack' END AS label
+FROM lineitem""")
+def preprocess(spark, sf_dir):
+    from flowguard.plans.experiment import prepare
+
+    cfg = ExperimentConfig(mode="binary", normal_label="N")
+    return prepare(lineitem_flows(spark, sf_dir), cfg).select("l_orderkey", "l_linenumber", "label")
+
+
+@register("naive_bayes", f"""WITH {LI_TRAIN},
+tot AS (SELECT count(*) AS n_all, (SELECT count(*) FROM lbl) AS k FROM tr),
+cls AS (
+  SELECT lbl.label_idx, count(*) AS n, sum(f0) AS s0, sum(f1) AS s1, sum(f2) AS s2, sum(f3) AS s3
+  FROM tr JOIN lbl ON tr.label = lbl.label GROUP BY lbl.label_idx),
+feat AS (
+  SELECT label_idx, n, unnest([0, 1, 2, 3]) AS feature, unnest([s0, s1, s2, s3]) AS s, s0 + s1 + s2 + s3 AS s_all FROM cls)
+SELECT label_idx, feature, round(ln(n + 1.0) - ln(n_all + k * 1.0), 6) AS pi,
+       round(ln(s + 1.0) - ln(s_all + 4 * 1.0), 6) AS theta
+FROM feat, tot""")
+def naive_bayes(spark, sf_dir):
+    """Multinomial NB (smoothing 1) on the training days: fitted log priors and log conditionals."""
+    train, _ = _lineitem_split(spark, sf_dir)
+    prep = features.feature_pipeline(LINEITEM_FEATURES).fit(train)
+    train_p = prep.transform(train).select("label_idx", "features")
+    nb = models.build_classifier("naive_bayes", ExperimentConfig(class_weights=False)).fit(train_p)
+    pi, theta = nb.pi.toArray(), nb.theta.toArray()  # classes x features: model parameters
+    rows = [(float(c), j, float(pi[c]), float(theta[c][j])) for c in range(len(pi)) for j in range(theta.shape[1])]
+    params = spark.createDataFrame(rows, "label_idx double, feature int, pi double, theta double")
+    return params.select("label_idx", "feature", F.round("pi", 6).alias("pi"), F.round("theta", 6).alias("theta"))
+
+
+def _invariants(scored, name: str, n_labels: int, key: str):
+    prob = vector_to_array(F.col(models.prob_col(name)))
+    total = F.aggregate(prob, F.lit(0.0), lambda a, x: a + x)
+    return scored.select(
+        key, "label_idx", F.col(models.pred_col(name)).alias("prediction"),
+        (F.abs(total - 1.0) < 1e-6).alias("prob_sums_to_one"),
+        (F.col(models.pred_col(name)) <= n_labels).alias("known_class"),
+    )
+
+
+def _single_model_query(key: str, name: str, flows_fn, feats, id_col: str, weighted: bool):
+    @register(key)
+    def q(spark, sf_dir):
+        flows = flows_fn(spark, sf_dir)
+        train, test = split_by_hash(flows, [id_col], 0.8, 42)
+        prep = features.feature_pipeline(feats).fit(train)
+        labels = features.fitted_label_names(prep)
+        train_p = prep.transform(train).select("label_idx", "features")
+        if weighted:
+            train_p = add_class_weights(train_p, "label_idx")
+        train_p = materialize(train_p)
+        cfg = ExperimentConfig(class_weights=weighted, rf_trees=15, gbt_iter=20, lr_iter=100)
+        fitted = models.build_classifier(name, cfg).fit(train_p)
+        scored = fitted.transform(prep.transform(test).select(id_col, "label_idx", "features"))
+        return _invariants(scored, name, len(labels), id_col)
+
+    q.__name__ = key
+    q.__doc__ = f"{name} on a hash split of {flows_fn.__name__}: one row per test flow with invariant flags."
+    return q
+
+
+EMB_FEATURES = [f"e_{i}" for i in range(EMBEDDING_DIM)]
+_single_model_query("logistic_regression", "logistic_regression", embedding_flows, EMB_FEATURES, "vec_id", True)
+_single_model_query("random_forest", "random_forest", embedding_flows, EMB_FEATURES, "vec_id", True)
+_single_model_query("gradient_boosted_trees", "gradient_boosted_trees", document_flows, DOCUMENT_FEATURES, "doc_id", True)
+
+
+@register("train_models")
+def train_models(spark, sf_dir):
+    """Fit NB, LR and RF in training order on the lineitem training days; one row per model."""
+    train, _ = _lineitem_split(spark, sf_dir)
+    prep = features.feature_pipeline(LINEITEM_FEATURES).fit(train)
+    train_p = materialize(add_class_weights(prep.transform(train).select("label_idx", "features"), "label_idx"))
+    cfg = ExperimentConfig(models=("nb", "lr", "rf"))
+    names, _ = models.select_models(cfg, n_classes=len(features.fitted_label_names(prep)))
+    fitted = models.train_models(train_p, names, cfg)
+    rows = [(i, n, float(s) > 0.0) for i, (n, _, s) in enumerate(fitted)]
+    return spark.createDataFrame(rows, "position int, model string, timed boolean")
+
+
+@register("score_models")
+def score_models(spark, sf_dir):
+    """NB and RF fitted on the training days score the test days in one chained pass."""
+    train, test = _lineitem_split(spark, sf_dir)
+    prep = features.feature_pipeline(LINEITEM_FEATURES).fit(train)
+    train_p = materialize(add_class_weights(prep.transform(train).select("label_idx", "features"), "label_idx"))
+    cfg = ExperimentConfig(fast=True)
+    fitted = models.train_models(train_p, models.select_models(cfg)[0], cfg)
+    scored = models.score_models(prep.transform(test).select("l_orderkey", "l_linenumber", "label_idx", "features"), fitted)
+    return scored.select("l_orderkey", "l_linenumber", "label_idx",
+                         *[models.pred_col(n) for n, _, _ in fitted])
+
+
+def _comparison_out(df):
+    return df.select("model", "position", "kind", "accuracy", "precision", "recall", "f1_weighted", "f1_macro")
+
+
+@register("run_experiment")
+def run_experiment(spark, sf_dir):
+    """File split of lineitem flows (days <= 1999 train), multiclass, NB + LR + RF (+ votes)."""
+    cfg = ExperimentConfig(mode="multiclass", split="file", sample_fraction=1.0, train_sources=tuple(TRAIN_DAYS),
+                           test_sources=tuple(TEST_DAYS), models=("nb", "lr", "rf"), lr_iter=50)
+    flows = lineitem_flows(spark, sf_dir).drop("l_orderkey", "l_linenumber")
+    res = run_experiment_plan(flows, cfg)
+    return _comparison_out(res.comparison)
+
+
+@register("run_both_splits")
+def run_both_splits(spark, sf_dir):
+    """Binary events (normal = view): random split and file split by day, all four models."""
+    days = [f"day-2024-01-{d:02d}" for d in range(1, 31)]
+    cfg = ExperimentConfig(mode="binary", normal_label="view", sample_fraction=1.0, train_sources=tuple(days[:24]),
+                           test_sources=tuple(days[24:]), gbt_iter=10, lr_iter=50)
+    flows = event_flows(spark, sf_dir).drop("event_id")
+    res = run_both_splits_plan(flows, cfg)
+    return tagged_comparison(res).select("split", "model", "position", "kind", "f1_macro")
