@@ -1 +1,202 @@
-"""Registered queries (filled in below)."""
+"""Report tables, chart data and result-file sinks over the rule-predictor evaluation on events.
+
+Sink queries write with Spark's writers into the shared scratch folder and return what was
+read back, so the check covers the file contents (rounding, columns, partition folders).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from flowguard.catalog import R, register
+from flowguard.checks.q_votes import rule_evaluation
+from flowguard.checks.sql import RULE_METRICS
+from flowguard.operators.metrics import confusion_by_label
+from flowguard.operators.profile import label_distribution
+from flowguard.operators.ranking import best_single as best_single_op
+from flowguard.plans import charts, report
+from flowguard.session import scratch_path
+from flowguard.sinks import writers
+from flowguard.sources.tables import table
+
+PRETTY_SQL = ("array_to_string(list_transform(string_split(replace({m}, '_', ' '), ' '), "
+              "lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')")
+BEST_SINGLE_SQL = "(SELECT model FROM ev_cmp WHERE kind = 'single' ORDER BY f1_macro DESC, position LIMIT 1)"
+PCT = "round(CAST(count(*) AS DOUBLE) * 100.0::DOUBLE / sum(count(*)) OVER (), 4)"
+
+
+def _r(c, digits=R):
+    return F.round(F.col(c), digits).alias(c)
+
+
+def _events_label_dist(spark, sf_dir):
+    return label_distribution(table(spark, sf_dir, "events").select(F.col("event_type").alias("label")), "label")
+
+
+@register("pretty_model_name", RULE_METRICS + f"SELECT model, {PRETTY_SQL.format(m='model')} AS display_name FROM ev_cmp")
+def pretty_model_name(spark, sf_dir):
+    return charts.pretty_model_name(rule_evaluation(spark, sf_dir).comparison).select("model", "display_name")
+
+
+@register("chart_label_counts", "SELECT event_type AS label, count(*) AS count FROM events GROUP BY event_type")
+def chart_label_counts(spark, sf_dir):
+    return charts.chart_label_counts(_events_label_dist(spark, sf_dir))
+
+
+@register("chart_model_f1", RULE_METRICS + f"""
+SELECT model, {PRETTY_SQL.format(m='model')} AS display_name,
+       CASE WHEN contains(model, 'ensemble') THEN 'ensemble' ELSE 'single' END AS kind, round(f1_macro, {R}) AS f1_macro
+FROM ev_cmp""")
+def chart_model_f1(spark, sf_dir):
+    out = charts.chart_model_f1(rule_evaluation(spark, sf_dir).comparison)
+    return out.select("model", "display_name", "kind", _r("f1_macro"))
+
+
+@register("chart_multi_metric", RULE_METRICS + f"""
+SELECT model, metric, round(value, {R}) AS value FROM (
+  UNPIVOT (SELECT model, accuracy, precision, recall, f1_macro FROM ev_cmp)
+  ON accuracy, precision, recall, f1_macro INTO NAME metric VALUE value) t""")
+def chart_multi_metric(spark, sf_dir):
+    out = charts.chart_multi_metric(rule_evaluation(spark, sf_dir).comparison)
+    return out.select("model", "metric", _r("value"))
+
+
+@register("chart_single_vs_ensemble", RULE_METRICS + f"""
+SELECT kind, model, round(f1_macro, {R}) AS f1_macro,
+       row_number() OVER (PARTITION BY kind ORDER BY f1_macro DESC, position) AS rank_in_kind FROM ev_cmp""")
+def chart_single_vs_ensemble(spark, sf_dir):
+    out = charts.chart_single_vs_ensemble(rule_evaluation(spark, sf_dir).comparison)
+    return out.select("kind", "model", _r("f1_macro"), "rank_in_kind")
+
+
+@register("chart_class_f1_heatmap", RULE_METRICS + """
+PIVOT (SELECT class_label, model, f1 FROM ev_pcn) ON model USING first(f1) GROUP BY class_label""")
+def chart_class_f1_heatmap(spark, sf_dir):
+    return charts.chart_class_f1_heatmap(rule_evaluation(spark, sf_dir).per_class)
+
+
+@register("chart_accuracy_recall", RULE_METRICS + f"""
+SELECT model, kind, round(recall, {R}) AS recall, accuracy FROM ev_cmp""")
+def chart_accuracy_recall(spark, sf_dir):
+    out = charts.chart_accuracy_recall(rule_evaluation(spark, sf_dir).comparison)
+    return out.select("model", "kind", _r("recall"), "accuracy")
+
+
+@register("chart_accuracy_f1", RULE_METRICS + f"""
+SELECT model, kind, accuracy, round(f1_macro, {R}) AS f1_macro FROM ev_cmp""")
+def chart_accuracy_f1(spark, sf_dir):
+    out = charts.chart_accuracy_f1(rule_evaluation(spark, sf_dir).comparison)
+    return out.select("model", "kind", "accuracy", _r("f1_macro"))
+
+
+@register("chart_training_time", RULE_METRICS + """
+SELECT model, 0.0::DOUBLE AS train_time_sec FROM ev_cmp""")
+def chart_training_time(spark, sf_dir):
+    return charts.chart_training_time(rule_evaluation(spark, sf_dir).comparison).select("model", "train_time_sec")
+
+
+@register("chart_ensemble_gain", RULE_METRICS + f""",
+best AS (SELECT * FROM ev_cmp WHERE kind = 'single' ORDER BY f1_macro DESC, position LIMIT 1),
+bl AS (UNPIVOT (SELECT model, accuracy, precision, recall, f1_macro FROM best)
+       ON accuracy, precision, recall, f1_macro INTO NAME metric VALUE best_single_value),
+el AS (UNPIVOT (SELECT model, accuracy, precision, recall, f1_macro FROM ev_cmp WHERE kind = 'ensemble')
+       ON accuracy, precision, recall, f1_macro INTO NAME metric VALUE ensemble_value)
+SELECT el.model AS ensemble, bl.model AS best_single, el.metric, round(bl.best_single_value, {R}) AS best_single_value,
+       round(el.ensemble_value, {R}) AS ensemble_value, round(el.ensemble_value - bl.best_single_value, {R}) AS gain
+FROM el JOIN bl ON el.metric = bl.metric""")
+def chart_ensemble_gain(spark, sf_dir):
+    out = charts.chart_ensemble_gain(rule_evaluation(spark, sf_dir).comparison)
+    return out.select("ensemble", "best_single", "metric", _r("best_single_value"), _r("ensemble_value"), _r("gain"))
+
+
+@register("chart_confusion_dense", RULE_METRICS + f""",
+cells AS (
+  SELECT actual_label, predicted_label, count FROM ev_confn
+  WHERE model = {BEST_SINGLE_SQL} AND predicted_label IS NOT NULL),
+classes AS (SELECT actual_label AS k FROM cells UNION SELECT predicted_label FROM cells)
+PIVOT (SELECT * FROM cells UNION ALL SELECT k, k, 0 FROM classes) ON predicted_label
+USING CAST(coalesce(sum(count), 0) AS BIGINT) GROUP BY actual_label""")
+def chart_confusion_dense(spark, sf_dir):
+    ev = rule_evaluation(spark, sf_dir)
+    best = best_single_op(ev.comparison).first()["best_single"]  # one model name
+    return charts.chart_confusion_dense(ev.confusion, ev.labels, best)
+
+
+# ---- sinks: write, read back ------------------------------------------------------------------
+
+@register("write_label_distribution", f"""
+SELECT event_type AS label, count(*) AS count, {PCT} AS percent FROM events GROUP BY event_type""")
+def write_label_distribution(spark, sf_dir):
+    path = writers.write_label_distribution(_events_label_dist(spark, sf_dir), scratch_path(spark, "label-dist"))
+    return spark.read.schema(writers.LABEL_DIST_SCHEMA).option("header", True).csv(path)
+
+
+CMP6 = """SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1_weighted, 6) AS f1_weighted, round(f1_macro, 6) AS f1_macro, 0.0::DOUBLE AS train_time_sec"""
+
+
+@register("write_comparison", RULE_METRICS + CMP6 + " FROM ev_cmp")
+def write_comparison(spark, sf_dir):
+    path = writers.write_comparison(rule_evaluation(spark, sf_dir).comparison, scratch_path(spark, "comparison"))
+    return spark.read.schema(writers.COMPARISON_SCHEMA).option("header", True).csv(path)
+
+
+@register("write_single_ensemble", RULE_METRICS + CMP6 + ", kind FROM ev_cmp")
+def write_single_ensemble(spark, sf_dir):
+    path = writers.write_single_ensemble(rule_evaluation(spark, sf_dir).comparison, scratch_path(spark, "single-ens"))
+    schema = StructType([*writers.COMPARISON_SCHEMA.fields, StructField("kind", StringType())])
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@register("write_per_class", RULE_METRICS + """
+SELECT model, class_label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support
+FROM ev_pcn""")
+def write_per_class(spark, sf_dir):
+    path = writers.write_per_class(rule_evaluation(spark, sf_dir).per_class, scratch_path(spark, "per-class"))
+    return spark.read.schema(writers.PER_CLASS_SCHEMA).option("header", True).csv(path)
+
+
+@register("write_confusion", RULE_METRICS + f"""
+SELECT actual_label, predicted_label, count FROM ev_confn WHERE model = {BEST_SINGLE_SQL}""")
+def write_confusion(spark, sf_dir):
+    ev = rule_evaluation(spark, sf_dir)
+    best = best_single_op(ev.comparison).first()["best_single"]
+    named = confusion_by_label(ev.confusion.filter(F.col("model") == best), ev.labels)
+    path = writers.write_confusion(named, scratch_path(spark, "confusion"))
+    return spark.read.schema(writers.CONFUSION_SCHEMA).option("header", True).csv(path)
+
+
+@register("write_experiment_json", RULE_METRICS + f"""
+SELECT 'events' AS dataset, 'multiclass' AS classification_mode, 'none' AS split_mode,
+  {BEST_SINGLE_SQL} AS best_single,
+  (SELECT model FROM ev_cmp ORDER BY f1_macro DESC, position LIMIT 1) AS best_overall,
+  (SELECT count(*) FROM ev_cmp)::INTEGER AS n_models, (SELECT count(*) FROM ev_pcn)::INTEGER AS n_per_class,
+  (SELECT round(sum(f1), 6) FROM ev_pcn) AS sum_f1""")
+def write_experiment_json(spark, sf_dir):
+    ev = rule_evaluation(spark, sf_dir)
+    rec = writers.experiment_record(ev.comparison, ev.per_class, "events", "multiclass", "none")
+    path = writers.write_experiment_json(rec, scratch_path(spark, "experiment-json"))
+    back = spark.read.schema(writers.EXPERIMENT_JSON_SCHEMA).json(path)
+    return back.select(
+        "dataset", "classification_mode", "split_mode", "best_single", "best_overall",
+        F.size("comparison").alias("n_models"), F.size("per_class").alias("n_per_class"),
+        F.round(F.aggregate("per_class", F.lit(0.0), lambda a, x: a + x["f1"]), 6).alias("sum_f1"),
+    )
+
+
+@register("report_tables", RULE_METRICS + f"""
+SELECT 'table1_configuration' AS "table", key, value FROM (VALUES
+  ('dataset', 'events'), ('data_profile', 'test tables'), ('classification', 'multiclass'), ('split', 'none'),
+  ('sample_fraction', '100%'), ('class_weights', 'False'), ('fast_mode', 'False')) t(key, value)
+UNION ALL SELECT 'table1_configuration', 'total_records', CAST(count(*) AS VARCHAR) FROM events
+UNION ALL SELECT 'key_findings', 'best_single', {PRETTY_SQL.format(m=BEST_SINGLE_SQL)}
+UNION ALL SELECT 'key_findings', 'best_overall',
+  {PRETTY_SQL.format(m='(SELECT model FROM ev_cmp ORDER BY f1_macro DESC, position LIMIT 1)')}""")
+def report_tables(spark, sf_dir):
+    ev = rule_evaluation(spark, sf_dir)
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"))
+    cfg = report.report_config(events, "events", "test tables", "multiclass", "none", 1.0, False, False)
+    tables = report.report_tables(events, ev.comparison, ev.per_class, cfg)
+    return (tables["table1_configuration"].select(F.lit("table1_configuration").alias("table"), "key", "value")
+            .unionByName(tables["key_findings"].select(F.lit("key_findings").alias("table"), "key", "value")))
