@@ -8,13 +8,14 @@ from flowguard.catalog import R, register
 from flowguard.checks.sql import EVENTS_RULES, RULE_METRICS, with_
 from flowguard.operators import ensemble, metrics, ranking
 from flowguard.plans.experiment import evaluate
-from flowguard.sources.tables import RULES, event_labels, event_rule_predictions
+from flowguard.sources.tables import RULE_PROB_LENGTHS, RULES, event_labels, event_rule_predictions
 
 
 def rule_evaluation(spark, sf_dir):
     pred = event_rule_predictions(spark, sf_dir)
     labels = event_labels(spark, sf_dir)
-    return evaluate(pred, "label_idx", [(m, p, pr) for m, (p, pr) in RULES.items()], labels)
+    return evaluate(pred, "label_idx", [(m, p, pr) for m, (p, pr) in RULES.items()], labels,
+                    prob_lengths=RULE_PROB_LENGTHS)
 
 
 def _r(c: str):
@@ -37,7 +38,7 @@ SELECT event_id, generate_subscripts(prob_ensemble_soft_vote, 1) - 1 AS pos, unn
 FROM ev_all""")
 def soft_vote_probability(spark, sf_dir):
     pred = event_rule_predictions(spark, sf_dir)
-    out = ensemble.soft_vote_probability(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "prob")
+    out = ensemble.soft_vote_probability(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "prob", RULE_PROB_LENGTHS)
     return out.select("event_id", F.posexplode("prob").alias("pos", "p"))
 
 
@@ -58,7 +59,8 @@ def vector_argmax(spark, sf_dir):
 SELECT event_id, pred_ensemble_soft_vote FROM ev_all""")
 def soft_vote(spark, sf_dir):
     pred = event_rule_predictions(spark, sf_dir)
-    out = ensemble.soft_vote(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "pred_ensemble_soft_vote")
+    out = ensemble.soft_vote(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "pred_ensemble_soft_vote",
+                             lengths=RULE_PROB_LENGTHS)
     return out.select("event_id", "pred_ensemble_soft_vote")
 
 

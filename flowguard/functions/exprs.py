@@ -1,7 +1,9 @@
 """Native column expressions for cleaning, sanitising, voting and naming.
 
-These replace the reference's row-at-a-time Python UDFs with higher-order functions,
-so they stay inside whole-stage codegen and cost no Python serialisation.
+These replace the reference's row-at-a-time Python UDFs. Where the number of inputs is
+known when the plan is built (voters, vector lengths) the expressions are unrolled into
+plain scalar expressions, which whole-stage codegen compiles; Spark's higher-order
+functions (interpreted) are the fallback for lengths only known at run time.
 """
 
 from __future__ import annotations
@@ -53,29 +55,50 @@ def sanitize_array_expr(c: Column) -> Column:
 def hard_vote_expr(vote_cols: Sequence[Column]) -> Column:
     """Majority vote; a tie goes to the smallest class index; null votes are ignored.
 
-    Each vote is paired with (number of equal votes, -vote); ``array_max`` over the structs
-    then picks the most frequent vote and, among equals, the smallest. All-null -> null.
+    Unrolled over the (plan-time known) voters so it stays in whole-stage codegen: voter i
+    becomes the struct (number of voters agreeing with i, -vote_i), null when it abstains;
+    ``greatest`` skips nulls and picks the most frequent vote, the smallest among equals.
+    All-null -> null.
     """
-    votes = F.filter(F.array(*[v.cast("double") for v in vote_cols]), lambda v: v.isNotNull())
-    ranked = F.transform(
-        votes,
-        lambda v: F.struct(F.size(F.filter(votes, lambda w: w == v)).alias("n"), (-v).alias("neg")),
-    )
-    return -(F.array_max(ranked).getField("neg"))
+    votes = [v.cast("double") for v in vote_cols]
+    cands = []
+    for v in votes:
+        agree = sum((F.when(w == v, F.lit(1)).otherwise(F.lit(0)) for w in votes), F.lit(0))
+        cands.append(F.when(v.isNotNull() & ~F.isnan(v), F.struct(agree.alias("n"), (-v).alias("neg"))))
+    best = cands[0] if len(cands) == 1 else F.greatest(*cands)
+    return -(best.getField("neg"))
+
+
+# Largest (voters x vector length) to unroll; beyond it the higher-order-function form is used.
+UNROLL_LIMIT = 4096
 
 
-def soft_vote_probability_expr(prob_cols: Sequence[Column]) -> Column:
+def soft_vote_probability_expr(prob_cols: Sequence[Column], lengths: Sequence[int] | None = None) -> Column:
     """Element-wise mean of probability arrays.
 
     Shorter arrays are zero-padded to the longest; null arrays are left out of the mean;
-    all null -> null. The sum runs in column order, starting from 0.0.
+    all null -> null. The sum runs in column order, starting from 0.0. With the vector
+    lengths known (MLlib models expose ``numClasses``) the mean is unrolled into plain
+    expressions (codegen); otherwise higher-order functions handle any length.
     """
-    arrays = F.filter(F.array(*[p.cast("array<double>") for p in prob_cols]), lambda a: a.isNotNull())
-    n = F.size(arrays)
-    max_len = F.array_max(F.transform(arrays, lambda a: F.size(a)))
+    arrays = [p.cast("array<double>") for p in prob_cols]
+    n = sum((F.when(a.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for a in arrays), F.lit(0))
+    if lengths is not None and max(lengths, default=0) * len(arrays) <= UNROLL_LIMIT and arrays:
+        width = max(lengths)
+        sizes = [F.when(a.isNotNull(), F.size(a)) for a in arrays]
+        max_len = sizes[0] if len(sizes) == 1 else F.greatest(*sizes)
+        elems = []
+        for i in range(width):
+            acc = F.lit(0.0)
+            for a in arrays:
+                acc = F.when(a.isNull(), acc).otherwise(acc + F.coalesce(F.get(a, F.lit(i)), F.lit(0.0)))
+            elems.append(acc / n)
+        return F.when(n == 0, F.lit(None).cast("array<double>")).otherwise(F.slice(F.array(*elems), F.lit(1), max_len))
+    present = F.filter(F.array(*arrays), lambda a: a.isNotNull())
+    max_len = F.array_max(F.transform(present, lambda a: F.size(a)))
     mean = F.transform(
         F.sequence(F.lit(0), max_len - 1),
-        lambda i: F.aggregate(arrays, F.lit(0.0), lambda acc, a: acc + F.coalesce(F.get(a, i), F.lit(0.0))) / n,
+        lambda i: F.aggregate(present, F.lit(0.0), lambda acc, a: acc + F.coalesce(F.get(a, i), F.lit(0.0))) / n,
     )
     return (
         F.when(n == 0, F.lit(None).cast("array<double>"))

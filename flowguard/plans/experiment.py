@@ -51,10 +51,12 @@ def evaluate(
     train_times: dict[str, float] | None = None,
     ensembles: bool = True,
     persist_confusion: bool = False,
+    prob_lengths: Sequence[int] | None = None,
 ) -> Evaluation:
     """Votes (with >= 2 models) + metrics for prediction columns of one scored frame.
 
-    ``singles`` lists (model, prediction column, probability column or None) in order.
+    ``singles`` lists (model, prediction column, probability column or None) in order;
+    ``prob_lengths`` (vector size per model) lets the soft vote be unrolled.
     """
     pred_map = {name: p for name, p, _ in singles}
     if ensembles and len(singles) >= 2:
@@ -64,7 +66,7 @@ def evaluate(
         probs = [pr for _, _, pr in singles]
         if all(probs):
             soft_col = pred_col(ENSEMBLE_SOFT)
-            scored = soft_vote(scored, probs, soft_col, prob_col(ENSEMBLE_SOFT))
+            scored = soft_vote(scored, probs, soft_col, prob_col(ENSEMBLE_SOFT), prob_lengths)
             pred_map[ENSEMBLE_SOFT] = soft_col
     conf = confusion_counts(scored, label_col, pred_map)
     if persist_confusion:
@@ -143,8 +145,10 @@ def run_experiment(
     fitted = train_models(train_p, names, cfg)
     times = {name: secs for name, _, secs in fitted}
     scored = score_models(test_p, fitted)
+    lengths = [int(m.numClasses) for _, m, _ in fitted]
     ev = evaluate(
-        scored, "label_idx", [(n, pred_col(n), prob_col(n)) for n in names], labels, times, persist_confusion=True
+        scored, "label_idx", [(n, pred_col(n), prob_col(n)) for n in names], labels, times,
+        persist_confusion=True, prob_lengths=lengths,
     )
     best = ev.comparison.select("model", "position", "kind", "f1_macro").collect()  # one row per model
     ordered = sorted(best, key=lambda r: (-(r["f1_macro"] or 0.0), r["position"]))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.operators.features import label_index_table
+from flowguard.session import bounded_broadcast
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -22,6 +23,7 @@ DOCUMENT_FEATURES = ["n_chars", "text_len", "n_words", "n_lines"]
 # Rule predictors on events: model name -> (prediction column, probability column).
 RULES = {"rule_a": ("pred_rule_a", "prob_rule_a"), "rule_b": ("pred_rule_b", "prob_rule_b"),
          "rule_c": ("pred_rule_c", "prob_rule_c")}
+RULE_PROB_LENGTHS = (3, 6, 5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +82,8 @@ def document_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_hot(pred, length: int, hit: float, other: float):
     """Probability array of ``length`` with ``hit`` at the predicted index, ``other`` elsewhere."""
-    return F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: F.when(i == pred.cast("int"), F.lit(hit)).otherwise(F.lit(other)))
+    p = pred.cast("int")
+    return F.array(*[F.when(p == i, F.lit(hit)).otherwise(F.lit(other)) for i in range(length)])
 
 
 def event_rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +95,7 @@ def event_rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value", F.col("event_type").alias("label"))
     idx = label_index_table(ev, "label")
-    ev = ev.join(F.broadcast(idx), "label", "left")  # one row per class: bounded
+    ev = ev.join(bounded_broadcast(idx), "label", "left")  # one row per class, size-checked
     a = F.when(F.col("value") < 50, 0).when(F.col("value") < 150, 1).otherwise(2).cast("double")
     b = (F.col("event_id") % 6).cast("double")
     c = F.when(F.col("event_id") % 50 == 7, F.lit(None)).otherwise(F.col("user_id") % 5).cast("double")
