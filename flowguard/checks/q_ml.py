@@ -71,8 +71,8 @@ def index_categories(spark, sf_dir):
 SELECT p.event_id, coalesce(n.name, CAST(CAST(p.pred_rule_b AS INTEGER) AS VARCHAR)) AS predicted_label
 FROM ev_pred p LEFT JOIN ev_names n ON p.pred_rule_b = n.idx""")
 def index_to_label(spark, sf_dir):
-    pred = event_rule_predictions(spark, sf_dir)
     labels = event_labels(spark, sf_dir)
+    pred = event_rule_predictions(spark, sf_dir, labels)
     return features.index_to_label(pred, "pred_rule_b", labels, "predicted_label").select("event_id", "predicted_label")
 
 
@@ -224,3 +224,16 @@ def run_both_splits(spark, sf_dir):
     flows = event_flows(spark, sf_dir).drop("event_id")
     res = run_both_splits_plan(flows, cfg)
     return tagged_comparison(res).select("split", "model", "position", "kind", "f1_macro")
+
+
+@register("run_kdd_experiment")
+def run_kdd_experiment(spark, sf_dir):
+    """KDD layout (from lineitem) read from CSV; binary, random split, categorical indexers, NB + RF."""
+    from flowguard.checks.q_sources import write_kdd_file
+    from flowguard.sources.flow_csv import KDD_CATEGORICAL, KDD_NUMERIC, read_kdd
+
+    kdd = read_kdd(spark, write_kdd_file(spark, sf_dir))
+    cfg = ExperimentConfig(dataset="kdd", mode="binary", normal_label="normal", split="random", sample_fraction=1.0,
+                           fast=True, categorical=tuple(KDD_CATEGORICAL))
+    res = run_experiment_plan(kdd, cfg, feature_cols=[*KDD_CATEGORICAL, *KDD_NUMERIC])
+    return _comparison_out(res.comparison)

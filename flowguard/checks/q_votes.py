@@ -12,8 +12,8 @@ from flowguard.sources.tables import RULE_PROB_LENGTHS, RULES, event_labels, eve
 
 
 def rule_evaluation(spark, sf_dir):
-    pred = event_rule_predictions(spark, sf_dir)
     labels = event_labels(spark, sf_dir)
+    pred = event_rule_predictions(spark, sf_dir, labels)
     return evaluate(pred, "label_idx", [(m, p, pr) for m, (p, pr) in RULES.items()], labels,
                     prob_lengths=RULE_PROB_LENGTHS)
 
@@ -185,3 +185,14 @@ SELECT model, accuracy, round(precision, {R}) AS precision, round(recall, {R}) A
 _kind_rows("single_rows", "single", ranking.single_rows)
 _kind_rows("ensemble_rows", "ensemble", ranking.ensemble_rows)
 _kind_rows("run_ensembles", "ensemble", ranking.ensemble_rows)
+
+
+@register("sample_rows", RULE_METRICS + """
+SELECT model, actual_label, predicted_label, count FROM ev_confn
+ORDER BY count DESC, model, actual_label, predicted_label NULLS FIRST LIMIT 30""")
+def sample_rows(spark, sf_dir):
+    """The 30 largest confusion cells (the reference shows the first 30 rows by count)."""
+    ev = rule_evaluation(spark, sf_dir)
+    named = metrics.confusion_by_label(ev.confusion, ev.labels)
+    top = named.orderBy(F.desc("count"), "model", "actual_label", F.col("predicted_label").asc_nulls_first())
+    return top.limit(30).select("model", "actual_label", "predicted_label", "count")

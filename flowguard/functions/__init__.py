@@ -3,6 +3,7 @@
 from flowguard.functions.exprs import (
     clean_value,
     hard_vote_expr,
+    label_index_expr,
     label_name_expr,
     pretty_model_name_expr,
     qcol,
@@ -15,6 +16,7 @@ from flowguard.functions.exprs import (
 __all__ = [
     "clean_value",
     "hard_vote_expr",
+    "label_index_expr",
     "label_name_expr",
     "pretty_model_name_expr",
     "qcol",

@@ -121,6 +121,17 @@ def label_name_expr(idx: Column, labels: Sequence[str]) -> Column:
     )
 
 
+def label_index_expr(label: Column, labels: Sequence[str]) -> Column:
+    """Label -> index by a fitted label list (StringIndexer 'keep' semantics: unseen or null -> n).
+
+    The list has one entry per class, so it travels as a literal map: no join, no shuffle.
+    """
+    if not labels:
+        return F.lit(0.0)
+    lookup = F.create_map(*[x for i, name in enumerate(labels) for x in (F.lit(name), F.lit(float(i)))])
+    return F.coalesce(F.element_at(lookup, label), F.lit(float(len(labels))))
+
+
 def pretty_model_name_expr(c: Column) -> Column:
     """``naive_bayes`` -> ``Naive Bayes``: underscores to spaces, each word capitalised."""
     words = F.split(F.regexp_replace(c, "_", " "), " ")

@@ -64,16 +64,18 @@ def sanitize_stage(feature_cols: Sequence[str], passthrough: Sequence[str] = (),
     ``passthrough`` columns (categorical indices with nominal metadata) go to the assembler
     untouched. Returns the stage and the assembler input names.
     """
-    outs, selects, conds = [], [], []
+    outs, selects = [], []
     for i, c in enumerate(feature_cols):
         q = _q(c)
         out = f"{prefix}{i}"
-        conds.append(f"({q} IS NOT NULL AND NOT isnan({q}))")
         selects.append(
             f"CASE WHEN {q} < 0 OR {q} = double('inf') THEN 0.0D ELSE CAST({q} AS DOUBLE) + 0.0D END AS {_q(out)}"
         )
         outs.append(out)
-    where = " AND ".join(conds) if conds else "true"
+    # ONE predicate for the row filter: per-column conjuncts would each feed Catalyst's
+    # constraint propagation, which blows up on wide flow tables (tens of features).
+    values = ", ".join(f"CAST({_q(c)} AS DOUBLE)" for c in feature_cols)
+    where = f"NOT exists(array({values}), x -> x IS NULL OR isnan(x))" if feature_cols else "true"
     statement = f"SELECT *, {', '.join(selects)} FROM __THIS__ WHERE {where}" if selects else "SELECT * FROM __THIS__"
     return SQLTransformer(statement=statement), [*passthrough, *outs]
 

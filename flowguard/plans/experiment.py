@@ -25,11 +25,10 @@ from flowguard.operators.features import feature_pipeline, fitted_label_names
 from flowguard.operators.labels import prepare_labels
 from flowguard.operators.metrics import confusion_counts, model_metrics, per_class_metrics
 from flowguard.operators.models import pred_col, prob_col, score_models, select_models, train_models
-from flowguard.operators.profile import split_summary
 from flowguard.operators.ranking import comparison_table
 from flowguard.operators.split import sample_splits, split_dispatch
 from flowguard.operators.weights import add_class_weights
-from flowguard.session import materialize
+from flowguard.session import materialize, wide_plan_guard
 
 
 @dataclass
@@ -122,6 +121,7 @@ def run_experiment(
     key_cols: Sequence[str] = (),
 ) -> ExperimentResult:
     """One experiment over a loaded flow table (``label`` + features [+ ``source_file``])."""
+    spark = df.sparkSession
     prepared = prepare(df, cfg)
     skip = {cfg.label_col, cfg.source_col, *key_cols}
     feats = list(feature_cols) if feature_cols else [c for c in feature_columns(prepared, skip)]
@@ -131,25 +131,29 @@ def run_experiment(
         prepared, cfg.split, cfg.train_sources, cfg.test_sources, cfg.train_fraction, cfg.seed, key_cols, cfg.source_col
     )
     train, test = sample_splits(train, test, cfg.sample_fraction, cfg.seed)
-    summary = split_summary(train, test)
-
-    prep_model = pipeline.fit(train)
-    labels = fitted_label_names(prep_model)
-    train_p = prep_model.transform(train).select("label_idx", "features")
-    if cfg.class_weights:
-        train_p = add_class_weights(train_p, "label_idx")
-    train_p = materialize(train_p)
-    test_p = prep_model.transform(test).select("label_idx", "features")
-
-    names, skipped = select_models(cfg, n_classes=len(labels))
-    fitted = train_models(train_p, names, cfg)
-    times = {name: secs for name, _, secs in fitted}
-    scored = score_models(test_p, fitted)
-    lengths = [int(m.numClasses) for _, m, _ in fitted]
-    ev = evaluate(
-        scored, "label_idx", [(n, pred_col(n), prob_col(n)) for n in names], labels, times,
-        persist_confusion=True, prob_lengths=lengths,
-    )
+
+    with wide_plan_guard(spark):
+        prep_model = pipeline.fit(train)
+        labels = fitted_label_names(prep_model)
+        train_p = prep_model.transform(train).select("label_idx", "features")
+        if cfg.class_weights:
+            train_p = add_class_weights(train_p, "label_idx")
+        train_p = materialize(train_p)
+        test_p = prep_model.transform(test).select("label_idx", "features")
+
+        names, skipped = select_models(cfg, n_classes=len(labels))
+        fitted = train_models(train_p, names, cfg)
+        times = {name: secs for name, _, secs in fitted}
+        scored = score_models(test_p, fitted)
+        lengths = [int(m.numClasses) for _, m, _ in fitted]
+        ev = evaluate(
+            scored, "label_idx", [(n, pred_col(n), prob_col(n)) for n in names], labels, times,
+            persist_confusion=True, prob_lengths=lengths,
+        )
+        # Rows that reached the models: training rows (persisted) and test rows (confusion totals).
+        n_train = train_p.count()
+        n_test = ev.confusion.filter(F.col("position") == 0).agg(F.sum("count")).first()[0] or 0
+    summary = split_summary_from_counts(spark, n_train, n_test)
     best = ev.comparison.select("model", "position", "kind", "f1_macro").collect()  # one row per model
     ordered = sorted(best, key=lambda r: (-(r["f1_macro"] or 0.0), r["position"]))
     singles_only = [r for r in ordered if r["kind"] == "single"]
@@ -170,6 +174,14 @@ def run_experiment(
     )
 
 
+def split_summary_from_counts(spark, n_train: int, n_test: int) -> DataFrame:
+    """Split summary table from two counts already known (no extra pass over the data)."""
+    total = n_train + n_test
+    rows = [("train", n_train, round(n_train * 100.0 / total, 4) if total else 0.0),
+            ("test", n_test, round(n_test * 100.0 / total, 4) if total else 0.0)]
+    return spark.createDataFrame(rows, "split string, count long, percent double")
+
+
 def run_both_splits(
     df: DataFrame, cfg: ExperimentConfig, feature_cols: Sequence[str] | None = None, key_cols: Sequence[str] = ()
 ) -> dict[str, ExperimentResult]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -72,3 +73,24 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     """Broadcast ``small`` only after checking its row count; otherwise leave it to the planner."""
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+@contextmanager
+def wide_plan_guard(spark: SparkSession):
+    """Plan wide flow tables without Catalyst's constraint propagation, then restore the setting.
+
+    Constraint inference grows explosively on wide plans (tens of feature columns) under
+    ``randomSplit``'s all-column sort; planning then runs out of memory before any data
+    moves. The experiment's eager steps (fits, checkpoints) run inside this guard; every
+    frame handed back afterwards starts from a checkpoint, so its plan is narrow.
+    """
+    key = "spark.sql.constraintPropagation.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowguard.functions.exprs import label_index_expr
 from flowguard.operators.features import label_index_table
-from flowguard.session import bounded_broadcast
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -86,16 +86,24 @@ def _one_hot(pred, length: int, hit: float, other: float):
     return F.array(*[F.when(p == i, F.lit(hit)).otherwise(F.lit(other)) for i in range(length)])
 
 
-def event_rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_labels(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Event-type names in index order: one aggregation, one row per class to the driver."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"))
+    rows = label_index_table(ev, "label").orderBy("label_idx").collect()
+    return [r["label"] for r in rows]
+
+
+def event_rule_predictions(spark: SparkSession, sf_dir: str, labels: list[str] | None = None) -> DataFrame:
     """Events with ``label_idx`` and three rule-based 'classifiers' (predictions + probabilities).
 
     a: 0/1/2 by value < 50 / < 150 / else (3 classes); b: event_id % 6 (class 5 is no label);
     c: abstains (null) when event_id % 50 = 7, else user_id % 5. Probabilities are dyadic
-    one-hot-like arrays of different lengths (3, 6, 5), so soft votes are exact.
+    one-hot-like arrays of different lengths (3, 6, 5), so soft votes are exact. The label
+    index comes from the fitted label list as a literal lookup (no join with the events).
     """
+    labels = event_labels(spark, sf_dir) if labels is None else labels
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value", F.col("event_type").alias("label"))
-    idx = label_index_table(ev, "label")
-    ev = ev.join(bounded_broadcast(idx), "label", "left")  # one row per class, size-checked
+    ev = ev.withColumn("label_idx", label_index_expr(F.col("label"), labels))
     a = F.when(F.col("value") < 50, 0).when(F.col("value") < 150, 1).otherwise(2).cast("double")
     b = (F.col("event_id") % 6).cast("double")
     c = F.when(F.col("event_id") % 50 == 7, F.lit(None)).otherwise(F.col("user_id") % 5).cast("double")
@@ -109,10 +117,3 @@ def event_rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("pred_rule_c").isNull(), F.lit(None).cast("array<double>"))
         .otherwise(_one_hot(F.col("pred_rule_c"), 5, 0.5, 0.125)).alias("prob_rule_c"),
     )
-
-
-def event_labels(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Event-type names in index order (a job over the class rows only)."""
-    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"))
-    rows = label_index_table(ev, "label").orderBy("label_idx").collect()
-    return [r["label"] for r in rows]
