@@ -32,6 +32,18 @@ def label_index_table(df: DataFrame, label_col: str = "label", output_col: str =
     )
 
 
+def label_counts(df: DataFrame, label_col: str = "label") -> list[tuple[str, int]]:
+    """(label, count) in StringIndexer order (count desc, then label): one aggregation, one row per class."""
+    counts = df.groupBy(qcol(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.filter(F.col("label").isNotNull()).orderBy(F.desc("n"), "label").collect()
+    return [(r["label"], int(r["n"])) for r in rows]
+
+
+def label_indexer_from(labels: Sequence[str], label_col: str = "label", output_col: str = "label_idx") -> StringIndexerModel:
+    """A fitted label indexer from a known label list (no pass over the data)."""
+    return StringIndexerModel.from_labels(list(labels), inputCol=label_col, outputCol=output_col, handleInvalid="keep")
+
+
 def fit_label_indexer(df: DataFrame, label_col: str = "label", output_col: str = "label_idx") -> StringIndexerModel:
     """StringIndexer (frequency order, unseen and null -> index n)."""
     return StringIndexer(inputCol=label_col, outputCol=output_col, handleInvalid="keep").fit(df)
@@ -85,19 +97,24 @@ def feature_pipeline(
     categorical_cols: Sequence[str] = (),
     label_col: str = "label",
     keep_categorical_metadata: bool = False,
+    labels: Sequence[str] | None = None,
 ) -> Pipeline:
     """Unfitted pipeline: category indexers, label indexer, sanitising stage, assembler (no scaler).
 
     Fit it on the training part only. With ``keep_categorical_metadata`` the category indices
     reach the assembler with their nominal metadata (trees then need ``maxBins`` >= the largest
     number of categories); by default they pass through the sanitising expression, which drops
-    the metadata, so trees treat them as continuous, as in the reference.
+    the metadata, so trees treat them as continuous, as in the reference. With ``labels``
+    (e.g. from ``label_counts``) the label stage is pre-fitted and costs no pass at fit time.
     """
     stages = []
     cat_idx = [f"{c}_idx" for c in categorical_cols]
     if categorical_cols:
         stages.append(StringIndexer(inputCols=list(categorical_cols), outputCols=cat_idx, handleInvalid="keep"))
-    stages.append(StringIndexer(inputCol=label_col, outputCol="label_idx", handleInvalid="keep"))
+    if labels is not None:
+        stages.append(label_indexer_from(labels, label_col))
+    else:
+        stages.append(StringIndexer(inputCol=label_col, outputCol="label_idx", handleInvalid="keep"))
     numeric = [c for c in feature_cols if c not in set(categorical_cols)]
     if keep_categorical_metadata:
         sanitizer, inputs = sanitize_stage(numeric, passthrough=cat_idx)

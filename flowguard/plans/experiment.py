@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from flowguard.config import ENSEMBLE_HARD, ENSEMBLE_SOFT, ExperimentConfig
 from flowguard.operators.clean import drop_incomplete, feature_columns
 from flowguard.operators.ensemble import hard_vote, soft_vote
-from flowguard.operators.features import feature_pipeline, fitted_label_names
+from flowguard.operators.features import feature_pipeline, label_counts
 from flowguard.operators.labels import prepare_labels
 from flowguard.operators.metrics import confusion_counts, model_metrics, per_class_metrics
 from flowguard.operators.models import pred_col, prob_col, score_models, select_models, train_models
 from flowguard.operators.ranking import comparison_table
 from flowguard.operators.split import sample_splits, split_dispatch
-from flowguard.operators.weights import add_class_weights
+from flowguard.operators.weights import add_weights_from_counts
 from flowguard.session import materialize, wide_plan_guard
 
 
@@ -69,7 +69,7 @@ def evaluate(
             pred_map[ENSEMBLE_SOFT] = soft_col
     conf = confusion_counts(scored, label_col, pred_map)
     if persist_confusion:
-        conf = materialize(conf)
+        conf = materialize(conf, "confusion")
     per = per_class_metrics(conf, labels)
     metrics = model_metrics(per)
     comp = comparison_table(metrics, train_times)
@@ -125,7 +125,6 @@ def run_experiment(
     prepared = prepare(df, cfg)
     skip = {cfg.label_col, cfg.source_col, *key_cols}
     feats = list(feature_cols) if feature_cols else [c for c in feature_columns(prepared, skip)]
-    pipeline = feature_pipeline(feats, cfg.categorical, cfg.label_col, cfg.keep_categorical_metadata)
 
     train, test = split_dispatch(
         prepared, cfg.split, cfg.train_sources, cfg.test_sources, cfg.train_fraction, cfg.seed, key_cols, cfg.source_col
@@ -133,12 +132,16 @@ def run_experiment(
     train, test = sample_splits(train, test, cfg.sample_fraction, cfg.seed)
 
     with wide_plan_guard(spark):
-        prep_model = pipeline.fit(train)
-        labels = fitted_label_names(prep_model)
+        # One aggregation over the training part gives the label order (StringIndexer's rule)
+        # and the class counts for the weights; the label stage is then pre-fitted.
+        counts = label_counts(train, cfg.label_col)
+        labels = [lbl for lbl, _ in counts]
+        pipeline = feature_pipeline(feats, cfg.categorical, cfg.label_col, cfg.keep_categorical_metadata, labels)
+        prep_model = pipeline.fit(train)  # a pass only when categorical columns need indexing
         train_p = prep_model.transform(train).select("label_idx", "features")
         if cfg.class_weights:
-            train_p = add_class_weights(train_p, "label_idx")
-        train_p = materialize(train_p)
+            train_p = add_weights_from_counts(train_p, counts, "label_idx")
+        train_p = materialize(train_p, "train")
         test_p = prep_model.transform(test).select("label_idx", "features")
 
         names, skipped = select_models(cfg, n_classes=len(labels))

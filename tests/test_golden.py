@@ -117,3 +117,17 @@ def test_normalize_label_column(spark):
     assert clean.normalize_label_column(df).columns == ["a", "label"]
     with pytest.raises(ValueError):
         clean.normalize_label_column(spark.createDataFrame([(1,)], "a int"))
+
+
+def test_label_counts_match_string_indexer_and_weights(spark):
+    from flowguard.operators.features import fit_label_indexer, label_counts
+    from flowguard.operators.weights import add_weights_from_counts, weights_from_counts
+
+    rows = [("b",)] * 3 + [("a",)] * 3 + [("c",)] * 5 + [("d",)]
+    df = spark.createDataFrame(rows, "label string")
+    counts = label_counts(df)
+    assert [lbl for lbl, _ in counts] == list(fit_label_indexer(df).labels) == ["c", "a", "b", "d"]
+    indexed = fit_label_indexer(df).transform(df)
+    by_join = {r["label_idx"]: r["weight"] for r in weights.add_class_weights(indexed).collect()}
+    by_map = {r["label_idx"]: r["weight"] for r in add_weights_from_counts(indexed, counts).collect()}
+    assert by_join == by_map == weights_from_counts(counts)
