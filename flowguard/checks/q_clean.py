@@ -131,3 +131,12 @@ def sanitize_vector(spark, sf_dir):
     em = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     out = clean.sanitize_vector(em, "embedding")
     return out.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+
+
+@register("trim_column_names", """
+SELECT l_orderkey, l_linenumber, l_returnflag AS "Label", l_quantity AS "Total Fwd Packets" FROM lineitem""")
+def trim_column_names(spark, sf_dir):
+    raw = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias(" l_orderkey"), F.col("l_linenumber").alias("l_linenumber "),
+        F.col("l_returnflag").alias(" Label"), F.col("l_quantity").alias("  Total Fwd Packets "))
+    return clean.trim_column_names(raw)

@@ -237,3 +237,55 @@ def run_kdd_experiment(spark, sf_dir):
                            fast=True, categorical=tuple(KDD_CATEGORICAL))
     res = run_experiment_plan(kdd, cfg, feature_cols=[*KDD_CATEGORICAL, *KDD_NUMERIC])
     return _comparison_out(res.comparison)
+
+
+@register("assemble_features", f"""
+SELECT l_orderkey, l_linenumber, l_quantity AS f_0, l_extendedprice AS f_1, l_discount AS f_2, l_tax AS f_3
+FROM (SELECT *, CASE (l_orderkey + l_linenumber) % 13 WHEN 0 THEN NULL WHEN 1 THEN CAST('NaN' AS DOUBLE)
+                ELSE l_tax END AS t FROM lineitem) x WHERE t IS NOT NULL AND NOT isnan(t)""")
+def assemble_features(spark, sf_dir):
+    """VectorAssembler with skip: rows with a null or NaN feature are dropped."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        F.expr("CASE (l_orderkey + l_linenumber) % 13 WHEN 0 THEN NULL WHEN 1 THEN CAST('NaN' AS DOUBLE) "
+               "ELSE l_tax END").alias("l_tax"))
+    out = features.assemble_features(li, LINEITEM_FEATURES)
+    arr = vector_to_array(F.col("features"))
+    return out.select("l_orderkey", "l_linenumber", *[arr[i].alias(f"f_{i}") for i in range(4)])
+
+
+@register("row_id", "SELECT count(*) AS n_rows, count(*) AS n_ids FROM events")
+def row_id(spark, sf_dir):
+    """Ids from monotonically_increasing_id are unique: as many distinct ids as rows."""
+    ids = features.with_row_id(table(spark, sf_dir, "events").select("event_id"))
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_ids"))
+
+
+@register("prediction_slice", f"""WITH {LI_TRAIN},
+tot AS (SELECT count(*) AS n_all, (SELECT count(*) FROM lbl) AS k FROM tr),
+cls AS (
+  SELECT lbl.label_idx, count(*) AS n, sum(f0) AS s0, sum(f1) AS s1, sum(f2) AS s2, sum(f3) AS s3
+  FROM tr JOIN lbl ON tr.label = lbl.label GROUP BY lbl.label_idx),
+par AS (
+  SELECT label_idx, ln(n + 1.0) - ln(n_all + k * 1.0) AS pi, ln(s0 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t0,
+         ln(s1 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t1, ln(s2 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t2,
+         ln(s3 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t3 FROM cls, tot),
+te AS (
+  SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_returnflag AS label, {SAN.format(x='l_quantity')} AS f0,
+         {SAN.format(x='l_extendedprice')} AS f1, {SAN.format(x='l_discount')} AS f2, {SAN.format(x='l_tax')} AS f3
+  FROM lineitem WHERE year(l_shipdate) >= 2000),
+raw AS (
+  SELECT te.rid, te.l_orderkey, te.l_linenumber, te.label, par.label_idx AS c,
+         f0 * t0 + f1 * t1 + f2 * t2 + f3 * t3 + pi AS r FROM te, par)
+SELECT l_orderkey, l_linenumber, coalesce(lbl.label_idx, CAST((SELECT count(*) FROM lbl) AS DOUBLE)) AS label_idx,
+       arg_max(c, r) AS pred_naive_bayes
+FROM raw LEFT JOIN lbl ON raw.label = lbl.label
+GROUP BY raw.rid, l_orderkey, l_linenumber, raw.label, lbl.label_idx""")
+def prediction_slice(spark, sf_dir):
+    """A fitted model writes its own prediction column (pred_<model>); naive Bayes on the test days."""
+    train, test = _lineitem_split(spark, sf_dir)
+    prep = features.feature_pipeline(LINEITEM_FEATURES).fit(train)
+    train_p = prep.transform(train).select("label_idx", "features")
+    nb = models.build_classifier("naive_bayes", ExperimentConfig(class_weights=False)).fit(train_p)
+    scored = nb.transform(prep.transform(test).select("l_orderkey", "l_linenumber", "label_idx", "features"))
+    return scored.select("l_orderkey", "l_linenumber", "label_idx", models.pred_col("naive_bayes"))

@@ -136,3 +136,15 @@ def union_by_name(spark, sf_dir):
     late = li.filter(F.year("l_shipdate") > 1997).select(
         "l_orderkey", "l_linenumber", "l_quantity", F.col("l_returnflag").alias("label"))
     return early.unionByName(late, allowMissingColumns=True)
+
+
+@register("weight_lookup", """
+WITH w AS (
+  SELECT quality, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight
+  FROM documents JOIN labels USING (doc_id) GROUP BY quality)
+SELECT d.doc_id, w.weight FROM documents d JOIN labels l ON d.doc_id = l.doc_id JOIN w ON l.quality = w.quality""")
+def weight_lookup(spark, sf_dir):
+    """Class-frequency table mapped back to the rows (size-checked broadcast join on the class)."""
+    flows = document_flows(spark, sf_dir)
+    table_ = weights.class_weights(flows, "label")
+    return weights.add_class_weights(flows, "label", weights=table_).select("doc_id", "weight")

@@ -196,3 +196,18 @@ def sample_rows(spark, sf_dir):
     named = metrics.confusion_by_label(ev.confusion, ev.labels)
     top = named.orderBy(F.desc("count"), "model", "actual_label", F.col("predicted_label").asc_nulls_first())
     return top.limit(30).select("model", "actual_label", "predicted_label", "count")
+
+
+@register("join_predictions", with_(EVENTS_RULES) + """
+SELECT event_id, label_idx, pred_rule_a, pred_rule_b, pred_rule_c FROM ev_all""")
+def join_predictions(spark, sf_dir):
+    """The reference's per-model inner join on a row key (here the event id)."""
+    return align_predictions(spark, sf_dir)
+
+
+@register("support_filter", RULE_METRICS + """
+SELECT model, class_label, support FROM ev_pcn WHERE support > 0""")
+def support_filter(spark, sf_dir):
+    """Support per class (rows of that class), from the one confusion aggregation."""
+    per = rule_evaluation(spark, sf_dir).per_class
+    return per.filter(F.col("support") > 0).select("model", "class_label", "support")

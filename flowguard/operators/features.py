@@ -131,3 +131,13 @@ def fitted_label_names(prep_model, label_col: str = "label") -> list[str]:
         if isinstance(stage, StringIndexerModel) and stage.getOrDefault("outputCol") == "label_idx":
             return list(stage.labels)
     return []
+
+
+def assemble_features(df: DataFrame, feature_cols: Sequence[str], output_col: str = "features") -> DataFrame:
+    """All feature columns -> one vector; rows with a null/NaN feature are dropped (``skip``)."""
+    return VectorAssembler(inputCols=list(feature_cols), outputCol=output_col, handleInvalid="skip").transform(df)
+
+
+def with_row_id(df: DataFrame, output_col: str = "row_id") -> DataFrame:
+    """Unique (not consecutive) 64-bit id per row; stable only while the input layout is."""
+    return df.withColumn(output_col, F.monotonically_increasing_id())
