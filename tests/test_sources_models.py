@@ -77,3 +77,46 @@ def test_run_experiment_end_to_end(spark):
     assert len(set(totals.values())) == 1
     assert res.best_overall in cmp and res.best_single in ("naive_bayes", "random_forest")
     res.release()
+
+
+def test_cic_profile_end_to_end(spark):
+    """Capture days named as in the 'small' profile: resolve, load (one scan), file-split experiment."""
+    li = lineitem_flows(spark, SF_SMALL)
+    base = scratch_path(spark, "cic")
+    header = [" Flow Duration", "Fwd Header Length", "Fwd Header Length", " Label"]
+    train_name, test_name = flow_csv.CICIDS_PROFILES["small"][0][0], flow_csv.CICIDS_PROFILES["small"][1][0]
+    label = F.when(F.col("label") == "N", "BENIGN").otherwise("DDoS")
+    for name, cond in ((train_name, F.col("source_file") < "day-2000.csv"), (test_name, F.col("source_file") >= "day-2000.csv")):
+        day = li.filter(cond).select("l_quantity", "l_discount", "l_tax", label.alias("label"))
+        flow_csv.write_flow_csv(day, f"{base}/{name}", header)
+    assert flow_csv.split_paths(spark, base, "small", "test") == [f"{base}/{test_name}"]
+    flows = flow_csv.load_dataset(spark, base, "cicids", "small")
+    assert flows.columns == ["Flow Duration", "Fwd Header Length", "Fwd Header Length_1", "label", "source_file"]
+    assert flows.count() == li.count()
+    cfg = ExperimentConfig(split="file", sample_fraction=1.0, fast=True, train_sources=(train_name,),
+                           test_sources=(test_name,))
+    res = run_experiment(flows, cfg)
+    assert res.labels == ["normal", "attack"] or res.labels == ["attack", "normal"]
+    assert {r["model"] for r in res.comparison.collect()} >= {"naive_bayes", "random_forest"}
+    res.release()
+
+
+def test_categorical_metadata_and_max_bins(spark):
+    """Q25: nominal category indices need maxBins >= categories; the default drops the metadata."""
+    from flowguard.operators import features
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        F.concat(F.lit("svc"), (F.col("l_partkey") % 41).cast("string")).alias("service"),
+        "l_quantity", F.col("l_returnflag").alias("label"))
+    n_cats = li.select("service").distinct().count()
+    assert n_cats > 32
+    for keep, bins, ok in ((False, 32, True), (True, 32, False), (True, n_cats + 1, True)):
+        cfg = ExperimentConfig(class_weights=False, rf_trees=2, max_bins=bins)
+        prep = features.feature_pipeline(["service", "l_quantity"], ["service"], keep_categorical_metadata=keep).fit(li)
+        data = prep.transform(li).select("label_idx", "features")
+        try:
+            build_classifier("random_forest", cfg).fit(data)
+            fitted = True
+        except Exception:  # noqa: BLE001 - MLlib raises IllegalArgumentException through py4j
+            fitted = False
+        assert fitted == ok, (keep, bins)
