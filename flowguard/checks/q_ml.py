@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from flowguard.catalog import register
+from flowguard.catalog import R, register
 from flowguard.checks.sql import EVENTS_RULES, with_
+from flowguard.checks.sql import metrics as metrics_sql
 from flowguard.config import ExperimentConfig
 from flowguard.operators import features, models
 from flowguard.operators.split import split_by_hash, split_by_source
@@ -261,7 +262,9 @@ def row_id(spark, sf_dir):
     return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_ids"))
 
 
-@register("prediction_slice", f"""WITH {LI_TRAIN},
+# Naive Bayes in closed form: class log-priors and per-class feature log-frequencies from the
+# training days, one parameter row of per-class lists, argmax (first maximum) per test row.
+NB_CTES = f"""{LI_TRAIN},
 tot AS (SELECT count(*) AS n_all, (SELECT count(*) FROM lbl) AS k FROM tr),
 cls AS (
   SELECT lbl.label_idx, count(*) AS n, sum(f0) AS s0, sum(f1) AS s1, sum(f2) AS s2, sum(f3) AS s3
@@ -270,17 +273,24 @@ par AS (
   SELECT label_idx, ln(n + 1.0) - ln(n_all + k * 1.0) AS pi, ln(s0 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t0,
          ln(s1 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t1, ln(s2 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t2,
          ln(s3 + 1.0) - ln(s0 + s1 + s2 + s3 + 4.0) AS t3 FROM cls, tot),
+par_list AS (
+  SELECT list(pi ORDER BY label_idx) AS pis, list(t0 ORDER BY label_idx) AS t0s, list(t1 ORDER BY label_idx) AS t1s,
+         list(t2 ORDER BY label_idx) AS t2s, list(t3 ORDER BY label_idx) AS t3s FROM par),
 te AS (
-  SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_returnflag AS label, {SAN.format(x='l_quantity')} AS f0,
+  SELECT l_orderkey, l_linenumber, l_returnflag AS label, {SAN.format(x='l_quantity')} AS f0,
          {SAN.format(x='l_extendedprice')} AS f1, {SAN.format(x='l_discount')} AS f2, {SAN.format(x='l_tax')} AS f3
   FROM lineitem WHERE year(l_shipdate) >= 2000),
-raw AS (
-  SELECT te.rid, te.l_orderkey, te.l_linenumber, te.label, par.label_idx AS c,
-         f0 * t0 + f1 * t1 + f2 * t2 + f3 * t3 + pi AS r FROM te, par)
-SELECT l_orderkey, l_linenumber, coalesce(lbl.label_idx, CAST((SELECT count(*) FROM lbl) AS DOUBLE)) AS label_idx,
-       arg_max(c, r) AS pred_naive_bayes
-FROM raw LEFT JOIN lbl ON raw.label = lbl.label
-GROUP BY raw.rid, l_orderkey, l_linenumber, raw.label, lbl.label_idx""")
+scores AS (
+  SELECT te.*, list_transform(range(len(pis)), lambda i:
+           f0 * t0s[i + 1] + f1 * t1s[i + 1] + f2 * t2s[i + 1] + f3 * t3s[i + 1] + pis[i + 1]) AS rs
+  FROM te, par_list),
+nb_pred AS (
+  SELECT s.l_orderkey, s.l_linenumber, coalesce(lbl.label_idx, CAST((SELECT count(*) FROM lbl) AS DOUBLE)) AS label_idx,
+         CAST(list_position(rs, list_max(rs)) - 1 AS DOUBLE) AS pred_naive_bayes
+  FROM scores s LEFT JOIN lbl ON s.label = lbl.label)"""
+
+
+@register("prediction_slice", f"WITH {NB_CTES}\nSELECT l_orderkey, l_linenumber, label_idx, pred_naive_bayes FROM nb_pred")
 def prediction_slice(spark, sf_dir):
     """A fitted model writes its own prediction column (pred_<model>); naive Bayes on the test days."""
     train, test = _lineitem_split(spark, sf_dir)
@@ -289,3 +299,18 @@ def prediction_slice(spark, sf_dir):
     nb = models.build_classifier("naive_bayes", ExperimentConfig(class_weights=False)).fit(train_p)
     scored = nb.transform(prep.transform(test).select("l_orderkey", "l_linenumber", "label_idx", "features"))
     return scored.select("l_orderkey", "l_linenumber", "label_idx", models.pred_col("naive_bayes"))
+
+
+@register("run_experiment_naive_bayes", f"""WITH {NB_CTES},
+nb_long AS (SELECT 'naive_bayes' AS model, 0 AS position, label_idx, pred_naive_bayes AS prediction FROM nb_pred),
+{metrics_sql("nb").strip()}
+SELECT model, accuracy, round(precision, {R}) AS precision, round(recall, {R}) AS recall,
+       round(f1_weighted, {R}) AS f1_weighted, round(f1_macro, {R}) AS f1_macro FROM nb_mm""")
+def run_experiment_naive_bayes(spark, sf_dir):
+    """The whole experiment with naive Bayes only (file split, multiclass): its comparison row."""
+    cfg = ExperimentConfig(mode="multiclass", split="file", sample_fraction=1.0, train_sources=tuple(TRAIN_DAYS),
+                           test_sources=tuple(TEST_DAYS), models=("nb",))
+    flows = lineitem_flows(spark, sf_dir).drop("l_orderkey", "l_linenumber")
+    res = run_experiment_plan(flows, cfg)
+    return res.comparison.select("model", "accuracy", *[F.round(c, R).alias(c) for c in
+                                                         ("precision", "recall", "f1_weighted", "f1_macro")])
