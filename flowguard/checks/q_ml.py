@@ -162,6 +162,7 @@ def _single_model_query(key: str, name: str, flows_fn, feats, id_col: str, weigh
         train_p = materialize(train_p)
         cfg = ExperimentConfig(class_weights=weighted, rf_trees=15, gbt_iter=20, lr_iter=100)
         fitted = models.build_classifier(name, cfg).fit(train_p)
+        train_p.unpersist()
         scored = fitted.transform(prep.transform(test).select(id_col, "label_idx", "features"))
         return _invariants(scored, name, len(labels), id_col)
 
@@ -185,6 +186,7 @@ def train_models(spark, sf_dir):
     cfg = ExperimentConfig(models=("nb", "lr", "rf"))
     names, _ = models.select_models(cfg, n_classes=len(features.fitted_label_names(prep)))
     fitted = models.train_models(train_p, names, cfg)
+    train_p.unpersist()
     rows = [(i, n, float(s) > 0.0) for i, (n, _, s) in enumerate(fitted)]
     return spark.createDataFrame(rows, "position int, model string, timed boolean")
 
@@ -197,6 +199,7 @@ def score_models(spark, sf_dir):
     train_p = materialize(add_class_weights(prep.transform(train).select("label_idx", "features"), "label_idx"))
     cfg = ExperimentConfig(fast=True)
     fitted = models.train_models(train_p, models.select_models(cfg)[0], cfg)
+    train_p.unpersist()
     scored = models.score_models(prep.transform(test).select("l_orderkey", "l_linenumber", "label_idx", "features"), fitted)
     return scored.select("l_orderkey", "l_linenumber", "label_idx",
                          *[models.pred_col(n) for n, _, _ in fitted])
@@ -213,6 +216,7 @@ def run_experiment(spark, sf_dir):
                            test_sources=tuple(TEST_DAYS), models=("nb", "lr", "rf"), lr_iter=50)
     flows = lineitem_flows(spark, sf_dir).drop("l_orderkey", "l_linenumber")
     res = run_experiment_plan(flows, cfg)
+    res.release()  # the comparison reads the confusion table written below the checkpoint folder
     return _comparison_out(res.comparison)
 
 
@@ -224,6 +228,8 @@ def run_both_splits(spark, sf_dir):
                            test_sources=tuple(days[24:]), gbt_iter=10, lr_iter=50)
     flows = event_flows(spark, sf_dir).drop("event_id")
     res = run_both_splits_plan(flows, cfg)
+    for r in res.values():
+        r.release()
     return tagged_comparison(res).select("split", "model", "position", "kind", "f1_macro")
 
 
@@ -237,6 +243,7 @@ def run_kdd_experiment(spark, sf_dir):
     cfg = ExperimentConfig(dataset="kdd", mode="binary", normal_label="normal", split="random", sample_fraction=1.0,
                            fast=True, categorical=tuple(KDD_CATEGORICAL))
     res = run_experiment_plan(kdd, cfg, feature_cols=[*KDD_CATEGORICAL, *KDD_NUMERIC])
+    res.release()
     return _comparison_out(res.comparison)
 
 
@@ -312,5 +319,6 @@ def run_experiment_naive_bayes(spark, sf_dir):
                            test_sources=tuple(TEST_DAYS), models=("nb",))
     flows = lineitem_flows(spark, sf_dir).drop("l_orderkey", "l_linenumber")
     res = run_experiment_plan(flows, cfg)
+    res.release()
     return res.comparison.select("model", "accuracy", *[F.round(c, R).alias(c) for c in
                                                          ("precision", "recall", "f1_weighted", "f1_macro")])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the reference's for the same results.
 MODEL_NAIVE_BAYES = "naive_bayes"
@@ -53,7 +53,6 @@ class ExperimentConfig:
     max_bins: int = 32
     label_col: str = "label"
     source_col: str = "source_file"
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self) -> None:
         if self.mode not in ("binary", "multiclass"):

@@ -35,14 +35,8 @@ def feature_columns(df: DataFrame, skip: Iterable[str] = ("label", "source_file"
 def clean_and_cast(df: DataFrame, skip: Iterable[str] = ("label", "source_file")) -> DataFrame:
     """All feature columns -> double in ONE select (lenient: unparsable, inf, NaN, null -> 0.0)."""
     skip = set(skip)
-    types = dict(df.dtypes)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    exprs = [
-        qcol(c) if c in skip else clean_value(qcol(c), fields[c]).alias(c)
-        for c in df.columns
-    ]
-    del types
-    return df.select(exprs)
+    return df.select([qcol(c) if c in skip else clean_value(qcol(c), fields[c]).alias(c) for c in df.columns])
 
 
 def cast_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -90,6 +90,7 @@ class ExperimentResult:
     fitted: list = field(default_factory=list)
     best_single: str | None = None
     best_overall: str | None = None
+    persisted: list = field(default_factory=list)
 
     @property
     def comparison(self) -> DataFrame:
@@ -105,7 +106,7 @@ class ExperimentResult:
 
     def release(self) -> None:
         """Drop persisted frames (training set, confusion table)."""
-        for df in self.config.extra.get("_persisted", []):
+        for df in self.persisted:
             df.unpersist()
 
 
@@ -160,7 +161,6 @@ def run_experiment(
     best = ev.comparison.select("model", "position", "kind", "f1_macro").collect()  # one row per model
     ordered = sorted(best, key=lambda r: (-(r["f1_macro"] or 0.0), r["position"]))
     singles_only = [r for r in ordered if r["kind"] == "single"]
-    cfg.extra.setdefault("_persisted", []).extend([train_p, ev.confusion])
     return ExperimentResult(
         config=cfg,
         labels=labels,
@@ -174,6 +174,7 @@ def run_experiment(
         fitted=fitted,
         best_single=singles_only[0]["model"] if singles_only else None,
         best_overall=ordered[0]["model"] if ordered else None,
+        persisted=[train_p, ev.confusion],
     )
 
 
@@ -191,7 +192,7 @@ def run_both_splits(
     """Random-split and file-split experiments over the same loaded data (stops at the first failure)."""
     out = {}
     for split in ("random", "file"):
-        out[split] = run_experiment(df, cfg.with_(split=split, extra={}), feature_cols, key_cols)
+        out[split] = run_experiment(df, cfg.with_(split=split), feature_cols, key_cols)
     return out
 
 

@@ -27,6 +27,7 @@ def local_session(app: str = "flowguard", cores: str = "*", partitions: int = 8)
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")  # local mode: the driver JVM runs the tasks
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -120,3 +120,12 @@ def test_categorical_metadata_and_max_bins(spark):
         except Exception:  # noqa: BLE001 - MLlib raises IllegalArgumentException through py4j
             fitted = False
         assert fitted == ok, (keep, bins)
+
+
+def test_config_from_env():
+    cfg = ExperimentConfig.from_env({"NIDS_MODE": "MULTICLASS", "NIDS_DATASET": "kdd", "NIDS_MODELS": "rf, nb",
+                                     "NIDS_FAST": "yes", "NIDS_SAMPLE_FRACTION": "0.1"})
+    assert (cfg.mode, cfg.dataset, cfg.models, cfg.fast, cfg.sample_fraction) == ("multiclass", "kdd", ("rf", "nb"), True, 0.1)
+    assert cfg.normal_label == "normal"
+    with pytest.raises(ValueError):
+        ExperimentConfig(mode="ternary")
