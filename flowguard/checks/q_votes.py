@@ -11,11 +11,11 @@ from flowguard.plans.experiment import evaluate
 from flowguard.sources.tables import RULE_PROB_LENGTHS, RULES, event_labels, event_rule_predictions
 
 
-def rule_evaluation(spark, sf_dir):
+def rule_evaluation(spark, sf_dir, only=None):
     labels = event_labels(spark, sf_dir)
     pred = event_rule_predictions(spark, sf_dir, labels)
     return evaluate(pred, "label_idx", [(m, p, pr) for m, (p, pr) in RULES.items()], labels,
-                    prob_lengths=RULE_PROB_LENGTHS)
+                    prob_lengths=RULE_PROB_LENGTHS, only=only)
 
 
 def _r(c: str):
@@ -106,8 +106,8 @@ def per_class_metrics(spark, sf_dir):
 SELECT class_label, precision, recall, f1, support FROM ev_pcn WHERE model = 'ensemble_hard_vote'""")
 def hard_vote_per_class(spark, sf_dir):
     """Flagship: per-class precision/recall/F1 of the hard vote over three rule predictors."""
-    per = rule_evaluation(spark, sf_dir).per_class
-    return per.filter(F.col("model") == "ensemble_hard_vote").select("class_label", "precision", "recall", "f1", "support")
+    per = rule_evaluation(spark, sf_dir, only=["ensemble_hard_vote"]).per_class
+    return per.select("class_label", "precision", "recall", "f1", "support")
 
 
 @register("per_class_all", RULE_METRICS + """

@@ -51,11 +51,13 @@ def evaluate(
     ensembles: bool = True,
     persist_confusion: bool = False,
     prob_lengths: Sequence[int] | None = None,
+    only: Sequence[str] | None = None,
 ) -> Evaluation:
     """Votes (with >= 2 models) + metrics for prediction columns of one scored frame.
 
     ``singles`` lists (model, prediction column, probability column or None) in order;
-    ``prob_lengths`` (vector size per model) lets the soft vote be unrolled.
+    ``prob_lengths`` (vector size per model) lets the soft vote be unrolled; ``only`` counts just
+    those models (columns of the others are then pruned from the plan by Catalyst).
     """
     pred_map = {name: p for name, p, _ in singles}
     if ensembles and len(singles) >= 2:
@@ -67,6 +69,8 @@ def evaluate(
             soft_col = pred_col(ENSEMBLE_SOFT)
             scored = soft_vote(scored, probs, soft_col, prob_col(ENSEMBLE_SOFT), prob_lengths)
             pred_map[ENSEMBLE_SOFT] = soft_col
+    if only is not None:
+        pred_map = {m: c for m, c in pred_map.items() if m in set(only)}
     conf = confusion_counts(scored, label_col, pred_map)
     if persist_confusion:
         conf = materialize(conf, "confusion")
