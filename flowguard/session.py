@@ -76,9 +76,16 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after checking its row count; otherwise leave it to the planner."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    """Broadcast ``small`` only if it has at most ``max_rows`` rows; otherwise leave it to the planner.
+
+    The check fetches at most ``max_rows + 1`` rows once; when the table is within the bound,
+    that fetched copy is what gets broadcast, so the (usually aggregated) input is not
+    computed a second time by the join.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return small
+    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
 
 
 @contextmanager
