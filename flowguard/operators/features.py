@@ -84,10 +84,14 @@ def sanitize_stage(feature_cols: Sequence[str], passthrough: Sequence[str] = (),
             f"CASE WHEN {q} < 0 OR {q} = double('inf') THEN 0.0D ELSE CAST({q} AS DOUBLE) + 0.0D END AS {_q(out)}"
         )
         outs.append(out)
-    # ONE predicate for the row filter: per-column conjuncts would each feed Catalyst's
-    # constraint propagation, which blows up on wide flow tables (tens of features).
-    values = ", ".join(f"CAST({_q(c)} AS DOUBLE)" for c in feature_cols)
-    where = f"NOT exists(array({values}), x -> x IS NULL OR isnan(x))" if feature_cols else "true"
+    # Row filter in two codegen-able predicates: a sum is null iff some value is null, and
+    # ``greatest`` orders NaN above every number, so it is NaN iff some value is NaN.
+    values = [f"CAST({_q(c)} AS DOUBLE)" for c in feature_cols]
+    if not values:
+        where = "true"
+    else:
+        top = values[0] if len(values) == 1 else f"greatest({', '.join(values)})"
+        where = f"({' + '.join(values)}) IS NOT NULL AND NOT isnan({top})"
     statement = f"SELECT *, {', '.join(selects)} FROM __THIS__ WHERE {where}" if selects else "SELECT * FROM __THIS__"
     return SQLTransformer(statement=statement), [*passthrough, *outs]
 

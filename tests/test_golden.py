@@ -131,3 +131,16 @@ def test_label_counts_match_string_indexer_and_weights(spark):
     by_join = {r["label_idx"]: r["weight"] for r in weights.add_class_weights(indexed).collect()}
     by_map = {r["label_idx"]: r["weight"] for r in add_weights_from_counts(indexed, counts).collect()}
     assert by_join == by_map == weights_from_counts(counts)
+
+
+def test_sanitize_stage_drops_null_nan_rows(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from flowguard.operators.features import feature_pipeline
+
+    rows = [("a", 1.0, 2.0), ("a", None, 1.0), ("b", float("nan"), 1.0), ("b", float("inf"), -3.0),
+            ("a", -0.0, float("-inf"))]
+    df = spark.createDataFrame(rows, "label string, x double, y double")
+    out = feature_pipeline(["x", "y"]).fit(df).transform(df)
+    got = sorted(tuple(r) for r in out.select(vector_to_array("features")).collect())
+    assert got == [([0.0, 0.0],), ([0.0, 0.0],), ([1.0, 2.0],)]
