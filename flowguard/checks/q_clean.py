@@ -130,7 +130,8 @@ FROM embeddings""")
 def sanitize_vector(spark, sf_dir):
     em = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     out = clean.sanitize_vector(em, "embedding")
-    return out.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    exploded = out.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    return exploded.select("vec_id", F.col("pos").cast("long").alias("pos"), "value")
 
 
 @register("trim_column_names", """

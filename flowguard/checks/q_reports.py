@@ -67,7 +67,7 @@ SELECT kind, model, round(f1_macro, {R}) AS f1_macro,
        row_number() OVER (PARTITION BY kind ORDER BY f1_macro DESC, position) AS rank_in_kind FROM ev_cmp""")
 def chart_single_vs_ensemble(spark, sf_dir):
     out = charts.chart_single_vs_ensemble(rule_evaluation(spark, sf_dir).comparison)
-    return out.select("kind", "model", _r("f1_macro"), "rank_in_kind")
+    return out.select("kind", "model", _r("f1_macro"), F.col("rank_in_kind").cast("long").alias("rank_in_kind"))
 
 
 @register("chart_class_f1_heatmap", RULE_METRICS + """

@@ -39,7 +39,8 @@ FROM ev_all""")
 def soft_vote_probability(spark, sf_dir):
     pred = event_rule_predictions(spark, sf_dir)
     out = ensemble.soft_vote_probability(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "prob", RULE_PROB_LENGTHS)
-    return out.select("event_id", F.posexplode("prob").alias("pos", "p"))
+    exploded = out.select("event_id", F.posexplode("prob").alias("pos", "p"))
+    return exploded.select("event_id", F.col("pos").cast("long").alias("pos"), "p")
 
 
 @register("vector_argmax", with_(EVENTS_RULES) + """
@@ -151,7 +152,7 @@ SELECT model, kind, round(f1_macro, {R}) AS f1_macro,
        row_number() OVER (ORDER BY f1_macro DESC, position) AS rank FROM ev_cmp""")
 def rank_models(spark, sf_dir):
     cmp = rule_evaluation(spark, sf_dir).comparison
-    return ranking.rank_models(cmp).select("model", "kind", _r("f1_macro"), F.col("rank"))
+    return ranking.rank_models(cmp).select("model", "kind", _r("f1_macro"), F.col("rank").cast("long").alias("rank"))
 
 
 @register("best_single", RULE_METRICS + f"""

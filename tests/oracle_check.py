@@ -50,6 +50,22 @@ def _norm(v, approx: bool):
     return ("s", str(v))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(spark_dtypes, duck_types) -> list:
+    """Columns whose Spark type and DuckDB type differ (simple types; arrays compared by name)."""
+    duck = dict(duck_types)
+    out = []
+    for name, t in spark_dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = str(duck.get(name, "?")).upper()
+        if want != got and not (t.startswith("array") and got.endswith("[]")):
+            out.append((name, t, got))
+    return out
+
+
 def compare(spark_rows, spark_cols, sql_rows, sql_cols):
     res = {"rows_spark": len(spark_rows), "rows_sql": len(sql_rows)}
     res["cols_match"] = sorted(spark_cols) == sorted(sql_cols)
@@ -99,12 +115,16 @@ def main(argv=None):
         try:
             cur = con.execute(oracles[k])
             qcols = [d[0] for d in cur.description]
+            qtypes = [(d[0], d[1]) for d in cur.description]
             qrows = cur.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"{k:28s} SQL ERROR {type(e).__name__}: {str(e)[:300]}")
             bad += 1
             continue
         r = compare(rows, cols, qrows, qcols)
+        tm = type_mismatches(df.dtypes, qtypes)
+        if tm:
+            r["types"] = tm
         ok = r.get("exact") and r["rows_spark"] == r["rows_sql"]
         bad += 0 if ok else 1
         print(f"{k:28s} {'OK  ' if ok else 'FAIL'} {r} {ts:.1f}s")
