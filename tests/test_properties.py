@@ -84,3 +84,22 @@ def test_hash_split_disjoint_and_complete(spark):
     assert 0.75 < len(a) / 5000 < 0.85
     again, _ = split_by_hash(df.repartition(7), ["k"], 0.8, 42)
     assert {r[0] for r in again.collect()} == a  # independent of layout
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=8, max_size=80))
+def test_per_class_match_mllib(spark, pairs):
+    from pyspark.mllib.evaluation import MulticlassMetrics
+
+    labels_seen = {l for _, l in pairs}
+    pairs = [(p if p in labels_seen else min(labels_seen), l) for p, l in pairs]
+    df = spark.createDataFrame([(float(p), float(l)) for p, l in pairs], "prediction double, label double")
+    _, per, m = metrics.compute_metrics(df, "label", {"m": "prediction"})
+    mm = MulticlassMetrics(spark.sparkContext.parallelize([(float(p), float(l)) for p, l in pairs]))
+    for r in per.collect():
+        k = r["label_idx"]
+        assert abs(r["precision"] - mm.precision(k)) < 1e-12
+        assert abs(r["recall"] - mm.recall(k)) < 1e-12
+        assert abs(r["f1"] - mm.fMeasure(k, 1.0)) < 1e-12
+    macro = sum(mm.fMeasure(float(k), 1.0) for k in labels_seen) / len(labels_seen)
+    assert abs(m.first()["f1_macro"] - macro) < 1e-12
