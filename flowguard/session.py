@@ -40,6 +40,27 @@ def local_session(app: str = "flowguard", cores: str = "*", partitions: int = 8)
     return spark
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Suggested settings for a cluster reading very large captures (apply when building the session).
+
+    The library itself sets none of these. Shuffle partitions start high and AQE coalesces
+    them to ~256 MB; skewed partitions (one label or day with a third of the rows) are split
+    at run time; file splits of 256 MB keep a task's input bounded; automatic broadcast stays
+    at its default, since flowguard broadcasts its own small tables only after a size check.
+    """
+    slots = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * slots)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.enabled": "false",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session; created only where unset (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
