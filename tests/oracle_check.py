@@ -87,6 +87,7 @@ def compare(spark_rows, spark_cols, sql_rows, sql_cols):
 def main(argv=None):
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--conf", action="append", default=[], help="session setting key=value (repeatable)")
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args(argv)
 
@@ -94,6 +95,9 @@ def main(argv=None):
     from flowguard.session import local_session
 
     spark = local_session("oracle-check", "8", 8)
+    for kv in args.conf:
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     con = duck(args.sf)
     qs, oracles = E.queries(), E.oracle_sql()
     keys = args.keys or list(qs)
