@@ -156,3 +156,15 @@ def test_run_and_export(spark):
                                                          "ensemble_soft_vote"}
         dist = spark.read.schema(writers.LABEL_DIST_SCHEMA).option("header", True).csv(paths["label_distribution"])
         assert sum(r["count"] for r in dist.collect()) == li.count()
+
+
+def test_header_column_count_mismatch(spark):
+    path = scratch_path(spark, "badhdr") + "/bad.csv"
+    spark.createDataFrame([('a,"b,c"',), ("1,2",)], "value string").coalesce(1).write.text(path)
+    names = flow_csv.read_header(spark, path)  # quoted comma: both parsers agree on 2 columns
+    assert names == ["a", "b,c"]
+    path2 = scratch_path(spark, "badhdr") + "/bad2.csv"
+    # Python's csv sees 3 fields; Spark's parser (backslash escapes) sees 2 -> refuse the file.
+    spark.createDataFrame([('a,"b\\",c"',), ("1,2",)], "value string").coalesce(1).write.text(path2)
+    with pytest.raises(ValueError, match="mismatch"):
+        flow_csv.read_header(spark, path2)
