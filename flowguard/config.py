@@ -51,6 +51,7 @@ class ExperimentConfig:
     categorical: tuple[str, ...] = ()       # columns indexed with StringIndexer (KDD)
     keep_categorical_metadata: bool = False  # True: trees see nominal features (needs max_bins)
     max_bins: int = 32
+    gbt_one_vs_rest: bool = False           # multiclass: train GBT one-vs-rest instead of leaving it out
     label_col: str = "label"
     source_col: str = "source_file"
 

@@ -24,7 +24,7 @@ from flowguard.operators.ensemble import hard_vote, soft_vote
 from flowguard.operators.features import feature_pipeline, label_counts
 from flowguard.operators.labels import prepare_labels
 from flowguard.operators.metrics import confusion_counts, model_metrics, per_class_metrics
-from flowguard.operators.models import pred_col, prob_col, score_models, select_models, train_models
+from flowguard.operators.models import has_probability, pred_col, prob_col, score_models, select_models, train_models
 from flowguard.operators.ranking import comparison_table
 from flowguard.operators.split import sample_splits, split_dispatch
 from flowguard.operators.weights import add_weights_from_counts
@@ -64,10 +64,12 @@ def evaluate(
         hard_col = pred_col(ENSEMBLE_HARD)
         scored = hard_vote(scored, [p for _, p, _ in singles], hard_col)
         pred_map[ENSEMBLE_HARD] = hard_col
-        probs = [pr for _, _, pr in singles]
-        if all(probs):
+        # Soft vote over the models that give probabilities (one-vs-rest models give none).
+        with_prob = [(pr, ln) for (_, _, pr), ln in zip(singles, prob_lengths or [None] * len(singles)) if pr]
+        if len(with_prob) >= 2:
             soft_col = pred_col(ENSEMBLE_SOFT)
-            scored = soft_vote(scored, probs, soft_col, prob_col(ENSEMBLE_SOFT), prob_lengths)
+            lengths = [ln for _, ln in with_prob] if prob_lengths is not None else None
+            scored = soft_vote(scored, [pr for pr, _ in with_prob], soft_col, prob_col(ENSEMBLE_SOFT), lengths)
             pred_map[ENSEMBLE_SOFT] = soft_col
     if only is not None:
         pred_map = {m: c for m, c in pred_map.items() if m in set(only)}
@@ -150,14 +152,12 @@ def run_experiment(
         test_p = prep_model.transform(test).select("label_idx", "features")
 
         names, skipped = select_models(cfg, n_classes=len(labels))
-        fitted = train_models(train_p, names, cfg)
+        fitted = train_models(train_p, names, cfg, n_classes=len(labels))
         times = {name: secs for name, _, secs in fitted}
         scored = score_models(test_p, fitted)
-        lengths = [int(m.numClasses) for _, m, _ in fitted]
-        ev = evaluate(
-            scored, "label_idx", [(n, pred_col(n), prob_col(n)) for n in names], labels, times,
-            persist_confusion=True, prob_lengths=lengths,
-        )
+        lengths = [int(m.numClasses) if has_probability(m) else 0 for _, m, _ in fitted]
+        singles = [(n, pred_col(n), prob_col(n) if has_probability(m) else None) for n, m, _ in fitted]
+        ev = evaluate(scored, "label_idx", singles, labels, times, persist_confusion=True, prob_lengths=lengths)
         # Rows that reached the models: training rows (persisted) and test rows (confusion totals).
         n_train = train_p.count()
         n_test = ev.confusion.filter(F.col("position") == 0).agg(F.sum("count")).first()[0] or 0

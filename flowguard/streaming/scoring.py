@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flowguard.config import ENSEMBLE_HARD, ENSEMBLE_SOFT
 from flowguard.operators.ensemble import hard_vote, soft_vote
 from flowguard.operators.metrics import confusion_counts
-from flowguard.operators.models import pred_col, prob_col, score_models
+from flowguard.operators.models import has_probability, pred_col, prob_col, score_models
 from flowguard.plans.experiment import ExperimentResult, prepare
 
 
@@ -29,8 +29,10 @@ def score_stream(stream: DataFrame, result: ExperimentResult, keep: Sequence[str
     names = [n for n, _, _ in result.fitted]
     if len(names) >= 2:
         scored = hard_vote(scored, [pred_col(n) for n in names], pred_col(ENSEMBLE_HARD))
-        lengths = [int(m.numClasses) for _, m, _ in result.fitted]
-        scored = soft_vote(scored, [prob_col(n) for n in names], pred_col(ENSEMBLE_SOFT), prob_col(ENSEMBLE_SOFT), lengths)
+        probs = [(n, int(m.numClasses)) for n, m, _ in result.fitted if has_probability(m)]
+        if len(probs) >= 2:
+            scored = soft_vote(scored, [prob_col(n) for n, _ in probs], pred_col(ENSEMBLE_SOFT),
+                               prob_col(ENSEMBLE_SOFT), [ln for _, ln in probs])
     return scored
 
 
@@ -39,7 +41,8 @@ def prediction_columns(result: ExperimentResult) -> dict[str, str]:
     out = {n: pred_col(n) for n in names}
     if len(names) >= 2:
         out[ENSEMBLE_HARD] = pred_col(ENSEMBLE_HARD)
-        out[ENSEMBLE_SOFT] = pred_col(ENSEMBLE_SOFT)
+        if sum(has_probability(m) for _, m, _ in result.fitted) >= 2:
+            out[ENSEMBLE_SOFT] = pred_col(ENSEMBLE_SOFT)
     return out
 
 

@@ -168,3 +168,19 @@ def test_header_column_count_mismatch(spark):
     spark.createDataFrame([('a,"b\\",c"',), ("1,2",)], "value string").coalesce(1).write.text(path2)
     with pytest.raises(ValueError, match="mismatch"):
         flow_csv.read_header(spark, path2)
+
+
+def test_gbt_one_vs_rest_multiclass(spark):
+    """Q3: multiclass GBT runs one-vs-rest when asked; soft vote uses the models with probabilities."""
+    days = [f"day-{y}.csv" for y in range(1995, 2002)]
+    base = dict(mode="multiclass", split="file", sample_fraction=1.0, train_sources=tuple(days[:5]),
+                test_sources=tuple(days[5:]), models=("nb", "lr", "gbt"), gbt_iter=3, lr_iter=5)
+    flows = lineitem_flows(spark, SF_SMALL).drop("l_orderkey", "l_linenumber")
+    res = run_experiment(flows, ExperimentConfig(**base))
+    assert "gradient_boosted_trees" in res.skipped
+    res.release()
+    res = run_experiment(flows, ExperimentConfig(**base, gbt_one_vs_rest=True))
+    models = {r["model"] for r in res.comparison.collect()}
+    assert models == {"naive_bayes", "logistic_regression", "gradient_boosted_trees", "ensemble_hard_vote",
+                      "ensemble_soft_vote"}
+    res.release()
