@@ -322,3 +322,29 @@ def run_experiment_naive_bayes(spark, sf_dir):
     res.release()
     return res.comparison.select("model", "accuracy", *[F.round(c, R).alias(c) for c in
                                                          ("precision", "recall", "f1_weighted", "f1_macro")])
+
+
+@register("run_and_export", f"""WITH {NB_CTES},
+nb_long AS (SELECT 'naive_bayes' AS model, 0 AS position, label_idx, pred_naive_bayes AS prediction FROM nb_pred),
+{metrics_sql("nb").strip()}
+SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1_weighted, 6) AS f1_weighted, round(f1_macro, 6) AS f1_macro FROM nb_mm""")
+def run_and_export(spark, sf_dir):
+    """Main entry end to end: capture days named as the 'small' profile -> load -> NB experiment ->
+    result files; returns the model comparison as read back from its CSV (training time left out)."""
+    from flowguard.checks.q_sources import FULL_HEADER, _flows_with_day
+    from flowguard.plans.run import run_and_export as run_and_export_plan
+    from flowguard.session import scratch_path
+    from flowguard.sinks.writers import COMPARISON_SCHEMA
+    from flowguard.sources import flow_csv
+
+    flows = _flows_with_day(spark, sf_dir)
+    data_dir = scratch_path(spark, "cic-small")
+    (train_name,), (test_name,) = flow_csv.CICIDS_PROFILES["small"]
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
+    flow_csv.write_flow_csv(flows.filter(F.col("year") < 2000).select(cols), f"{data_dir}/{train_name}", FULL_HEADER)
+    flow_csv.write_flow_csv(flows.filter(F.col("year") >= 2000).select(cols), f"{data_dir}/{test_name}", FULL_HEADER)
+    cfg = ExperimentConfig(mode="multiclass", data_size="small", sample_fraction=1.0, models=("nb",))
+    written = run_and_export_plan(spark, data_dir, scratch_path(spark, "cic-small-out"), cfg)
+    back = spark.read.schema(COMPARISON_SCHEMA).option("header", True).csv(written["file"]["model_comparison"])
+    return back.drop("train_time_sec")
