@@ -184,3 +184,25 @@ def test_gbt_one_vs_rest_multiclass(spark):
     assert models == {"naive_bayes", "logistic_regression", "gradient_boosted_trees", "ensemble_hard_vote",
                       "ensemble_soft_vote"}
     res.release()
+
+
+def test_cli(spark, capsys):
+    """The runner's flags: validation, missing files -> exit 1, a full run -> result paths."""
+    from flowguard import cli
+
+    with pytest.raises(SystemExit):
+        cli.parse_args(["--data-dir", "x", "--output-dir", "y", "--sample", "0.01"])
+    missing = scratch_path(spark, "nothing-here")
+    assert cli.main(["--data-dir", missing, "--output-dir", scratch_path(spark, "o"), "--size", "small"], spark) == 1
+
+    li = lineitem_flows(spark, SF_SMALL)
+    base = scratch_path(spark, "cli-data")
+    (train_name,), (test_name,) = flow_csv.CICIDS_PROFILES["small"]
+    for name, cond in ((train_name, F.col("source_file") < "day-2000.csv"), (test_name, F.col("source_file") >= "day-2000.csv")):
+        flow_csv.write_flow_csv(li.filter(cond).select("l_quantity", "l_tax", "label"), f"{base}/{name}",
+                                [" Flow Duration", "Fwd Packets", " Label"])
+    out = scratch_path(spark, "cli-out")
+    code = cli.main(["--data-dir", base, "--output-dir", out, "--size", "small", "--split", "file", "--sample", "1.0",
+                     "--mode", "multiclass", "--models", "nb,rf"], spark)
+    assert code == 0
+    assert '"model_comparison"' in capsys.readouterr().out
