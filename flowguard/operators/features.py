@@ -35,8 +35,9 @@ def label_index_table(df: DataFrame, label_col: str = "label", output_col: str =
 def label_counts(df: DataFrame, label_col: str = "label") -> list[tuple[str, int]]:
     """(label, count) in StringIndexer order (count desc, then label): one aggregation, one row per class."""
     counts = df.groupBy(qcol(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.filter(F.col("label").isNotNull()).orderBy(F.desc("n"), "label").collect()
-    return [(r["label"], int(r["n"])) for r in rows]
+    rows = counts.filter(F.col("label").isNotNull()).collect()  # one row per class
+    # Sorted here, not by a global sort job: UTF-8 byte order equals Python's code-point order.
+    return sorted(((r["label"], int(r["n"])) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
 def label_indexer_from(labels: Sequence[str], label_col: str = "label", output_col: str = "label_idx") -> StringIndexerModel:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.functions.exprs import label_index_expr
-from flowguard.operators.features import label_index_table
+from flowguard.operators.features import label_counts
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -89,8 +89,7 @@ def _one_hot(pred, length: int, hit: float, other: float):
 def event_labels(spark: SparkSession, sf_dir: str) -> list[str]:
     """Event-type names in index order: one aggregation, one row per class to the driver."""
     ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"))
-    rows = label_index_table(ev, "label").orderBy("label_idx").collect()
-    return [r["label"] for r in rows]
+    return [label for label, _ in label_counts(ev, "label")]
 
 
 def event_rule_predictions(spark: SparkSession, sf_dir: str, labels: list[str] | None = None) -> DataFrame:
