@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowguard.llm.common import with_columns
+
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pieces, and pre-tokens, whose ids are remembered per Python worker; results don't depend on it.
 REMEMBERED = 400_000
@@ -182,9 +184,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str | Non
                                   {k: t for k, t in ((ids, "array<int>"), (decoded, "string")) if k})
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     frame = docs.select(F.col(text).alias("__text"), *keep)
-    schema = frame.select(*keep).schema
-    for name, kind in new.items():
-        schema = schema.add(name, kind)
+    schema = with_columns(frame, keep, new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared.value

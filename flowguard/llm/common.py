@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowguard.session import scratch_path
 
@@ -32,6 +34,18 @@ def drop_table(df: DataFrame) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def with_columns(frame: DataFrame, keep: list[str], new: dict[str, str]) -> StructType:
+    """The schema of ``keep`` columns of ``frame`` and then ``new`` ones (name: type)."""
+    more = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in new.items()))
+    return StructType([*frame.select(*[F.col(f"`{k}`") for k in keep]).schema.fields, *more.fields])
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver's JVM collect its garbage, so that Spark deletes the shuffle files of finished steps."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -107,8 +121,17 @@ class Words:
         self.first = np.searchsorted(self.start, at)
         power, inverse = _powers(len(buf) + 1)
         with np.errstate(over="ignore"):
-            total = np.r_[np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[: len(buf)], dtype=np.uint64)]
-            self.hashes = mix((total[self.end] - total[self.start]) * inverse[self.start])
+            self._total = np.r_[np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[: len(buf)], dtype=np.uint64)]
+        self._inverse = inverse
+        self.hashes = self._hash(self.end)
+
+    def _hash(self, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self._total[end] - self._total[self.start]) * self._inverse[self.start])
+
+    def prefixes(self, k: int) -> np.ndarray:
+        """Hashes of the first ``k`` bytes of each word; the word's own hash if it isn't longer."""
+        return self._hash(np.minimum(self.end, self.start + k))
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -216,7 +239,7 @@ def linked_minima(link: np.ndarray, ids: np.ndarray) -> np.ndarray:
     top = np.iinfo(np.int64).max
     low = ids.copy()
     while True:
-        new = np.minimum(low, np.where(link, low[None, :], top).min(1))
+        new = np.concatenate([np.minimum(low[k : k + 256], np.where(link[k : k + 256], low[None, :], top).min(1)) for k in range(0, len(ids), 256)])
         if (new == low).all():
             return low
         low = new

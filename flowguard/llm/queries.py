@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm import bpe
-from flowguard.llm.common import table
+from flowguard.llm import bpe, langid, lattice, lshforest, pii, sharding, substring, toxicity
+from flowguard.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,47 @@ def tokenizer_path() -> str:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_decode(docs, tokenizer_path(), keep=["doc_id"], digests=True)
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
+
+
+@query
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query
+def op2_lshforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pii.learn(docs)
+    return pii.find(docs, model).drop("text")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
+    found = toxicity.find_passages(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+@query
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = langid.learn(docs.filter(~held_out(F.col("doc_id"))))
+    named = langid.identify(docs.drop("lang"), profiles)
+    return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
