@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
+import io
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,24 @@ def drop_table(df: DataFrame) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per application), as --py-files would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_flowguard_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "code") + "/flowguard_code.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
+    sc._flowguard_shipped = True
+
+
 def with_columns(frame: DataFrame, keep: list[str], new: dict[str, str]) -> StructType:
     """The schema of ``keep`` columns of ``frame`` and then ``new`` ones (name: type)."""
     more = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in new.items()))

@@ -117,13 +117,13 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
     return Profiles(out, size)
 
 
-def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles, text: str = "text", prefix: str = "lang_") -> DataFrame:
     """``docs`` with lang_pred, lang_score (0 to 1: how much nearer than the second) and lang_distance (0 to 1).
 
     A text that is null or has no letter is ``und`` with score 0 and distance 1, as is every text
-    if no language was learned. Input columns of these names are replaced.
+    if no language was learned. ``prefix`` replaces lang_; input columns of the new names are replaced.
     """
-    new = {"lang_pred": "string", "lang_score": "double", "lang_distance": "double"}
+    new = {f"{prefix}pred": "string", f"{prefix}score": "double", f"{prefix}distance": "double"}
     keep = [c for c in docs.columns if c not in new]
     frame = docs.select(*keep, F.col(text).alias("__text"))
     schema = with_columns(frame, keep, new)
@@ -143,5 +143,5 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
 
 def keep_identified(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """The rows whose language is identified: a text without a letter, or without any n-gram of any profile, goes."""
-    named = identify(docs.select("*", F.col("text").alias("__whole")), profiles, "__whole")
-    return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_distance") < 1)).select(*docs.columns)
+    named = identify(docs, profiles, prefix="__lang_")
+    return named.filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_distance") < 1)).select(*docs.columns)

@@ -262,14 +262,14 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find(docs: DataFrame, model: SpanModel, text: str = "text", mask: str | None = None) -> DataFrame:
+def find(docs: DataFrame, model: SpanModel, text: str = "text", mask: str | None = None, prefix: str = "") -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone, base_sha256 and spans.
 
     A null text counts as empty. ``mask`` adds a column of that name (it may be the text's own)
-    with the text whose spans are masked; a null text stays null there. Input columns of the new
-    names are replaced.
+    with the text whose spans are masked; a null text stays null there. ``prefix`` goes before the
+    other new names. Input columns of the new names are replaced.
     """
-    new = {f"n_{k}": "long" for k in BASE_KINDS} | {"base_sha256": "string", "spans": "string"} | ({mask: "string"} if mask else {})
+    new = {f"{prefix}n_{k}": "long" for k in BASE_KINDS} | {f"{prefix}base_sha256": "string", f"{prefix}spans": "string"} | ({mask: "string"} if mask else {})
     keep = [c for c in docs.columns if c not in new]
     frame = docs.select(*keep, F.col(text).alias("__text"))
     schema = with_columns(frame, keep, new)

@@ -4,31 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm import bpe, langid, lattice, lshforest, pii, sharding, substring, toxicity
-from flowguard.llm.common import held_out, table
+from flowguard.llm import bpe, decontam, langid, lattice, lshforest, pii, pseudolm, sharding, substring, toxicity
+from flowguard.llm.common import held_out, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
 
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    QUERIES[fn.__name__] = run
+    return run
 
-def tokenizer_path() -> str:
-    import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode_decode(docs, tokenizer_path(), keep=["doc_id"], digests=True)
+    return bpe.encode_decode(docs, corpus_pipeline.tokenizer_path(), keep=["doc_id"], digests=True)
 
 
 @query
@@ -73,3 +75,22 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8)
+
+
+@query
+def op8_pseudolm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudolm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
