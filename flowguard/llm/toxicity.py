@@ -2,10 +2,12 @@
 
 A word's score is its log-odds between toxic and other documents under Dirichlet priors spread
 by the word's overall frequency, less a small drift. One linear scan (positive scores only, the
-rest by prefix sums) finds every maximal-scoring segment of a document. Under the null model the
-best of n words' segments follows an extreme-value law whose parameters are estimated from the
-other documents; it turns segment scores into expected counts, and a logistic curve fitted to
-the training sample turns those into a document's score.
+rest by prefix sums) finds every maximal-scoring segment of a document. In documents without
+toxicity the best of n words' segments follows an extreme-value law: as many as K n exp(-rate x)
+segments of score x are expected, where the rate solves E[exp(rate s)] = 1 over the words of such
+documents (with the priors, which know the toxic words too) and K is fitted to the sample's. The
+law turns segment scores into expected counts, and a logistic curve fitted to the training sample
+turns those into a document's score.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from flowguard.llm.common import Words, chunks, plain_words, texts_of, with_colu
 
 #: Labelled training rows, in expectation, that the model is fitted on (drawn by a hash of the id).
 SAMPLE = 20_000
-#: Prior weight as a share of all counts, the drift per word, and the least |z| of a scored word.
-PRIOR, DRIFT, LEAST_Z = 0.02, 0.1, 3.0
+#: Prior weight as a share of all counts, and the drift per word.
+PRIOR, DRIFT = 0.1, 0.1
+#: Least |z| and |log-odds| of a scored word.
+LEAST_Z, LEAST_ODDS = 2.5, 1.0
 #: Besides the word itself, its first bytes are scored, for forms that the sample lacks.
-STEMS = (5, 6)
+STEMS = (5, 6, 7, 8)
 #: A segment is significant if fewer than this many as good are expected in a document without toxicity.
 SIGNIFICANT = 0.01
 
@@ -157,28 +161,34 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         prior = weight * F.col("n") / (yes + no)
         a, b = F.col("yes") + prior, F.col("no") + prior
         odds = F.log(a / (yes + weight - a)) - F.log(b / (no + weight - b))
-        known = counts.select("key", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z")).filter(F.abs("z") >= LEAST_Z).toPandas()  # words of the bounded sample
+        z = odds / F.sqrt(1 / a + 1 / b)
+        known = counts.select("key", odds.alias("odds"), (b / (no + weight)).alias("share"), z.alias("z")).filter(
+            (F.abs("z") >= LEAST_Z) & (F.abs("odds") >= LEAST_ODDS)).toPandas()  # words of the bounded sample
     finally:
         counts.unpersist()
     model = Model(known["key"].to_numpy().view(np.uint64), known["odds"].to_numpy())
+    model.rate = _rate(known["odds"].to_numpy() - DRIFT, known["share"].to_numpy())
     _calibrate(model, rows, spark)
     return model
 
 
+def _rate(scores: np.ndarray, shares: np.ndarray) -> float:
+    """The positive root of E[exp(rate s)] = 1 for words of these scores and shares; all others score -DRIFT."""
+    low, high = 1e-3, 50.0
+    for _ in range(100):
+        rate = (low + high) / 2
+        with np.errstate(over="ignore"):
+            mean = (shares * np.exp(rate * scores)).sum() + max(0.0, 1 - shares.sum()) * math.exp(-rate * DRIFT)
+        low, high = (rate, high) if mean < 1 else (low, rate)
+    return low
+
+
 def _calibrate(model: Model, rows: DataFrame, spark) -> None:
-    """Extreme-value law from the sample's other documents, then the logistic curve."""
+    """K of the extreme-value law from the sample's other documents, then the logistic curve."""
     found = [r for r in _scanned(rows, model, spark).collect() if r["n"]]  # a row of numbers per sampled document
-    null = [(r["best"], r["n"]) for r in found if not r["toxic"] and r["best"] > 0]
-    if len(null) >= 10:
-        best, size = np.array(null, float).T
-        # the best score less its growth with log n has a Gumbel law; its spread and mean give rate and location
-        rate = 1.0
-        for _ in range(20):
-            rate = math.pi / math.sqrt(6) / max(float(np.std(best - np.log(size) / rate)), 0.05)
-        model.rate = rate
-        model.location = rate * float(np.mean(best - np.log(size) / rate)) - 0.5772156649
-    else:
-        model.location = 0.0
+    null = [(r["best"], r["n"]) for r in found if not r["toxic"]]
+    if null:  # the likelihood of P(best <= x) = exp(-K n exp(-rate x)) is largest here
+        model.location = math.log(len(null) / sum(n * math.exp(-model.rate * best) for best, n in null))
     x = np.array([[1.0, *model.features([(0, 0, s) for s in r["scores"]], r["n"])] for r in found])
     y = np.array([float(r["toxic"] != 0) for r in found])
     if len(set(y)) < 2:
