@@ -2,8 +2,8 @@
 
 Naive Bayes has a closed form (class priors and per-class feature log-frequencies), so its
 fitted parameters get a SQL oracle. LR, RF and GBT results depend on MLlib's optimisers and
-tree induction: their queries return one row per test flow with invariant flags and get a
-rows-only check.
+tree induction: their queries return one row per test flow with its label index and invariant
+flags, checked against the same split in SQL.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from flowguard.catalog import R, register
+from flowguard.catalog import ORACLES, R, register
 from flowguard.checks.sql import EVENTS_RULES, with_
 from flowguard.checks.sql import metrics as metrics_sql
 from flowguard.config import ExperimentConfig
@@ -20,13 +20,12 @@ from flowguard.operators.split import split_by_hash, split_by_source
 from flowguard.operators.weights import add_class_weights
 from flowguard.plans.experiment import run_both_splits as run_both_splits_plan
 from flowguard.plans.experiment import run_experiment as run_experiment_plan
-from flowguard.plans.experiment import tagged_comparison
-from flowguard.session import materialize
+from flowguard.session import drop_table, materialize
 from flowguard.sources.tables import (
     DOCUMENT_FEATURES,
-    EMBEDDING_DIM,
     LINEITEM_FEATURES,
     document_flows,
+    embedding_features,
     embedding_flows,
     event_flows,
     event_labels,
@@ -143,26 +142,31 @@ def _invariants(scored, name: str, n_labels: int, key: str):
     prob = vector_to_array(F.col(models.prob_col(name)))
     total = F.aggregate(prob, F.lit(0.0), lambda a, x: a + x)
     return scored.select(
-        key, "label_idx", F.col(models.pred_col(name)).alias("prediction"),
+        key, "label_idx",
         (F.abs(total - 1.0) < 1e-6).alias("prob_sums_to_one"),
-        (F.col(models.pred_col(name)) <= n_labels).alias("known_class"),
+        F.col(models.pred_col(name)).between(0, n_labels).alias("known_class"),
     )
 
 
-def _single_model_query(key: str, name: str, flows_fn, feats, id_col: str, weighted: bool):
-    @register(key)
+def _single_model_query(key: str, name: str, flows_fn, feats, id_col: str, rows_sql: str):
+    sql = f"""WITH flows AS ({rows_sql}),
+parts AS (SELECT *, ('0x' || substr(md5(CAST({id_col} AS VARCHAR) || ':42'), 1, 8))::BIGINT % 10000 < 8000 AS train FROM flows),
+lbl AS (SELECT label, CAST(row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS DOUBLE) AS label_idx
+        FROM parts WHERE train GROUP BY label)
+SELECT {id_col}, coalesce(label_idx, CAST((SELECT count(*) FROM lbl) AS DOUBLE)) AS label_idx,
+       true AS prob_sums_to_one, true AS known_class
+FROM parts LEFT JOIN lbl USING (label) WHERE NOT train"""
+
+    @register(key, sql)
     def q(spark, sf_dir):
         flows = flows_fn(spark, sf_dir)
+        columns = feats(spark, sf_dir) if callable(feats) else feats
         train, test = split_by_hash(flows, [id_col], 0.8, 42)
-        prep = features.feature_pipeline(feats).fit(train)
+        prep = features.feature_pipeline(columns).fit(train)
         labels = features.fitted_label_names(prep)
-        train_p = prep.transform(train).select("label_idx", "features")
-        if weighted:
-            train_p = add_class_weights(train_p, "label_idx")
-        train_p = materialize(train_p)
-        cfg = ExperimentConfig(class_weights=weighted, rf_trees=15, gbt_iter=20, lr_iter=100)
-        fitted = models.build_classifier(name, cfg).fit(train_p)
-        train_p.unpersist()
+        train_p = materialize(add_class_weights(prep.transform(train).select("label_idx", "features"), "label_idx"))
+        fitted = models.build_classifier(name, ExperimentConfig(class_weights=True)).fit(train_p)
+        drop_table(train_p)
         scored = fitted.transform(prep.transform(test).select(id_col, "label_idx", "features"))
         return _invariants(scored, name, len(labels), id_col)
 
@@ -171,24 +175,30 @@ def _single_model_query(key: str, name: str, flows_fn, feats, id_col: str, weigh
     return q
 
 
-EMB_FEATURES = [f"e_{i}" for i in range(EMBEDDING_DIM)]
-_single_model_query("logistic_regression", "logistic_regression", embedding_flows, EMB_FEATURES, "vec_id", True)
-_single_model_query("random_forest", "random_forest", embedding_flows, EMB_FEATURES, "vec_id", True)
-_single_model_query("gradient_boosted_trees", "gradient_boosted_trees", document_flows, DOCUMENT_FEATURES, "doc_id", True)
+EMB_SQL = "SELECT vec_id, CAST(label AS VARCHAR) AS label FROM embeddings"
+DOC_SQL = "SELECT doc_id, CAST(quality AS VARCHAR) AS label FROM documents JOIN labels USING (doc_id)"
+_single_model_query("logistic_regression", "logistic_regression", embedding_flows, embedding_features, "vec_id", EMB_SQL)
+_single_model_query("random_forest", "random_forest", embedding_flows, embedding_features, "vec_id", EMB_SQL)
+_single_model_query("gradient_boosted_trees", "gradient_boosted_trees", document_flows, DOCUMENT_FEATURES, "doc_id", DOC_SQL)
 
 
-@register("train_models")
+@register("train_models", f"""WITH {LI_TRAIN}
+SELECT position, model, 4 AS num_features, (SELECT count(*) FROM tr) AS rows, (SELECT count(*) FROM tr) AS known
+FROM (VALUES (0, 'naive_bayes'), (1, 'logistic_regression'), (2, 'random_forest')) t(position, model)""")
 def train_models(spark, sf_dir):
-    """Fit NB, LR and RF in training order on the lineitem training days; one row per model."""
+    """NB, LR and RF fitted in training order; each scores all training rows with a class of the label list."""
     train, _ = _lineitem_split(spark, sf_dir)
     prep = features.feature_pipeline(LINEITEM_FEATURES).fit(train)
+    k = len(features.fitted_label_names(prep))
     train_p = materialize(add_class_weights(prep.transform(train).select("label_idx", "features"), "label_idx"))
     cfg = ExperimentConfig(models=("nb", "lr", "rf"))
-    names, _ = models.select_models(cfg, n_classes=len(features.fitted_label_names(prep)))
-    fitted = models.train_models(train_p, names, cfg)
-    train_p.unpersist()
-    rows = [(i, n, float(s) > 0.0) for i, (n, _, s) in enumerate(fitted)]
-    return spark.createDataFrame(rows, "position int, model string, timed boolean")
+    fitted = models.train_models(train_p, models.select_models(cfg, n_classes=k)[0], cfg)
+    scored = models.score_models(train_p, fitted)
+    rows = F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(n).alias("model"), F.lit(int(m.numFeatures)).alias("num_features"),
+                 F.col(models.pred_col(n)).alias("p")) for i, (n, m, _) in enumerate(fitted)]))
+    return scored.select(rows).groupBy("position", "model", "num_features").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p").between(0, k - 1)).alias("known"))
 
 
 @register("score_models")
@@ -196,55 +206,71 @@ def score_models(spark, sf_dir):
     """NB and RF fitted on the training days score the test days in one chained pass."""
     train, test = _lineitem_split(spark, sf_dir)
     prep = features.feature_pipeline(LINEITEM_FEATURES).fit(train)
+    k = len(features.fitted_label_names(prep))
     train_p = materialize(add_class_weights(prep.transform(train).select("label_idx", "features"), "label_idx"))
     cfg = ExperimentConfig(fast=True)
     fitted = models.train_models(train_p, models.select_models(cfg)[0], cfg)
-    train_p.unpersist()
+    drop_table(train_p)
     scored = models.score_models(prep.transform(test).select("l_orderkey", "l_linenumber", "label_idx", "features"), fitted)
-    return scored.select("l_orderkey", "l_linenumber", "label_idx",
-                         *[models.pred_col(n) for n, _, _ in fitted])
+    return scored.select("l_orderkey", "l_linenumber", "label_idx", models.pred_col("naive_bayes"),
+                         F.col(models.pred_col("random_forest")).between(0, k).alias("forest_known_class"))
+
+
+def _support(per_class):
+    """Per model and class that occurs: its rows."""
+    return per_class.filter("support > 0").select("model", "class_label", "support")
 
 
-def _comparison_out(df):
-    return df.select("model", "position", "kind", "accuracy", "precision", "recall", "f1_weighted", "f1_macro")
+TRAINED_AND_VOTES = ("naive_bayes", "logistic_regression", "gradient_boosted_trees", "random_forest",
+                     "ensemble_hard_vote", "ensemble_soft_vote")
 
 
-@register("run_experiment")
+@register("run_experiment", """
+SELECT model, l_returnflag AS class_label, count(*) AS support
+FROM lineitem, unnest(['naive_bayes', 'logistic_regression', 'random_forest', 'ensemble_hard_vote', 'ensemble_soft_vote']) t(model)
+WHERE year(l_shipdate) >= 2000 GROUP BY model, l_returnflag""")
 def run_experiment(spark, sf_dir):
     """File split of lineitem flows (days <= 1999 train), multiclass, NB + LR + RF (+ votes)."""
     cfg = ExperimentConfig(mode="multiclass", split="file", sample_fraction=1.0, train_sources=tuple(TRAIN_DAYS),
-                           test_sources=tuple(TEST_DAYS), models=("nb", "lr", "rf"), lr_iter=50)
+                           test_sources=tuple(TEST_DAYS), models=("nb", "lr", "rf"))
     flows = lineitem_flows(spark, sf_dir).drop("l_orderkey", "l_linenumber")
     res = run_experiment_plan(flows, cfg)
-    res.release()  # the comparison reads the confusion table written below the checkpoint folder
-    return _comparison_out(res.comparison)
+    res.release()  # the metrics read the confusion table written below the checkpoint folder
+    return _support(res.per_class)
 
 
-@register("run_both_splits")
+@register("run_both_splits", f"""
+SELECT 'file' AS split, model, CASE WHEN event_type = 'view' THEN 'normal' ELSE 'attack' END AS class_label, count(*) AS support
+FROM events, unnest({list(TRAINED_AND_VOTES)}) t(model) WHERE CAST(ts AS DATE) >= DATE '2024-01-25' GROUP BY ALL
+UNION ALL SELECT 'random', 'train and test', 'all', count(*) FROM events""")
 def run_both_splits(spark, sf_dir):
-    """Binary events (normal = view): random split and file split by day, all four models."""
+    """Binary events (normal = view): random split and file split by day, all four models.
+
+    Of the file split the rows per model and class, of the random split the rows of both parts together.
+    """
     days = [f"day-2024-01-{d:02d}" for d in range(1, 31)]
     cfg = ExperimentConfig(mode="binary", normal_label="view", sample_fraction=1.0, train_sources=tuple(days[:24]),
-                           test_sources=tuple(days[24:]), gbt_iter=10, lr_iter=50)
-    flows = event_flows(spark, sf_dir).drop("event_id")
-    res = run_both_splits_plan(flows, cfg)
+                           test_sources=tuple(days[24:]))
+    res = run_both_splits_plan(event_flows(spark, sf_dir).drop("event_id"), cfg)
+    out = _support(res["file"].per_class).select(F.lit("file").alias("split"), "model", "class_label", "support")
+    both = res["random"].split_summary.agg(F.sum("count").alias("support"))
     for r in res.values():
         r.release()
-    return tagged_comparison(res).select("split", "model", "position", "kind", "f1_macro")
+    return out.unionByName(both.select(F.lit("random").alias("split"), F.lit("train and test").alias("model"), F.lit("all").alias("class_label"), "support"))
 
 
-@register("run_kdd_experiment")
+@register("run_kdd_experiment", "SELECT 'train and test' AS part, count(*) AS rows FROM lineitem")
 def run_kdd_experiment(spark, sf_dir):
-    """KDD layout (from lineitem) read from CSV; binary, random split, categorical indexers, NB + RF."""
+    """KDD layout (from lineitem) read from CSV; binary, random split, the dataset's categorical columns, NB + RF."""
     from flowguard.checks.q_sources import write_kdd_file
-    from flowguard.sources.flow_csv import KDD_CATEGORICAL, KDD_NUMERIC, read_kdd
+    from flowguard.plans.experiment import prepare_flows
+    from flowguard.sources.flow_csv import KDD_NUMERIC, read_kdd
 
-    kdd = read_kdd(spark, write_kdd_file(spark, sf_dir))
-    cfg = ExperimentConfig(dataset="kdd", mode="binary", normal_label="normal", split="random", sample_fraction=1.0,
-                           fast=True, categorical=tuple(KDD_CATEGORICAL))
-    res = run_experiment_plan(kdd, cfg, feature_cols=[*KDD_CATEGORICAL, *KDD_NUMERIC])
+    cfg = ExperimentConfig(dataset="kdd", mode="binary", split="random", sample_fraction=1.0, fast=True)
+    flows = prepare_flows(read_kdd(spark, write_kdd_file(spark, sf_dir)), cfg)
+    res = run_experiment_plan(flows, cfg, feature_cols=[*cfg.categorical, *KDD_NUMERIC])
     res.release()
-    return _comparison_out(res.comparison)
+    return res.split_summary.agg(F.sum("count").alias("rows")).select(F.lit("train and test").alias("part"), "rows")
 
 
 @register("assemble_features", f"""
@@ -297,6 +323,10 @@ nb_pred AS (
   FROM scores s LEFT JOIN lbl ON s.label = lbl.label)"""
 
 
+ORACLES["score_models"] = f"""WITH {NB_CTES}
+SELECT l_orderkey, l_linenumber, label_idx, pred_naive_bayes, true AS forest_known_class FROM nb_pred"""
+
+
 @register("prediction_slice", f"WITH {NB_CTES}\nSELECT l_orderkey, l_linenumber, label_idx, pred_naive_bayes FROM nb_pred")
 def prediction_slice(spark, sf_dir):
     """A fitted model writes its own prediction column (pred_<model>); naive Bayes on the test days."""

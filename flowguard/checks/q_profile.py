@@ -84,37 +84,54 @@ def split_by_source(spark, sf_dir):
     return split.tag_splits(train, test).select("split", "l_orderkey", "l_linenumber", "l_quantity", "label")
 
 
-@register("split_dispatch", SPLIT_ROWS)
+@register("split_dispatch", SPLIT_ROWS + """
+UNION ALL SELECT 'error', NULL, NULL, NULL, unnest(['file', 'hash', 'other'])""")
 def split_dispatch(spark, sf_dir):
+    """Dispatch to the file split; splits without what they need are errors, never another split."""
     flows = lineitem_flows(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_quantity", "label", "source_file")
+    refused = []
+    for kind in ("file", "hash", "random", "other"):
+        try:
+            split.split_dispatch(flows.limit(0), kind)
+        except ValueError:
+            refused.append((kind,))
     train, test = split.split_dispatch(flows, "file", TRAIN_DAYS, TEST_DAYS)
-    return split.tag_splits(train, test).select("split", "l_orderkey", "l_linenumber", "l_quantity", "label")
+    out = split.tag_splits(train, test).select("split", "l_orderkey", "l_linenumber", "l_quantity", "label")
+    errors = spark.createDataFrame(refused, "label string").withColumn("split", F.lit("error"))
+    return out.unionByName(errors, allowMissingColumns=True)
 
 
 @register("split_by_hash", """
-SELECT CASE WHEN ('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 10000 < 8000
-            THEN 'train' ELSE 'test' END AS split, event_id, event_type AS label FROM events""")
+SELECT CASE WHEN ('0x' || substr(md5(coalesce(CAST(k AS VARCHAR), '') || ':42'), 1, 8))::BIGINT % 10000 < 8000
+            THEN 'train' ELSE 'test' END AS split, event_id, event_type AS label
+FROM (SELECT *, CASE WHEN event_id % 20 <> 3 THEN event_id END AS k FROM events) e""")
 def split_by_hash(spark, sf_dir):
-    flows = event_flows(spark, sf_dir).select("event_id", "label", "source_file")
-    train, test = split.split_by_hash(flows, ["event_id"], 0.8, 42)
+    """Every row is in one part, those with a null key (every 20th) together."""
+    flows = event_flows(spark, sf_dir).select("event_id", "label", "source_file", F.expr("CASE WHEN event_id % 20 <> 3 THEN event_id END").alias("k"))
+    train, test = split.split_by_hash(flows, ["k"], 0.8, 42)
     return split.tag_splits(train, test).select("split", "event_id", "label")
 
 
-@register("split_random")
+@register("split_random", "SELECT event_id, event_type AS label, CAST(1 AS BIGINT) AS parts FROM events")
 def split_random(spark, sf_dir):
-    """Seeded randomSplit (layout dependent): rows-only check."""
+    """Every row is in exactly one part."""
     flows = event_flows(spark, sf_dir).select("event_id", "label", "source_file")
     train, test = split.split_random(flows, 0.8, 42)
-    return split.tag_splits(train, test)
+    return split.tag_splits(train, test).groupBy("event_id", "label").agg(F.count(F.lit(1)).alias("parts"))
 
 
-@register("sample_rows_fraction")
+@register("sample_rows_fraction", """
+SELECT split, count(*) AS rows, true AS share_as_asked FROM (
+  SELECT CASE WHEN year(l_shipdate) <= 1999 THEN 'train' ELSE 'test' END AS split FROM lineitem) t GROUP BY split""")
 def sample_rows_fraction(spark, sf_dir):
-    """Sampling after the split: train seed 42, test seed 43 (rows-only check)."""
+    """Sampling after the split: 30 % of the training rows (within 5 %), the test rows whole."""
     flows = lineitem_flows(spark, sf_dir).select("l_orderkey", "l_linenumber", "label", "source_file")
     train, test = split.split_by_source(flows, TRAIN_DAYS, TEST_DAYS)
-    train, test = split.sample_splits(train, test, 0.3, 42)
-    return split.tag_splits(train, test)
+    sampled = split.tag_splits(*split.sample_splits(train, test, 0.3, 42)).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    whole = split.tag_splits(train, test).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+    asked = F.when(F.col("split") == "train", 0.3).otherwise(1.0)
+    far = F.when(F.col("split") == "train", 0.05).otherwise(0.0)
+    return whole.join(sampled, "split").select("split", "rows", (F.abs(F.col("n") / F.col("rows") - asked) <= far).alias("share_as_asked"))
 
 
 @register("source_in", f"""
@@ -142,9 +159,10 @@ def union_by_name(spark, sf_dir):
 WITH w AS (
   SELECT quality, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight
   FROM documents JOIN labels USING (doc_id) GROUP BY quality)
-SELECT d.doc_id, w.weight FROM documents d JOIN labels l ON d.doc_id = l.doc_id JOIN w ON l.quality = w.quality""")
+SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 1.0::DOUBLE ELSE w.weight END AS weight
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id JOIN w ON l.quality = w.quality""")
 def weight_lookup(spark, sf_dir):
-    """Class-frequency table mapped back to the rows (size-checked broadcast join on the class)."""
+    """A given class table mapped back to the rows; a class that it lacks weighs 1."""
     flows = document_flows(spark, sf_dir)
     table_ = weights.class_weights(flows, "label")
-    return weights.add_class_weights(flows, "label", weights=table_).select("doc_id", "weight")
+    return weights.add_class_weights(flows, "label", weights=table_.filter("label <> '0'")).select("doc_id", "weight")

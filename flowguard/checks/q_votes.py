@@ -8,14 +8,13 @@ from flowguard.catalog import R, register
 from flowguard.checks.sql import EVENTS_RULES, RULE_METRICS, with_
 from flowguard.operators import ensemble, metrics, ranking
 from flowguard.plans.experiment import evaluate
-from flowguard.sources.tables import RULE_PROB_LENGTHS, RULES, event_labels, event_rule_predictions
+from flowguard.sources.tables import RULES, event_labels, event_rule_predictions
 
 
 def rule_evaluation(spark, sf_dir, only=None):
     labels = event_labels(spark, sf_dir)
     pred = event_rule_predictions(spark, sf_dir, labels)
-    return evaluate(pred, "label_idx", [(m, p, pr) for m, (p, pr) in RULES.items()], labels,
-                    prob_lengths=RULE_PROB_LENGTHS, only=only)
+    return evaluate(pred, "label_idx", [(m, p, pr) for m, (p, pr) in RULES.items()], labels, persist_confusion=True, only=only)
 
 
 def _r(c: str):
@@ -38,7 +37,7 @@ SELECT event_id, generate_subscripts(prob_ensemble_soft_vote, 1) - 1 AS pos, unn
 FROM ev_all""")
 def soft_vote_probability(spark, sf_dir):
     pred = event_rule_predictions(spark, sf_dir)
-    out = ensemble.soft_vote_probability(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "prob", RULE_PROB_LENGTHS)
+    out = ensemble.soft_vote_probability(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "prob")
     exploded = out.select("event_id", F.posexplode("prob").alias("pos", "p"))
     return exploded.select("event_id", F.col("pos").cast("long").alias("pos"), "p")
 
@@ -60,8 +59,7 @@ def vector_argmax(spark, sf_dir):
 SELECT event_id, pred_ensemble_soft_vote FROM ev_all""")
 def soft_vote(spark, sf_dir):
     pred = event_rule_predictions(spark, sf_dir)
-    out = ensemble.soft_vote(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "pred_ensemble_soft_vote",
-                             lengths=RULE_PROB_LENGTHS)
+    out = ensemble.soft_vote(pred, ["prob_rule_a", "prob_rule_b", "prob_rule_c"], "pred_ensemble_soft_vote")
     return out.select("event_id", "pred_ensemble_soft_vote")
 
 
@@ -75,9 +73,10 @@ def align_predictions(spark, sf_dir):
 
 
 @register("confusion_by_index", RULE_METRICS + """
-SELECT model, label_idx, prediction, count FROM ev_conf""")
+SELECT label_idx, prediction, count FROM ev_conf WHERE model = 'rule_c'""")
 def confusion_by_index(spark, sf_dir):
-    return rule_evaluation(spark, sf_dir).confusion.select("model", "label_idx", "prediction", "count")
+    pred = event_rule_predictions(spark, sf_dir)
+    return metrics.confusion_by_index(pred, "label_idx", "pred_rule_c")
 
 
 @register("confusion_by_label", RULE_METRICS + """
@@ -185,7 +184,19 @@ SELECT model, accuracy, round(precision, {R}) AS precision, round(recall, {R}) A
 
 _kind_rows("single_rows", "single", ranking.single_rows)
 _kind_rows("ensemble_rows", "ensemble", ranking.ensemble_rows)
-_kind_rows("run_ensembles", "ensemble", ranking.ensemble_rows)
+
+
+@register("run_ensembles", RULE_METRICS + f"""
+SELECT 3 AS voters, model, accuracy, round(f1_macro, {R}) AS f1_macro FROM ev_cmp WHERE kind = 'ensemble'
+UNION ALL SELECT 1, model, accuracy, round(f1_macro, {R}) FROM ev_cmp WHERE model = 'rule_a'""")
+def run_ensembles(spark, sf_dir):
+    """Votes need two models at least: three rule predictors give both ensembles, one gives none."""
+    labels = event_labels(spark, sf_dir)
+    pred = event_rule_predictions(spark, sf_dir, labels)
+    singles = [(m, p, pr) for m, (p, pr) in RULES.items()]
+    three = ranking.ensemble_rows(evaluate(pred, "label_idx", singles, labels).comparison)
+    one = evaluate(pred, "label_idx", singles[:1], labels).comparison
+    return three.withColumn("voters", F.lit(3)).unionByName(one.withColumn("voters", F.lit(1))).select("voters", "model", "accuracy", _r("f1_macro"))
 
 
 @register("sample_rows", RULE_METRICS + """
@@ -200,10 +211,13 @@ def sample_rows(spark, sf_dir):
 
 
 @register("join_predictions", with_(EVENTS_RULES) + """
-SELECT event_id, label_idx, pred_rule_a, pred_rule_b, pred_rule_c FROM ev_all""")
+SELECT event_id, label_idx, pred_rule_a, pred_rule_b, pred_rule_c FROM ev_all WHERE event_id % 7 <> 2 AND event_id % 5 <> 1""")
 def join_predictions(spark, sf_dir):
-    """The reference's per-model inner join on a row key (here the event id)."""
-    return align_predictions(spark, sf_dir)
+    """Inner join of per-model frames on a row key: rows that one model lacks are left out."""
+    pred = event_rule_predictions(spark, sf_dir)
+    parts = [pred.select("event_id", "label_idx", "pred_rule_a"), pred.filter("event_id % 7 <> 2").select("event_id", "pred_rule_b"),
+             pred.filter("event_id % 5 <> 1").select("event_id", "pred_rule_c")]
+    return ensemble.align_predictions(parts, "event_id")
 
 
 @register("support_filter", RULE_METRICS + """

@@ -23,15 +23,18 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--dataset", choices=["cicids", "kdd"], default="cicids")
     p.add_argument("--split", choices=["random", "file", "hash", "both"], default="both")
     p.add_argument("--size", choices=["small", "medium", "full"], default="full", dest="data_size")
-    p.add_argument("--sample", type=float, default=0.3, help="fraction of rows after the split, 0.05-1.0")
+    p.add_argument("--sample", type=float, default=0.3, help="share of the training rows to fit on; test rows are all scored")
+    p.add_argument("--keys", default="", help="comma-separated key columns of --split hash")
     p.add_argument("--mode", choices=["binary", "multiclass"], default="binary")
-    p.add_argument("--fast", action="store_true", help="naive Bayes + random forest only")
+    p.add_argument("--fast", action="store_true", help="just the quick pair of models")
     p.add_argument("--no-class-weights", action="store_true")
     p.add_argument("--models", default="", help="comma-separated names or aliases (gbt, rf, nb, lr)")
     p.add_argument("--gbt-one-vs-rest", action="store_true", help="multiclass: GBT one-vs-rest instead of skipping it")
     args = p.parse_args(argv)
     if not 0.05 <= args.sample <= 1.0:
-        p.error("--sample must be between 0.05 and 1.0")
+        p.error(f"--sample {args.sample:g} is outside 0.05 to 1")
+    if (args.split == "hash") != bool(args.keys):
+        p.error("--split hash and --keys go together")
     return args
 
 
@@ -42,6 +45,7 @@ def config_from_args(args: argparse.Namespace) -> ExperimentConfig:
         split="file" if args.split == "both" else args.split,
         data_size=args.data_size,
         sample_fraction=args.sample,
+        key_cols=tuple(k.strip() for k in args.keys.split(",") if k.strip()),
         fast=args.fast,
         class_weights=not args.no_class_weights,
         models=tuple(m.strip().lower() for m in args.models.split(",") if m.strip()),

@@ -22,6 +22,7 @@ BINARY_NORMAL = "normal"
 BINARY_ATTACK = "attack"
 LABEL_CANDIDATES = ("Label", " Label")
 UNKNOWN_LABEL = "__unknown"
+KDD_CATEGORICAL = ("protocol_type", "service", "flag")
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,8 @@ class ExperimentConfig:
     mode: str = "binary"                    # "binary" | "multiclass"
     split: str = "file"                     # "file" | "random" | "hash"
     data_size: str = "full"                 # "small" | "medium" | "full"
-    sample_fraction: float = 0.3
+    sample_fraction: float = 0.3            # share of the training rows that models are fitted on
+    test_fraction: float = 1.0              # share of the test rows that are scored
     fast: bool = False
     class_weights: bool = True
     models: tuple[str, ...] = ()            # empty = fast set or full training order
@@ -48,7 +50,8 @@ class ExperimentConfig:
     normal_label: str = CICIDS_NORMAL_LABEL
     train_sources: tuple[str, ...] = ()     # file split: source names for training
     test_sources: tuple[str, ...] = ()      # file split: source names for testing
-    categorical: tuple[str, ...] = ()       # columns indexed with StringIndexer (KDD)
+    key_cols: tuple[str, ...] = ()          # hash split: the columns whose hash decides
+    categorical: tuple[str, ...] = ()       # columns indexed with StringIndexer (set for KDD)
     keep_categorical_metadata: bool = False  # True: trees see nominal features (needs max_bins)
     max_bins: int = 32
     gbt_one_vs_rest: bool = False           # multiclass: train GBT one-vs-rest instead of leaving it out
@@ -62,6 +65,13 @@ class ExperimentConfig:
             raise ValueError(f"Unknown split {self.split!r}. Use file, random or hash.")
         if not 0.0 < self.sample_fraction <= 1.0:
             raise ValueError("sample_fraction must be in (0, 1].")
+        if not 0.0 < self.test_fraction <= 1.0:
+            raise ValueError("test_fraction must be in (0, 1].")
+        if self.dataset == "kdd":
+            if not self.categorical:
+                object.__setattr__(self, "categorical", KDD_CATEGORICAL)
+            if self.normal_label == CICIDS_NORMAL_LABEL:
+                object.__setattr__(self, "normal_label", KDD_NORMAL_LABEL)
 
     def with_(self, **changes) -> "ExperimentConfig":
         return replace(self, **changes)

@@ -1,9 +1,8 @@
 """Native column expressions for cleaning, sanitising, voting and naming.
 
-These replace the reference's row-at-a-time Python UDFs. Where the number of inputs is
-known when the plan is built (voters, vector lengths) the expressions are unrolled into
-plain scalar expressions, which whole-stage codegen compiles; Spark's higher-order
-functions (interpreted) are the fallback for lengths only known at run time.
+These replace row-at-a-time Python functions. Hard votes are unrolled over the voters into
+scalar expressions, which whole-stage codegen compiles; vectors, whose lengths are only known
+at run time, go through Spark's higher-order functions.
 """
 
 from __future__ import annotations
@@ -69,40 +68,24 @@ def hard_vote_expr(vote_cols: Sequence[Column]) -> Column:
     return -(best.getField("neg"))
 
 
-# Largest (voters x vector length) to unroll; beyond it the higher-order-function form is used.
-UNROLL_LIMIT = 4096
-
-
-def soft_vote_probability_expr(prob_cols: Sequence[Column], lengths: Sequence[int] | None = None) -> Column:
-    """Element-wise mean of probability arrays.
+def soft_vote_probability_expr(prob_cols: Sequence[Column]) -> Column:
+    """Element-wise mean of probability arrays of any lengths.
 
     Shorter arrays are zero-padded to the longest; null arrays are left out of the mean;
-    all null -> null. The sum runs in column order, starting from 0.0. With the vector
-    lengths known (MLlib models expose ``numClasses``) the mean is unrolled into plain
-    expressions (codegen); otherwise higher-order functions handle any length.
+    all null -> null. Each position is one sum over the voters in column order, so the
+    expression grows linearly with their number, whatever the lengths.
     """
     arrays = [p.cast("array<double>") for p in prob_cols]
     n = sum((F.when(a.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for a in arrays), F.lit(0))
-    if lengths is not None and max(lengths, default=0) * len(arrays) <= UNROLL_LIMIT and arrays:
-        width = max(lengths)
-        sizes = [F.when(a.isNotNull(), F.size(a)) for a in arrays]
-        max_len = sizes[0] if len(sizes) == 1 else F.greatest(*sizes)
-        elems = []
-        for i in range(width):
-            acc = F.lit(0.0)
-            for a in arrays:
-                acc = F.when(a.isNull(), acc).otherwise(acc + F.coalesce(F.get(a, F.lit(i)), F.lit(0.0)))
-            elems.append(acc / n)
-        return F.when(n == 0, F.lit(None).cast("array<double>")).otherwise(F.slice(F.array(*elems), F.lit(1), max_len))
-    present = F.filter(F.array(*arrays), lambda a: a.isNotNull())
-    max_len = F.array_max(F.transform(present, lambda a: F.size(a)))
+    sizes = [F.size(F.coalesce(a, F.array().cast("array<double>"))) for a in arrays]
+    longest = sizes[0] if len(sizes) == 1 else F.greatest(*sizes)
     mean = F.transform(
-        F.sequence(F.lit(0), max_len - 1),
-        lambda i: F.aggregate(present, F.lit(0.0), lambda acc, a: acc + F.coalesce(F.get(a, i), F.lit(0.0))) / n,
+        F.sequence(F.lit(0), longest - 1),
+        lambda i: sum((F.coalesce(F.get(a, i), F.lit(0.0)) for a in arrays), F.lit(0.0)) / n,
     )
     return (
         F.when(n == 0, F.lit(None).cast("array<double>"))
-        .when(max_len == 0, F.array().cast("array<double>"))
+        .when(longest == 0, F.array().cast("array<double>"))
         .otherwise(mean)
     )
 

@@ -17,13 +17,11 @@ def trim_column_names(df: DataFrame) -> DataFrame:
 
 
 def normalize_label_column(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Rename ``Label`` / `` Label`` to ``label``; no candidate -> ``ValueError``."""
-    if label_col in df.columns:
-        return df
-    for candidate in LABEL_CANDIDATES:
-        if candidate in df.columns:
-            return df.withColumnRenamed(candidate, label_col)
-    raise ValueError(f"Label column not found. Expected {label_col!r} or 'Label'. Columns: {df.columns}")
+    """The label column under its canonical name; an exact name wins, then a known variant, else ``ValueError``."""
+    found = next((name for name in (label_col, *LABEL_CANDIDATES) if name in df.columns), None)
+    if found is None:
+        raise ValueError(f"none of {[label_col, *LABEL_CANDIDATES]} is among the {len(df.columns)} columns: {', '.join(df.columns)}")
+    return df if found == label_col else df.withColumnRenamed(found, label_col)
 
 
 def feature_columns(df: DataFrame, skip: Iterable[str] = ("label", "source_file")) -> list[str]:
@@ -54,9 +52,9 @@ def drop_header_rows(df: DataFrame, first_col: str, header_name: str) -> DataFra
     """Drop rows whose first cell equals the (trimmed) first header name.
 
     Spark's CSV writer repeats the header in every part file, so a multi-part folder has
-    many such rows. Rows with a null first cell drop too (null comparison), as in the reference.
+    many such rows. A row with a blank first cell is data and stays.
     """
-    return df.filter(F.trim(qcol(first_col)) != F.lit(header_name.strip()))
+    return df.filter(~F.trim(qcol(first_col)).eqNullSafe(F.lit(header_name.strip())))
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -31,13 +31,9 @@ def hard_vote(df: DataFrame, pred_cols: Sequence[str], output_col: str = "predic
 
 def soft_vote_probability(
     df: DataFrame, prob_cols: Sequence[str], output_col: str = "ensemble_probability",
-    lengths: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Mean of probability vectors/arrays (zero-padded, nulls left out).
-
-    ``lengths`` (vector sizes, e.g. each model's ``numClasses``) lets the mean be unrolled.
-    """
-    return df.withColumn(output_col, soft_vote_probability_expr([_as_array(df, c) for c in prob_cols], lengths))
+    """Mean of probability vectors/arrays (zero-padded, nulls left out)."""
+    return df.withColumn(output_col, soft_vote_probability_expr([_as_array(df, c) for c in prob_cols]))
 
 
 def vector_argmax(df: DataFrame, col: str, output_col: str = "prediction") -> DataFrame:
@@ -47,11 +43,9 @@ def vector_argmax(df: DataFrame, col: str, output_col: str = "prediction") -> Da
 
 def soft_vote(
     df: DataFrame, prob_cols: Sequence[str], output_col: str = "prediction", prob_col: str = "ensemble_probability",
-    lengths: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Average the probabilities, then take the argmax."""
-    averaged = soft_vote_probability(df, prob_cols, prob_col, lengths)
-    return averaged.withColumn(output_col, vector_argmax_expr(F.col(prob_col)))
+    """The class of the largest mean probability."""
+    return soft_vote_probability(df, prob_cols, prob_col).withColumn(output_col, vector_argmax_expr(F.col(prob_col)))
 
 
 def align_predictions(frames: Sequence[DataFrame], key: str | Sequence[str]) -> DataFrame:

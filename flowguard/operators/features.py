@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.exprs import label_name_expr, qcol
@@ -23,19 +23,22 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def label_index_table(df: DataFrame, label_col: str = "label", output_col: str = "label_idx") -> DataFrame:
-    """(label, label_idx): most frequent = 0, ties by label text. One aggregation; window on class rows."""
-    counts = df.groupBy(qcol(label_col).alias(label_col)).agg(F.count(F.lit(1)).alias("__n"))
-    order = Window.orderBy(F.desc("__n"), F.col(label_col).asc_nulls_last())
-    return counts.filter(F.col(label_col).isNotNull()).select(
-        label_col, (F.row_number().over(order) - 1).cast("double").alias(output_col)
-    )
+#: A label column with more values than this isn't one; class tables are refused beyond it.
+MAX_CLASSES = 10_000
+
+
+def class_rows(table: DataFrame) -> list:
+    """The rows of a table with one row per class, on the driver; more than ``MAX_CLASSES`` are an error."""
+    rows = table.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes: not a label column")
+    return rows
 
 
 def label_counts(df: DataFrame, label_col: str = "label") -> list[tuple[str, int]]:
     """(label, count) in StringIndexer order (count desc, then label): one aggregation, one row per class."""
     counts = df.groupBy(qcol(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.filter(F.col("label").isNotNull()).collect()  # one row per class
+    rows = class_rows(counts.filter(F.col("label").isNotNull()))
     # Sorted here, not by a global sort job: UTF-8 byte order equals Python's code-point order.
     return sorted(((r["label"], int(r["n"])) for r in rows), key=lambda x: (-x[1], x[0]))
 

@@ -70,7 +70,8 @@ def confusion_by_label(confusion: DataFrame, labels: Sequence[str]) -> DataFrame
         label_name_expr(F.col("prediction"), labels).alias("predicted_label"),
         "count",
     )
-    return named
+    order = [c for c in ("position",) if c in confusion.columns]
+    return named.orderBy(*order, F.desc("count"), "actual_label", "predicted_label")
 
 
 def distinct_classes(confusion: DataFrame) -> DataFrame:

@@ -1,15 +1,15 @@
 """Profiling aggregations: totals, rows per source, label distribution, split summary.
 
 Each is a single grouped aggregation over the whole table (partial aggregation on the map
-side, so a label holding most rows costs no more than any other). Percentages use a window
-over the *aggregated* rows only, whose number is the number of groups.
+side, so a label holding most rows costs no more than any other). Percentages divide by a scalar
+subquery over the aggregated rows (with ``by``, by a total per group).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.exprs import qcol
@@ -18,9 +18,14 @@ from flowguard.operators.labels import prepare_labels
 
 
 def _with_percent(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    total = F.sum("count").over(Window.partitionBy(*[qcol(b) for b in by]))
+    if by:  # a total per group, joined on the group
+        totals = counts.groupBy(*[qcol(b).alias(f"__{b}") for b in by]).agg(F.sum("count").alias("__total"))
+        counts = counts.join(totals, [F.col(f"__{b}").eqNullSafe(qcol(b)) for b in by])
+        total = F.col("__total")
+    else:
+        total = counts.agg(F.sum("count")).scalar()
     pct = F.when(total > 0, F.round(F.col("count") * 100.0 / total, 4)).otherwise(F.lit(0.0))
-    return counts.withColumn("percent", pct)
+    return counts.withColumn("percent", pct).drop("__total", *[f"__{b}" for b in by])
 
 
 def dataset_summary(df: DataFrame, label_col: str = "label", source_col: str = "source_file") -> DataFrame:
@@ -37,7 +42,11 @@ def rows_per_source(df: DataFrame, source_col: str = "source_file", by: Sequence
 
 def label_distribution(df: DataFrame, label_col: str = "label", by: Sequence[str] = ()) -> DataFrame:
     """Count and percent (4 decimals) per label, by count desc then label."""
-    counts = df.groupBy(*by, qcol(label_col).alias("label")).agg(F.count(F.lit(1)).alias("count"))
+    return distribution_of(df.groupBy(*by, qcol(label_col).alias("label")).agg(F.count(F.lit(1)).alias("count")), by)
+
+
+def distribution_of(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The label distribution of known (label, count) rows."""
     return _with_percent(counts, by).orderBy(*by, F.desc("count"), "label")
 
 
@@ -54,4 +63,4 @@ def count_dataset(
     """Loaded data -> dropna -> label preparation -> label distribution with the total (no training)."""
     prepared = prepare_labels(drop_incomplete(df), mode, normal_label, label_col)
     dist = label_distribution(prepared, label_col)
-    return dist.withColumn("total_rows", F.sum("count").over(Window.partitionBy()))
+    return dist.withColumn("total_rows", dist.agg(F.sum("count")).scalar())

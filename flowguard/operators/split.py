@@ -1,8 +1,7 @@
 """Train/test splitting and sampling.
 
 ``split_by_source`` and ``split_by_hash`` are plain filters (no shuffle, no sort) and do not
-depend on partition layout; ``split_random`` keeps the reference's ``randomSplit`` for parity
-(it sorts within partitions and depends on layout).
+depend on partition layout; ``split_random`` writes its draws once, without a sort.
 """
 
 from __future__ import annotations
@@ -13,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.exprs import qcol
+from flowguard.session import write_table
 
 HASH_BUCKETS = 10_000
+DRAW = "__draw"
 
 
 def split_by_source(
@@ -30,11 +31,12 @@ def split_by_source(
 def split_random(
     df: DataFrame, train_fraction: float = 0.8, seed: int = 42, source_col: str = "source_file"
 ) -> tuple[DataFrame, DataFrame]:
-    """``randomSplit([f, 1-f], seed)`` after dropping the source tag (reference parity)."""
-    if source_col in df.columns:
-        df = df.drop(source_col)
-    train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-    return train, test
+    """A seeded draw per row, written once to the shared folder; both parts are filters on the draw.
+
+    Every row is in exactly one part, also if an executor is lost or the input is read again.
+    """
+    tagged = write_table(df.drop(source_col).withColumn(DRAW, F.rand(seed)), "random-split")
+    return tagged.filter(F.col(DRAW) < train_fraction).drop(DRAW), tagged.filter(F.col(DRAW) >= train_fraction).drop(DRAW)
 
 
 def hash_bucket(key: Column, seed: int = 42) -> Column:
@@ -47,11 +49,12 @@ def split_by_hash(
     df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.8, seed: int = 42,
     source_col: str = "source_file",
 ) -> tuple[DataFrame, DataFrame]:
-    """Reproducible split: a row is in train when its key's bucket is below the bar.
+    """Reproducible split: a row is in train when its key's bucket is below the bar, else in test.
 
-    Deterministic across runs, layouts and executor loss, and pushes down as a filter.
+    Rows with a null key share a bucket (that of the empty key). Deterministic across runs, layouts and executor loss, and pushes down as a filter.
     """
-    key = qcol(key_cols[0]) if len(key_cols) == 1 else F.concat_ws("|", *[qcol(k).cast("string") for k in key_cols])
+    parts = [F.coalesce(qcol(k).cast("string"), F.lit("")) for k in key_cols]  # a null key is a key like any other
+    key = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
     bar = int(round(train_fraction * HASH_BUCKETS))
     bucket = hash_bucket(key, seed)
     if source_col in df.columns:
@@ -64,9 +67,11 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def sample_splits(train: DataFrame, test: DataFrame, fraction: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Sampling after the split: train with ``seed``, test with ``seed + 1``."""
-    return sample_fraction(train, fraction, seed), sample_fraction(test, fraction, seed + 1)
+def sample_splits(
+    train: DataFrame, test: DataFrame, fraction: float, seed: int = 42, test_fraction: float = 1.0
+) -> tuple[DataFrame, DataFrame]:
+    """Sampling after the split: train with ``seed``, test (whole unless asked otherwise) with ``seed + 1``."""
+    return sample_fraction(train, fraction, seed), sample_fraction(test, test_fraction, seed + 1)
 
 
 def split_dispatch(
@@ -79,11 +84,17 @@ def split_dispatch(
     key_cols: Sequence[str] = (),
     source_col: str = "source_file",
 ) -> tuple[DataFrame, DataFrame]:
-    """``file`` with source lists -> by source; ``hash`` with keys -> by hash; otherwise random."""
-    if split == "file" and (train_sources or test_sources) and source_col in df.columns:
+    """``file`` -> by source lists; ``hash`` -> by keys; ``random``. What a split needs and lacks is an error."""
+    if split == "file":
+        if not train_sources or not test_sources or source_col not in df.columns:
+            raise ValueError(f"the file split needs train and test sources and a {source_col!r} column")
         return split_by_source(df, train_sources, test_sources, source_col)
-    if split == "hash" and key_cols:
+    if split == "hash":
+        if not key_cols:
+            raise ValueError("the hash split needs key columns")
         return split_by_hash(df, key_cols, train_fraction, seed, source_col)
+    if split != "random":
+        raise ValueError(f"no such split: {split!r}")
     return split_random(df, train_fraction, seed, source_col)
 
 

@@ -1,6 +1,8 @@
 """End-to-end experiment: prepare -> split -> sample -> fit features -> train -> score -> vote -> metrics.
 
-Data movement per experiment:
+Data movement:
+  * the raw flows are read once: the prepared rows are written as a parquet table in the shared
+    folder with a random draw per row, and every split of it is a filter;
   * the feature pipeline fit reads the training part once (StringIndexer counts);
   * the assembled training frame is checkpointed to the shared folder and persisted, because
     every MLlib fit iterates over it (lost executors recompute from the checkpoint files);
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.config import ENSEMBLE_HARD, ENSEMBLE_SOFT, ExperimentConfig
+from flowguard.functions.exprs import qcol
 from flowguard.operators.clean import drop_incomplete, feature_columns
 from flowguard.operators.ensemble import hard_vote, soft_vote
 from flowguard.operators.features import feature_pipeline, label_counts
@@ -26,9 +29,9 @@ from flowguard.operators.labels import prepare_labels
 from flowguard.operators.metrics import confusion_counts, model_metrics, per_class_metrics
 from flowguard.operators.models import has_probability, pred_col, prob_col, score_models, select_models, train_models
 from flowguard.operators.ranking import comparison_table
-from flowguard.operators.split import sample_splits, split_dispatch
+from flowguard.operators.split import DRAW, sample_splits, split_dispatch
 from flowguard.operators.weights import add_weights_from_counts
-from flowguard.session import materialize, wide_plan_guard
+from flowguard.session import drop_table, materialize, write_table
 
 
 @dataclass
@@ -50,14 +53,12 @@ def evaluate(
     train_times: dict[str, float] | None = None,
     ensembles: bool = True,
     persist_confusion: bool = False,
-    prob_lengths: Sequence[int] | None = None,
     only: Sequence[str] | None = None,
 ) -> Evaluation:
     """Votes (with >= 2 models) + metrics for prediction columns of one scored frame.
 
-    ``singles`` lists (model, prediction column, probability column or None) in order;
-    ``prob_lengths`` (vector size per model) lets the soft vote be unrolled; ``only`` counts just
-    those models (columns of the others are then pruned from the plan by Catalyst).
+    ``singles`` lists (model, prediction column, probability column or None) in order; ``only``
+    counts just those models (columns of the others are then pruned from the plan by Catalyst).
     """
     pred_map = {name: p for name, p, _ in singles}
     if ensembles and len(singles) >= 2:
@@ -65,17 +66,16 @@ def evaluate(
         scored = hard_vote(scored, [p for _, p, _ in singles], hard_col)
         pred_map[ENSEMBLE_HARD] = hard_col
         # Soft vote over the models that give probabilities (one-vs-rest models give none).
-        with_prob = [(pr, ln) for (_, _, pr), ln in zip(singles, prob_lengths or [None] * len(singles)) if pr]
+        with_prob = [pr for _, _, pr in singles if pr]
         if len(with_prob) >= 2:
             soft_col = pred_col(ENSEMBLE_SOFT)
-            lengths = [ln for _, ln in with_prob] if prob_lengths is not None else None
-            scored = soft_vote(scored, [pr for pr, _ in with_prob], soft_col, prob_col(ENSEMBLE_SOFT), lengths)
+            scored = soft_vote(scored, with_prob, soft_col, prob_col(ENSEMBLE_SOFT))
             pred_map[ENSEMBLE_SOFT] = soft_col
     if only is not None:
         pred_map = {m: c for m, c in pred_map.items() if m in set(only)}
     conf = confusion_counts(scored, label_col, pred_map)
     if persist_confusion:
-        conf = materialize(conf, "confusion")
+        conf = write_table(conf, "confusion")
     per = per_class_metrics(conf, labels)
     metrics = model_metrics(per)
     comp = comparison_table(metrics, train_times)
@@ -91,6 +91,7 @@ class ExperimentResult:
     train_times: dict[str, float]
     evaluation: Evaluation
     prepared: DataFrame
+    label_counts: DataFrame
     split_summary: DataFrame
     prep_model: object = None
     fitted: list = field(default_factory=list)
@@ -111,57 +112,90 @@ class ExperimentResult:
         return self.evaluation.confusion
 
     def release(self) -> None:
-        """Drop persisted frames (training set, confusion table)."""
+        """Delete the scratch tables that the results no longer need (the training set)."""
         for df in self.persisted:
-            df.unpersist()
+            drop_table(df)
+        self.persisted = []
 
 
 def prepare(df: DataFrame, cfg: ExperimentConfig) -> DataFrame:
-    """dropna + label preparation (the reference's ``preprocess``)."""
+    """Rows without a null, with their labels prepared."""
     return prepare_labels(drop_incomplete(df), cfg.mode, cfg.normal_label, cfg.label_col)
 
 
+@dataclass
+class PreparedFlows:
+    """Prepared rows in the shared folder, each with a draw for the random split, and their labels by source."""
+
+    rows: DataFrame
+    counts: DataFrame          # (label, source, count), a small table
+    seed: int
+
+    def release(self) -> None:
+        drop_table(self.rows)
+        drop_table(self.counts)
+
+
+def prepare_flows(df: DataFrame, cfg: ExperimentConfig) -> PreparedFlows:
+    """The one pass over the raw flows; all that follows reads its table."""
+    rows = write_table(prepare(df, cfg).withColumn(DRAW, F.rand(cfg.seed)), "prepared")
+    source = qcol(cfg.source_col) if cfg.source_col in rows.columns else F.lit(None).cast("string")
+    counts = rows.groupBy(qcol(cfg.label_col).alias("label"), source.alias("source")).agg(F.count(F.lit(1)).alias("count"))
+    return PreparedFlows(rows, write_table(counts, "prepared-counts"), cfg.seed)
+
+
+def split_prepared(flows: PreparedFlows, cfg: ExperimentConfig, key_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Train and test part of the prepared table, as filters."""
+    rows = flows.rows
+    if cfg.split == "random":
+        low = F.col(DRAW) < cfg.train_fraction
+        return tuple(rows.filter(part).drop(DRAW, cfg.source_col) for part in (low, ~low))
+    if cfg.split == "file":
+        listed = {*cfg.train_sources, *cfg.test_sources}
+        found = {r["source"] for r in flows.counts.filter(F.col("source").isin(list(listed))).select("source").distinct().collect()}
+        if listed - found:
+            raise ValueError(f"no rows from listed sources: {', '.join(sorted(listed - found))}")
+    return split_dispatch(rows.drop(DRAW), cfg.split, cfg.train_sources, cfg.test_sources, cfg.train_fraction, cfg.seed, key_cols, cfg.source_col)
+
+
 def run_experiment(
-    df: DataFrame,
+    df: DataFrame | PreparedFlows,
     cfg: ExperimentConfig,
     feature_cols: Sequence[str] | None = None,
     key_cols: Sequence[str] = (),
 ) -> ExperimentResult:
-    """One experiment over a loaded flow table (``label`` + features [+ ``source_file``])."""
-    spark = df.sparkSession
-    prepared = prepare(df, cfg)
+    """One experiment over a loaded flow table (``label`` + features [+ ``source_file``]), or over prepared flows."""
+    key_cols = tuple(key_cols) or cfg.key_cols
+    flows = df if isinstance(df, PreparedFlows) else prepare_flows(df, cfg)
+    prepared = flows.rows.drop(DRAW)
     skip = {cfg.label_col, cfg.source_col, *key_cols}
-    feats = list(feature_cols) if feature_cols else [c for c in feature_columns(prepared, skip)]
-
-    train, test = split_dispatch(
-        prepared, cfg.split, cfg.train_sources, cfg.test_sources, cfg.train_fraction, cfg.seed, key_cols, cfg.source_col
-    )
-    train, test = sample_splits(train, test, cfg.sample_fraction, cfg.seed)
-
-    with wide_plan_guard(spark):
-        # One aggregation over the training part gives the label order (StringIndexer's rule)
-        # and the class counts for the weights; the label stage is then pre-fitted.
-        counts = label_counts(train, cfg.label_col)
-        labels = [lbl for lbl, _ in counts]
-        pipeline = feature_pipeline(feats, cfg.categorical, cfg.label_col, cfg.keep_categorical_metadata, labels)
-        prep_model = pipeline.fit(train)  # a pass only when categorical columns need indexing
-        train_p = prep_model.transform(train).select("label_idx", "features")
-        if cfg.class_weights:
-            train_p = add_weights_from_counts(train_p, counts, "label_idx")
-        train_p = materialize(train_p, "train")
-        test_p = prep_model.transform(test).select("label_idx", "features")
-
-        names, skipped = select_models(cfg, n_classes=len(labels))
-        fitted = train_models(train_p, names, cfg, n_classes=len(labels))
-        times = {name: secs for name, _, secs in fitted}
-        scored = score_models(test_p, fitted)
-        lengths = [int(m.numClasses) if has_probability(m) else 0 for _, m, _ in fitted]
-        singles = [(n, pred_col(n), prob_col(n) if has_probability(m) else None) for n, m, _ in fitted]
-        ev = evaluate(scored, "label_idx", singles, labels, times, persist_confusion=True, prob_lengths=lengths)
-        # Rows that reached the models: training rows (persisted) and test rows (confusion totals).
-        n_train = train_p.count()
-        n_test = ev.confusion.filter(F.col("position") == 0).agg(F.sum("count")).first()[0] or 0
-    summary = split_summary_from_counts(spark, n_train, n_test)
+    feats = list(feature_cols) if feature_cols else list(feature_columns(prepared, skip))
+
+    train, test = split_prepared(flows, cfg, key_cols)
+    train, test = sample_splits(train, test, cfg.sample_fraction, cfg.seed, cfg.test_fraction)
+
+    # One aggregation over the training part gives the label order (StringIndexer's rule)
+    # and the class counts for the weights; the label stage is then pre-fitted.
+    counts = label_counts(train, cfg.label_col)
+    labels = [lbl for lbl, _ in counts]
+    names, skipped = select_models(cfg, n_classes=len(labels))  # an impossible choice fails before anything is written
+    pipeline = feature_pipeline(feats, cfg.categorical, cfg.label_col, cfg.keep_categorical_metadata, labels)
+    prep_model = pipeline.fit(train)  # a pass only when categorical columns need indexing
+    train_p = prep_model.transform(train).select("label_idx", "features")
+    if cfg.class_weights:
+        train_p = add_weights_from_counts(train_p, counts, "label_idx")
+    train_p = materialize(train_p, "train")
+    test_p = prep_model.transform(test).select("label_idx", "features")
+
+    fitted = train_models(train_p, names, cfg, n_classes=len(labels))
+    times = {name: secs for name, _, secs in fitted}
+    scored = score_models(test_p, fitted)
+    singles = [(n, pred_col(n), prob_col(n) if has_probability(m) else None) for n, m, _ in fitted]
+    ev = evaluate(scored, "label_idx", singles, labels, times, persist_confusion=True)
+    # Rows that reached the models: training rows (persisted) and test rows (confusion totals).
+    n_train = train_p.count()
+    n_test = ev.confusion.filter(F.col("position") == 0).agg(F.sum("count")).first()[0] or 0
+    summary = split_summary_from_counts(prepared.sparkSession, n_train, n_test)
     best = ev.comparison.select("model", "position", "kind", "f1_macro").collect()  # one row per model
     ordered = sorted(best, key=lambda r: (-(r["f1_macro"] or 0.0), r["position"]))
     singles_only = [r for r in ordered if r["kind"] == "single"]
@@ -173,12 +207,13 @@ def run_experiment(
         train_times=times,
         evaluation=ev,
         prepared=prepared,
+        label_counts=flows.counts.groupBy("label").agg(F.sum("count").alias("count")),
         split_summary=summary,
         prep_model=prep_model,
         fitted=fitted,
         best_single=singles_only[0]["model"] if singles_only else None,
         best_overall=ordered[0]["model"] if ordered else None,
-        persisted=[train_p, ev.confusion],
+        persisted=[train_p],
     )
 
 
@@ -191,13 +226,11 @@ def split_summary_from_counts(spark, n_train: int, n_test: int) -> DataFrame:
 
 
 def run_both_splits(
-    df: DataFrame, cfg: ExperimentConfig, feature_cols: Sequence[str] | None = None, key_cols: Sequence[str] = ()
+    df: DataFrame | PreparedFlows, cfg: ExperimentConfig, feature_cols: Sequence[str] | None = None, key_cols: Sequence[str] = ()
 ) -> dict[str, ExperimentResult]:
-    """Random-split and file-split experiments over the same loaded data (stops at the first failure)."""
-    out = {}
-    for split in ("random", "file"):
-        out[split] = run_experiment(df, cfg.with_(split=split), feature_cols, key_cols)
-    return out
+    """Random-split and file-split experiments over one prepared table (stops at the first failure)."""
+    flows = df if isinstance(df, PreparedFlows) else prepare_flows(df, cfg)
+    return {split: run_experiment(flows, cfg.with_(split=split), feature_cols, key_cols) for split in ("random", "file")}
 
 
 def tagged_comparison(results: dict[str, ExperimentResult]) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.exprs import pretty_model_name_expr
-from flowguard.operators.profile import label_distribution
 from flowguard.operators.ranking import ensemble_rows, rank_models, single_rows
 
 
@@ -17,13 +16,13 @@ def _kv(df: DataFrame, pairs: list[tuple[str, object]]) -> DataFrame:
     return df.agg(F.array(*cols).alias("kv")).select(F.inline("kv"))
 
 
-def report_config(prepared: DataFrame, dataset: str, profile: str, mode: str, split: str, sample_fraction: float,
+def report_config(label_counts: DataFrame, dataset: str, profile: str, mode: str, split: str, sample_fraction: float,
                   class_weights: bool, fast: bool) -> DataFrame:
     """Table I: run configuration and the total number of prepared records (before split and sample)."""
-    return _kv(prepared, [
+    return _kv(label_counts, [
         ("dataset", dataset), ("data_profile", profile), ("classification", mode), ("split", split),
         ("sample_fraction", f"{sample_fraction:.0%}"), ("class_weights", str(class_weights)), ("fast_mode", str(fast)),
-        ("total_records", F.count(F.lit(1))),
+        ("total_records", F.coalesce(F.sum("count"), F.lit(0))),
     ])
 
 
@@ -40,15 +39,14 @@ def report_findings(comparison: DataFrame) -> DataFrame:
     )))
 
 
-def report_tables(prepared: DataFrame, comparison: DataFrame, per_class: DataFrame, config_rows: DataFrame,
-                  label_col: str = "label") -> dict[str, DataFrame]:
+def report_tables(distribution: DataFrame, comparison: DataFrame, per_class: DataFrame, config_rows: DataFrame) -> dict[str, DataFrame]:
     """Tables I-VI + findings. Table VI is the per-class table of the best overall method."""
     key = F.struct(F.col("f1_macro"), (-F.col("position")).alias("p"))
     best = comparison.agg(F.max_by("model", key).alias("best_overall"))
     table6 = per_class.join(F.broadcast(best), per_class["model"] == best["best_overall"], "inner").drop("best_overall")
     return {
         "table1_configuration": config_rows,
-        "table2_label_distribution": label_distribution(prepared, label_col),
+        "table2_label_distribution": distribution,
         "table3_single_models": single_rows(comparison).orderBy(F.desc("f1_macro"), "position"),
         "table4_ensembles": ensemble_rows(comparison).orderBy(F.desc("f1_macro"), "position"),
         "table5_ranking": rank_models(comparison),

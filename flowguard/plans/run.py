@@ -1,6 +1,6 @@
-"""One call from raw captures to result files (the reference's main entry point, as a function).
+"""One call from raw captures to result files (the main entry point, as a function).
 
-load (one scan per header layout) -> run_experiment (or both splits) -> result tables written
+load (one scan per header layout) -> prepared table -> run_experiment (or both splits) -> result tables written
 with Spark's writers below ``out_dir``: label distribution, comparison, single/ensemble split,
 per-class metrics, confusion of the best single model, experiment JSON, report tables and
 chart-data tables. Only small result tables are written; nothing is collected to the driver
@@ -9,16 +9,18 @@ except model names and class lists.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.config import ExperimentConfig
+from flowguard.config import KDD_CATEGORICAL, ExperimentConfig
 from flowguard.operators.metrics import confusion_by_label
-from flowguard.operators.profile import label_distribution
+from flowguard.operators.profile import distribution_of
 from flowguard.plans import charts, report
-from flowguard.plans.experiment import ExperimentResult, run_both_splits, run_experiment
+from flowguard.plans.experiment import ExperimentResult, prepare_flows, run_both_splits, run_experiment
 from flowguard.sinks import writers
-from flowguard.sources.flow_csv import load_dataset, source_basename
+from flowguard.sources.flow_csv import KDD_NUMERIC, read_flow_csvs, read_kdd, resolve_profile, source_basename
 
 
 def export_results(res: ExperimentResult, out_dir: str, dataset: str = "cicids") -> dict[str, str]:
@@ -26,22 +28,22 @@ def export_results(res: ExperimentResult, out_dir: str, dataset: str = "cicids")
     cfg = res.config
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    dist = label_distribution(res.prepared, cfg.label_col)
+    dist = distribution_of(res.label_counts)
     paths["label_distribution"] = writers.write_label_distribution(dist, f"{out}/label_distribution")
     cmp_path = writers.write_comparison(res.comparison, f"{out}/model_comparison")
     if cmp_path:
         paths["model_comparison"] = cmp_path
-    paths["single_vs_ensemble"] = writers.write_single_ensemble(res.comparison, f"{out}/single_vs_ensemble")
+    paths.update(writers.write_single_ensemble(res.comparison, f"{out}/single_vs_ensemble"))
     paths["per_class_metrics"] = writers.write_per_class(res.per_class, f"{out}/per_class_metrics")
     if res.best_single:
         named = confusion_by_label(res.confusion.filter(F.col("model") == res.best_single), res.labels)
         paths["confusion_matrix"] = writers.write_confusion(named, f"{out}/confusion_matrix")
     record = writers.experiment_record(res.comparison, res.per_class, dataset, cfg.mode, cfg.split,
-                                       cfg.train_sources, cfg.test_sources)
+                                       cfg.train_sources, cfg.test_sources, [n for n, _, _ in res.fitted], res.skipped)
     paths["experiment_results"] = writers.write_experiment_json(record, f"{out}/experiment_results")
-    config_rows = report.report_config(res.prepared, dataset, cfg.data_size, cfg.mode, cfg.split,
+    config_rows = report.report_config(res.label_counts, dataset, cfg.data_size, cfg.mode, cfg.split,
                                        cfg.sample_fraction, cfg.class_weights, cfg.fast)
-    tables = report.report_tables(res.prepared, res.comparison, res.per_class, config_rows, cfg.label_col)
+    tables = report.report_tables(dist, res.comparison, res.per_class, config_rows)
     paths.update({f"report/{k}": v for k, v in writers.write_report_tables(tables, f"{out}/report").items()})
     chart_tables: dict[str, DataFrame] = {
         "model_f1": charts.chart_model_f1(res.comparison),
@@ -63,22 +65,26 @@ def run_and_export(
 ) -> dict[str, dict[str, str]]:
     """Load the configured profile, run the experiment(s), write all result tables.
 
-    With ``both_splits`` the random and file split run on the same loaded data, written to
-    ``out_dir/random`` and ``out_dir/file``.
+    With ``both_splits`` the random and file split run on one prepared table, written to
+    ``out_dir/random`` and ``out_dir/file``. KDD is one file without capture days: a file split
+    of it (alone or of both) becomes one random split, with a warning.
     """
-    flows = load_dataset(spark, data_dir, cfg.dataset, cfg.data_size)
-    if cfg.dataset == "cicids" and not cfg.train_sources:
-        from flowguard.sources.flow_csv import resolve_profile
-
-        train, test = resolve_profile(spark, data_dir, cfg.data_size, cfg.dataset)
-        cfg = cfg.with_(train_sources=tuple(source_basename(p) for p in train),
-                        test_sources=tuple(source_basename(p) for p in test))
-    if cfg.dataset == "kdd" and cfg.split == "file":
-        cfg = cfg.with_(split="random")  # KDD has no capture days
-    results = run_both_splits(flows, cfg) if both_splits else {cfg.split: run_experiment(flows, cfg)}
+    if cfg.dataset == "kdd" and (both_splits or cfg.split == "file"):
+        warnings.warn("KDD has no capture days: the file split is replaced by one random split", stacklevel=2)
+        cfg, both_splits = cfg.with_(split="random"), False
+    train, test = resolve_profile(spark, data_dir, cfg.data_size, cfg.dataset)
+    if cfg.dataset == "kdd":
+        flows, features = read_kdd(spark, train[0]), [*KDD_CATEGORICAL, *KDD_NUMERIC]
+    else:
+        flows, features = read_flow_csvs(spark, train + test), None
+        if not cfg.train_sources:
+            cfg = cfg.with_(train_sources=tuple(map(source_basename, train)), test_sources=tuple(map(source_basename, test)))
+    prepared = prepare_flows(flows, cfg)
+    results = run_both_splits(prepared, cfg, features) if both_splits else {cfg.split: run_experiment(prepared, cfg, features)}
     written = {}
     for split, res in results.items():
         target = f"{out_dir.rstrip('/')}/{split}" if both_splits else out_dir
         written[split] = export_results(res, target, cfg.dataset)
         res.release()
+    prepared.release()
     return written

@@ -1,24 +1,17 @@
-"""Session-level helpers: shared scratch folders, lineage cuts, bounded broadcasts.
+"""Session-level helpers: shared scratch folders and lineage cuts.
 
 The caller owns the SparkSession. Nothing here sets memory or partition counts; AQE sizes
 shuffles at run time. Scratch data goes below the cluster's shared ``spark.checkpoint.dir``
-(never a machine-local temp folder); only when that setting is unset (local tests) do we
-create one.
+(never a machine-local temp folder); only a session on a local master may leave it unset.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest table we broadcast without asking Spark's size estimate (rows). Class tables,
-# label lists and per-model metric tables are far below this; raw flows never are.
-BROADCAST_MAX_ROWS = 100_000
 
 
 def local_session(app: str = "flowguard", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -46,7 +39,7 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str
     The library itself sets none of these. Shuffle partitions start high and AQE coalesces
     them to ~256 MB; skewed partitions (one label or day with a third of the rows) are split
     at run time; file splits of 256 MB keep a task's input bounded; automatic broadcast stays
-    at its default, since flowguard broadcasts its own small tables only after a size check.
+    at its default.
     """
     slots = executors * cores_per_executor
     return {
@@ -62,7 +55,7 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; created only where unset (tests)."""
+    """The shared checkpoint folder named by the session; made only for a local master (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -71,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="flowguard-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -82,49 +77,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/flowguard-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
-    """Cut lineage by writing a parquet table to the shared folder, then cache what is read back.
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write a parquet table to the shared folder and read it back.
 
-    One pass computes and writes the frame (``Dataset.checkpoint`` would compute it twice:
-    once for its count, once for the write) in a compact columnar form; the returned frame
-    starts from that table, so a lost executor re-reads files instead of recomputing the
-    scan, the split and the features. Column metadata (ML attributes) is kept.
+    One pass computes and writes the frame (``Dataset.checkpoint`` would compute it twice); a
+    lost executor's tasks read the files again. Column metadata (ML attributes) is kept.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only if it has at most ``max_rows`` rows; otherwise leave it to the planner.
-
-    The check fetches at most ``max_rows + 1`` rows once; when the table is within the bound,
-    that fetched copy is what gets broadcast, so the (usually aggregated) input is not
-    computed a second time by the join.
-    """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
-
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """``write_table``, cached: for frames that MLlib reads again and again."""
+    return write_table(df, name).persist(StorageLevel.MEMORY_AND_DISK)
 
-@contextmanager
-def wide_plan_guard(spark: SparkSession):
-    """Plan wide flow tables without Catalyst's constraint propagation, then restore the setting.
 
-    Constraint inference grows explosively on wide plans (tens of feature columns) under
-    ``randomSplit``'s all-column sort; planning then runs out of memory before any data
-    moves. The experiment's eager steps (fits, checkpoints) run inside this guard; every
-    frame handed back afterwards starts from a checkpoint, so its plan is narrow.
-    """
-    key = "spark.sql.constraintPropagation.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+def drop_table(df: DataFrame) -> None:
+    """Unpersist and delete a table of ``write_table`` or ``materialize`` that nothing reads any more."""
+    spark = df.sparkSession
+    df.unpersist()
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

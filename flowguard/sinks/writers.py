@@ -8,7 +8,8 @@ are rounded as in the reference's files: metrics 6 decimals, seconds 2, percent
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+import posixpath
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,12 +40,9 @@ CONFUSION_SCHEMA = StructType(
 )
 
 
-def _write_csv(df: DataFrame, path: str, order: Sequence = (), partition_by: Sequence[str] = ()) -> str:
+def _write_csv(df: DataFrame, path: str, order: Sequence = ()) -> str:
     out = df.orderBy(*order) if order else df
-    w = out.coalesce(1).write.mode("overwrite").option("header", True)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
+    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -67,14 +65,17 @@ def write_comparison(comparison: DataFrame, path: str) -> str | None:
     """CSV of all models by macro-F1 desc; nothing written for an empty table."""
     if comparison.isEmpty():
         return None
-    rows = _comparison_rows(comparison).orderBy(F.desc("f1_macro"), "position")
+    rows = _comparison_rows(comparison.orderBy(F.desc("f1_macro"), "position"))  # by the F1 itself, not its rounding
     return _write_csv(rows.select(*COMPARISON_COLUMNS), path)
 
 
-def write_single_ensemble(comparison: DataFrame, path: str) -> str:
-    """Single classifiers and ensembles in separate files (``kind=single`` / ``kind=ensemble``)."""
-    rows = _comparison_rows(comparison).orderBy(F.desc("f1_macro"), "position")
-    return _write_csv(rows.select(*COMPARISON_COLUMNS, "kind"), path, partition_by=["kind"])
+def write_single_ensemble(comparison: DataFrame, path: str) -> dict[str, str]:
+    """Single classifiers and ensembles by macro-F1 desc, a table each (``path/single``, ``path/ensemble``); an empty one is skipped."""
+    out = {}
+    for kind in ("single", "ensemble"):
+        if written := write_comparison(comparison.filter(F.col("kind") == kind), f"{path.rstrip('/')}/{kind}"):
+            out[f"{posixpath.basename(path.rstrip('/'))}/{kind}"] = written
+    return out
 
 
 def write_per_class(per_class: DataFrame, path: str) -> str:
@@ -89,9 +90,9 @@ def write_per_class(per_class: DataFrame, path: str) -> str:
 
 
 def write_confusion(confusion_named: DataFrame, path: str) -> str:
-    """CSV ``actual_label,predicted_label,count`` ordered by both labels."""
+    """CSV ``actual_label,predicted_label,count``, largest cells first."""
     out = confusion_named.select("actual_label", "predicted_label", "count")
-    return _write_csv(out, path, ["actual_label", "predicted_label"])
+    return _write_csv(out, path, [F.desc("count"), "actual_label", "predicted_label"])
 
 
 def experiment_record(
@@ -102,8 +103,11 @@ def experiment_record(
     split: str,
     train_files: Sequence[str] = (),
     test_files: Sequence[str] = (),
+    models: Sequence[str] = (),
+    skipped: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One nested row: run description, best models, comparison rows and per-class rows.
+    """One nested row: run description, models (trained, and left out with the reason), best models,
+    comparison rows by macro-F1 desc and per-class rows by model and class.
 
     Both tables (one row per model / per model and class) are gathered by ONE aggregation
     over their union; best models come from ``max_by`` in the same pass.
@@ -112,12 +116,12 @@ def experiment_record(
     pc_struct = F.struct("model", "class_label", "precision", "recall", "f1", "support")
     cmp = comparison.select(
         cmp_struct.alias("c"), F.lit(None).cast(pc_struct_type(per_class)).alias("p"),
-        "kind", "position", "f1_macro",
+        "kind", "position", "f1_macro", F.lit(None).cast("double").alias("label_idx"),
     )
     pc = per_class.select(
         F.lit(None).cast(cmp_type(comparison)).alias("c"), pc_struct.alias("p"),
-        F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("position"),
-        F.lit(None).cast("double").alias("f1_macro"),
+        F.lit(None).cast("string").alias("kind"), "position", F.lit(None).cast("double").alias("f1_macro"),
+        "label_idx",
     )
     rank_key = F.struct(F.col("f1_macro"), (-F.col("position")).alias("neg_pos"))
     both = cmp.unionByName(pc)
@@ -125,8 +129,8 @@ def experiment_record(
         F.max_by(F.when(F.col("kind") == "single", F.col("c.model")),
                  F.when(F.col("kind") == "single", rank_key)).alias("best_single"),
         F.max_by(F.col("c.model"), F.when(F.col("c").isNotNull(), rank_key)).alias("best_overall"),
-        F.sort_array(F.collect_list(F.when(F.col("c").isNotNull(), F.struct("position", "c")))).alias("_cmp"),
-        F.collect_list("p").alias("per_class"),
+        F.sort_array(F.collect_list(F.when(F.col("c").isNotNull(), F.struct((-F.col("f1_macro")).alias("k"), "position", "c")))).alias("_cmp"),
+        F.sort_array(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("position", "label_idx", "p")))).alias("_pc"),
     )
     return rec.select(
         F.lit(_dt.datetime.now().isoformat()).alias("generated"),
@@ -137,8 +141,11 @@ def experiment_record(
         F.array(*[F.lit(x) for x in test_files]).cast("array<string>").alias("test_files"),
         "best_single",
         "best_overall",
+        F.array(*[F.lit(m) for m in models]).cast("array<string>").alias("models"),
+        F.array(*[F.struct(F.lit(m).alias("model"), F.lit(why).alias("reason")) for m, why in (skipped or {}).items()])
+        .cast("array<struct<model:string,reason:string>>").alias("skipped"),
         F.transform("_cmp", lambda x: x["c"]).alias("comparison"),
-        "per_class",
+        F.transform("_pc", lambda x: x["p"]).alias("per_class"),
     )
 
 
@@ -171,6 +178,8 @@ EXPERIMENT_JSON_SCHEMA = StructType([
     StructField("test_files", ArrayType(StringType())),
     StructField("best_single", StringType()),
     StructField("best_overall", StringType()),
+    StructField("models", ArrayType(StringType())),
+    StructField("skipped", ArrayType(StructType([StructField("model", StringType()), StructField("reason", StringType())]))),
     StructField("comparison", ArrayType(COMPARISON_SCHEMA)),
     StructField("per_class", ArrayType(PER_CLASS_SCHEMA)),
 ])

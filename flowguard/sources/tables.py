@@ -18,12 +18,10 @@ TABLES = (
 )
 LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 EVENT_FEATURES = ["value", "k", "hour"]
-EMBEDDING_DIM = 64
 DOCUMENT_FEATURES = ["n_chars", "text_len", "n_words", "n_lines"]
 # Rule predictors on events: model name -> (prediction column, probability column).
 RULES = {"rule_a": ("pred_rule_a", "prob_rule_a"), "rule_b": ("pred_rule_b", "prob_rule_b"),
          "rule_c": ("pred_rule_c", "prob_rule_c")}
-RULE_PROB_LENGTHS = (3, 6, 5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,12 +51,21 @@ def event_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embedding_features(spark: SparkSession, sf_dir: str) -> list[str]:
+    """One feature name per element of the vectors; vectors of different widths are an error."""
+    size = F.size("embedding")
+    low, high = table(spark, sf_dir, "embeddings").agg(F.min(size), F.max(size)).first()
+    if low != high:
+        raise ValueError(f"embeddings of {low} to {high} elements")
+    return [f"e_{i}" for i in range(high or 0)]
+
+
 def embedding_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """10-class flows: 64 float features (negatives present), label 0-9 as text."""
+    """10-class flows: one float feature per vector element (negatives present), label 0-9 as text."""
     em = table(spark, sf_dir, "embeddings")
     return em.select(
         "vec_id",
-        *[F.get("embedding", i).cast("double").alias(f"e_{i}") for i in range(EMBEDDING_DIM)],
+        *[F.get("embedding", i).cast("double").alias(name) for i, name in enumerate(embedding_features(spark, sf_dir))],
         F.col("label").cast("string").alias("label"),
     )
 

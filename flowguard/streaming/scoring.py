@@ -29,10 +29,9 @@ def score_stream(stream: DataFrame, result: ExperimentResult, keep: Sequence[str
     names = [n for n, _, _ in result.fitted]
     if len(names) >= 2:
         scored = hard_vote(scored, [pred_col(n) for n in names], pred_col(ENSEMBLE_HARD))
-        probs = [(n, int(m.numClasses)) for n, m, _ in result.fitted if has_probability(m)]
+        probs = [prob_col(n) for n, m, _ in result.fitted if has_probability(m)]
         if len(probs) >= 2:
-            scored = soft_vote(scored, [prob_col(n) for n, _ in probs], pred_col(ENSEMBLE_SOFT),
-                               prob_col(ENSEMBLE_SOFT), [ln for _, ln in probs])
+            scored = soft_vote(scored, probs, pred_col(ENSEMBLE_SOFT), prob_col(ENSEMBLE_SOFT))
     return scored
 
 

@@ -14,6 +14,8 @@ from flowguard.sources.flow_csv import unique_headers
 def test_unique_headers():
     cells = [" Flow ID", "Fwd Header Length", "Fwd Header Length", " Label", "Fwd Header Length "]
     assert unique_headers(cells) == ["Flow ID", "Fwd Header Length", "Fwd Header Length_1", "Label", "Fwd Header Length_2"]
+    assert unique_headers(["A", "A", "A_1"]) == ["A", "A_2", "A_1"]
+    assert unique_headers(["A_1", "A", "A", "A"]) == ["A_1", "A", "A_2", "A_3"]
 
 
 CLEAN_CASES = [
@@ -52,18 +54,31 @@ def test_hard_vote(spark, votes, want):
     assert got == want
 
 
-@pytest.mark.parametrize("lengths", [None, [1, 2]])
-def test_soft_vote_ragged(spark, lengths):
+def test_soft_vote_ragged(spark):
     df = spark.createDataFrame([([1.0], [0.2, 0.8])], "a array<double>, b array<double>")
-    row = soft_vote(df, ["a", "b"], "pred", "prob", lengths).first()
+    row = soft_vote(df, ["a", "b"], "pred", "prob").first()
     assert [round(x, 12) for x in row["prob"]] == [0.6, 0.4]
     assert row["pred"] == 0.0
 
 
-@pytest.mark.parametrize("lengths", [None, [2, 2]])
-def test_soft_vote_all_null(spark, lengths):
+def test_soft_vote_keeps_every_element(spark):
+    df = spark.createDataFrame([([0.1, 0.2, 0.7], [0.2, 0.2, 0.6], None)], "a array<double>, b array<double>, c array<double>")
+    row = soft_vote(df, ["a", "b", "c"], "pred", "prob").first()
+    assert [round(x, 12) for x in row["prob"]] == [0.15, 0.2, 0.65] and row["pred"] == 2.0
+
+
+def test_soft_vote_plan_is_linear_in_voters(spark):
+    def size(voters):
+        df = spark.createDataFrame([tuple([[0.5, 0.5]] * voters)], ", ".join(f"v{i} array<double>" for i in range(voters)))
+        out = df.select(soft_vote_probability_expr([F.col(f"v{i}") for i in range(voters)]).alias("p"))
+        return len(out._jdf.queryExecution().analyzed().toString())
+
+    assert size(12) < 4 * size(4)
+
+
+def test_soft_vote_all_null(spark):
     df = spark.createDataFrame([(None, None)], "a array<double>, b array<double>")
-    got = df.select(soft_vote_probability_expr([F.col("a"), F.col("b")], lengths).alias("p")).first()["p"]
+    got = df.select(soft_vote_probability_expr([F.col("a"), F.col("b")]).alias("p")).first()["p"]
     assert got is None
 
 

@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
@@ -44,10 +46,29 @@ def test_metrics_scan_events_once_and_shuffle_small_tables(spark, key):
 
 
 @pytest.mark.parametrize("key", ["add_class_weights", "weight_lookup"])
-def test_class_tables_are_broadcast(spark, key):
+def test_class_tables_travel_as_literals(spark, key):
+    """No join but that of documents and labels, which makes the flows."""
     text = plan(spark, key)
-    assert "SortMergeJoin" not in text and "BroadcastNestedLoopJoin" not in text
-    assert nodes(text, "BroadcastHashJoin") >= 1
+    assert "BroadcastNestedLoopJoin" not in text
+    assert nodes(text, "BroadcastHashJoin") + nodes(text, "SortMergeJoin") <= 1
+
+
+def test_headers_are_read_without_jobs(spark):
+    """However many capture files there are, only their distinct header lines cost a job each."""
+    from flowguard.session import scratch_path
+    from flowguard.sources import flow_csv
+
+    base = scratch_path(spark, "many")
+    days = spark.range(30).select(F.col("id").alias("x"), F.lit("l").alias("y"), F.concat(F.lit("d"), "id").alias("day"))
+    flow_csv.write_flow_csv(days, base, [" A", " Label"], partition_by=["day"])
+    paths = flow_csv.list_folders(spark, base)
+    jobs = []
+    for n in (3, 30):
+        spark.sparkContext.setJobGroup(f"headers-{n}", "")
+        flow_csv.read_headers(spark, paths[:n])
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers-{n}")))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs[0] == jobs[1] <= 1
 
 
 def test_capture_days_read_by_one_scan_per_header_layout(spark):

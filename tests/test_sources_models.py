@@ -51,6 +51,11 @@ def test_select_models():
     assert select_models(ExperimentConfig(models=("rf", "nb")))[0] == ["naive_bayes", "random_forest"]
     with pytest.raises(ValueError):
         select_models(ExperimentConfig(models=("svm",)))
+    with pytest.raises(ValueError, match="svm"):
+        select_models(ExperimentConfig(models=("nb", "svm")))
+    with pytest.raises(ValueError, match="3 classes"):
+        select_models(ExperimentConfig(models=("gbt",)), n_classes=3)
+    assert select_models(ExperimentConfig(models=("gbt",), gbt_one_vs_rest=True), n_classes=3)[0] == ["gradient_boosted_trees"]
 
 
 def test_weight_column_only_when_used():
@@ -176,7 +181,9 @@ def test_gbt_one_vs_rest_multiclass(spark):
     base = dict(mode="multiclass", split="file", sample_fraction=1.0, train_sources=tuple(days[:5]),
                 test_sources=tuple(days[5:]), models=("nb", "lr", "gbt"), gbt_iter=3, lr_iter=5)
     flows = lineitem_flows(spark, SF_SMALL).drop("l_orderkey", "l_linenumber")
-    res = run_experiment(flows, ExperimentConfig(**base))
+    with pytest.raises(ValueError, match="3 classes"):
+        run_experiment(flows, ExperimentConfig(**base))
+    res = run_experiment(flows, ExperimentConfig(**(base | {"models": (), "rf_trees": 2})))
     assert "gradient_boosted_trees" in res.skipped
     res.release()
     res = run_experiment(flows, ExperimentConfig(**base, gbt_one_vs_rest=True))
@@ -206,3 +213,98 @@ def test_cli(spark, capsys):
                      "--mode", "multiclass", "--models", "nb,rf"], spark)
     assert code == 0
     assert '"model_comparison"' in capsys.readouterr().out
+
+
+def test_source_tags_do_not_depend_on_company(spark):
+    """A file's tag is its name on disk, read alone or with others; file splits by it lose nothing."""
+    base = scratch_path(spark, "odd names")
+    names = ["Fri day.csv", "a=b.csv", "x+y%20z.csv"]
+    for i, name in enumerate(names):
+        fs, p = flow_csv._file_system(spark, f"{base}/{name}")
+        out = fs.create(p)
+        out.write(bytearray(f" A, Label\n{i},BENIGN\n,DDoS\n".encode()))
+        out.close()
+    paths = [f"{base}/{n}" for n in names]
+    alone = {n: {r["source_file"] for r in flow_csv.read_flow_csv(spark, p).collect()} for n, p in zip(names, paths)}
+    together = {r["source_file"] for r in flow_csv.read_flow_csvs(spark, paths).collect()}
+    assert alone == {n: {n} for n in names} and together == set(names)
+    assert flow_csv.read_flow_csvs(spark, paths).count() == 6  # rows with a blank first cell stay
+    assert [flow_csv.source_basename(p) for p in paths] == names and flow_csv.source_basename("x/day=a.csv", folder=True) == "a.csv"
+
+
+def test_listed_source_without_rows(spark):
+    flows = lineitem_flows(spark, SF_SMALL).drop("l_orderkey", "l_linenumber")
+    cfg = ExperimentConfig(mode="binary", normal_label="N", fast=True, train_sources=("day-1996.csv",), test_sources=("day-2050.csv",))
+    with pytest.raises(ValueError, match="day-2050"):
+        run_experiment(flows, cfg)
+
+
+def test_ragged_rows(spark):
+    path = scratch_path(spark, "ragged") + "/r.csv"
+    spark.createDataFrame([(" A, B, Label",), ("1,2,x",), ("3",), ("4,5,y,6",)], "value string").coalesce(1).write.text(path)
+    assert [tuple(r) for r in flow_csv.read_flow_csvs(spark, [path]).collect()] == [(1.0, 2.0, "x", "r.csv")]
+    assert sorted(r["record"] for r in flow_csv.ragged_rows(spark, [path]).collect()) == ["3", "4,5,y,6"]
+
+
+def test_kdd_column_count(spark):
+    def file(*sizes):
+        path = scratch_path(spark, "kdd-cells") + "/k"
+        spark.createDataFrame([(",".join(["1"] * (n - 1) + ["normal."]),) for n in sizes], "value string").coalesce(1).write.text(path)
+        return path
+
+    assert flow_csv.read_kdd(spark, file(42, 42)).count() == 2
+    with pytest.raises(ValueError, match="40 columns"):
+        flow_csv.read_kdd(spark, file(40, 42))
+    with pytest.raises(Exception, match="not 42 cells"):
+        flow_csv.read_kdd(spark, file(42, 45)).collect()
+
+
+def test_kdd_through_the_cli(spark, capsys):
+    """Categorical columns come with the dataset, and both splits become one random split, once and with a warning."""
+    from flowguard import cli
+    from flowguard.checks.q_sources import kdd_frame
+
+    base, out = scratch_path(spark, "kdd-cli"), scratch_path(spark, "kdd-out")
+    flow_csv.write_kdd_csv(kdd_frame(spark, SF_SMALL), f"{base}/{flow_csv.KDD_FILENAME}")
+    with pytest.warns(UserWarning, match="random split"):
+        code = cli.main(["--data-dir", base, "--output-dir", out, "--dataset", "kdd", "--models", "nb", "--sample", "1.0"], spark)
+    said = capsys.readouterr().out
+    assert code == 0 and '"random"' in said and '"file"' not in said
+
+
+def test_hash_split_from_the_cli():
+    from flowguard import cli
+
+    with pytest.raises(SystemExit):
+        cli.parse_args(["--data-dir", "x", "--output-dir", "y", "--split", "hash"])
+    args = cli.parse_args(["--data-dir", "x", "--output-dir", "y", "--split", "hash", "--keys", "a, b"])
+    assert cli.config_from_args(args).key_cols == ("a", "b")
+
+
+def test_shared_folder_is_asked_for_off_local_masters(monkeypatch):
+    from types import SimpleNamespace
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_raw_flows_are_read_once(spark):
+    """Both splits and every result table read the prepared table: one CSV scan in all."""
+    from flowguard.plans.experiment import prepare_flows, run_both_splits
+    from flowguard.sources.flow_csv import read_flow_csvs
+
+    li = lineitem_flows(spark, SF_SMALL)
+    base = scratch_path(spark, "once")
+    names = ("a.csv", "b.csv")
+    for name, cond in zip(names, (F.col("source_file") < "day-2000.csv", F.col("source_file") >= "day-2000.csv")):
+        flow_csv.write_flow_csv(li.filter(cond).select("l_quantity", "l_tax", "label"), f"{base}/{name}", [" D", " P", " Label"])
+    cfg = ExperimentConfig(mode="binary", normal_label="N", models=("nb",), train_sources=names[:1], test_sources=names[1:])
+    flows = prepare_flows(read_flow_csvs(spark, [f"{base}/{n}" for n in names]), cfg)
+    fs, p = flow_csv._file_system(spark, base)
+    fs.delete(p, True)  # nothing may read the captures again
+    for res in run_both_splits(flows, cfg).values():
+        assert res.comparison.count() == 1 and res.label_counts.count() == 2
+        res.release()
+    flows.release()
