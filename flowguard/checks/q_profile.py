@@ -60,6 +60,15 @@ def class_weights(spark, sf_dir):
     return weights.class_weights(document_flows(spark, sf_dir), "label")
 
 
+@register("class_weights_by_source", """
+SELECT source, CAST(quality AS VARCHAR) AS label, count(*) AS count,
+       sum(count(*)) OVER (PARTITION BY source) / (count(*) OVER (PARTITION BY source) * count(*)) AS weight
+FROM documents JOIN labels USING (doc_id) GROUP BY source, quality""")
+def class_weights_by_source(spark, sf_dir):
+    flows = document_flows(spark, sf_dir).withColumnRenamed("source_file", "source")
+    return weights.class_weights(flows, "label", by=["source"])
+
+
 @register("add_class_weights", """
 WITH w AS (
   SELECT quality, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight

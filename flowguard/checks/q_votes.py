@@ -8,7 +8,7 @@ from flowguard.catalog import R, register
 from flowguard.checks.sql import EVENTS_RULES, RULE_METRICS, with_
 from flowguard.operators import ensemble, metrics, ranking
 from flowguard.plans.experiment import evaluate
-from flowguard.sources.tables import RULES, event_labels, event_rule_predictions
+from flowguard.sources.tables import RULES, event_labels, event_rule_predictions, table
 
 
 def rule_evaluation(spark, sf_dir, only=None):
@@ -126,6 +126,21 @@ def compute_metrics(spark, sf_dir):
     return m.select("model", "accuracy", *[_r(c) for c in ROUNDED])
 
 
+@register("metrics_by_day", with_(EVENTS_RULES) + """
+SELECT CAST(CAST(e.ts AS DATE) AS VARCHAR) AS day, l.model, count(*) AS rows,
+       CAST(count(*) FILTER (WHERE l.prediction = l.label_idx) AS DOUBLE) / count(*) AS accuracy
+FROM (SELECT event_id, 'rule_a' AS model, label_idx, pred_rule_a AS prediction FROM ev_pred
+      UNION ALL SELECT event_id, 'rule_c', label_idx, pred_rule_c FROM ev_pred) l JOIN events e USING (event_id)
+GROUP BY ALL""")
+def metrics_by_day(spark, sf_dir):
+    """Metrics per capture day and model from one aggregation."""
+    days = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").cast("string").alias("day"))
+    pred = event_rule_predictions(spark, sf_dir).join(days, "event_id")
+    _, per, m = metrics.compute_metrics(pred, "label_idx", {"rule_a": "pred_rule_a", "rule_c": "pred_rule_c"}, by=["day"])
+    rows = per.groupBy("day", "model").agg(F.sum("support").alias("rows"))
+    return m.join(rows, ["day", "model"]).select("day", "model", "rows", "accuracy")
+
+
 def _single_metric(key: str, col: str, rounded: bool):
     expr = f"round({col}, {R})" if rounded else col
     sql = RULE_METRICS + f"SELECT model, {expr} AS {col} FROM ev_mm"

@@ -33,25 +33,26 @@ def _as_pairs(pred_cols: Mapping[str, str] | Sequence[str]) -> list[tuple[str, s
 
 
 def long_predictions(
-    df: DataFrame, label_col: str, pred_cols: Mapping[str, str] | Sequence[str]
+    df: DataFrame, label_col: str, pred_cols: Mapping[str, str] | Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(model, position, label_idx, prediction): one row per flow and model (a Generate, no shuffle)."""
+    """(by, model, position, label_idx, prediction): one row per flow and model (a Generate, no shuffle)."""
     pairs = _as_pairs(pred_cols)
     rows = F.array(*[
         F.struct(F.lit(m).alias("model"), F.lit(i).alias("position"), qcol(c).cast("double").alias("prediction"))
         for i, (m, c) in enumerate(pairs)
     ])
-    return df.select(qcol(label_col).cast("double").alias("label_idx"), F.inline(rows)).select(
-        "model", "position", "label_idx", "prediction"
+    keep = [qcol(b).alias(b) for b in by]
+    return df.select(*keep, qcol(label_col).cast("double").alias("label_idx"), F.inline(rows)).select(
+        *map(qcol, by), "model", "position", "label_idx", "prediction"
     )
 
 
 def confusion_counts(
-    df: DataFrame, label_col: str, pred_cols: Mapping[str, str] | Sequence[str]
+    df: DataFrame, label_col: str, pred_cols: Mapping[str, str] | Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(model, position, label_idx, prediction, count) for all models in one aggregation."""
-    long = long_predictions(df, label_col, pred_cols).filter(F.col("label_idx").isNotNull())
-    return long.groupBy("model", "position", "label_idx", "prediction").agg(F.count(F.lit(1)).alias("count"))
+    """([by,] model, position, label_idx, prediction, count) for all models (and groups) in one aggregation."""
+    long = long_predictions(df, label_col, pred_cols, by).filter(F.col("label_idx").isNotNull())
+    return long.groupBy(*map(qcol, by), "model", "position", "label_idx", "prediction").agg(F.count(F.lit(1)).alias("count"))
 
 
 def confusion_by_index(df: DataFrame, label_col: str = "label_idx", pred_col: str = "prediction") -> DataFrame:
@@ -83,9 +84,9 @@ def distinct_classes(confusion: DataFrame) -> DataFrame:
     return seen.filter(F.col("class_idx").isNotNull()).distinct().orderBy(*keys, "class_idx")
 
 
-def per_class_metrics(confusion: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
-    """(model, position, label_idx, [class_label,] precision, recall, f1, support) per class seen."""
-    keys = [c for c in ("model", "position") if c in confusion.columns]
+def per_class_metrics(confusion: DataFrame, labels: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """([by,] model, position, label_idx, [class_label,] precision, recall, f1, support) per class seen."""
+    keys = [*by, *[c for c in ("model", "position") if c in confusion.columns]]
     zero = F.lit(0).cast("long")
     roles = F.array(
         F.struct(
@@ -115,9 +116,9 @@ def per_class_metrics(confusion: DataFrame, labels: Sequence[str] | None = None)
     return out.select(*cols, "precision", "recall", "f1", "support", "tp")
 
 
-def model_metrics(per_class: DataFrame) -> DataFrame:
-    """(model, position, accuracy, precision, recall, f1_weighted, f1_macro) from per-class rows."""
-    keys = [c for c in ("model", "position") if c in per_class.columns]
+def model_metrics(per_class: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """([by,] model, position, accuracy, precision, recall, f1_weighted, f1_macro) from per-class rows."""
+    keys = [*by, *[c for c in ("model", "position") if c in per_class.columns]]
     total = F.sum("support")
 
     def weighted(c: str):
@@ -133,12 +134,13 @@ def model_metrics(per_class: DataFrame) -> DataFrame:
 
 
 def compute_metrics(
-    df: DataFrame, label_col: str, pred_cols: Mapping[str, str] | Sequence[str], labels: Sequence[str] | None = None
+    df: DataFrame, label_col: str, pred_cols: Mapping[str, str] | Sequence[str], labels: Sequence[str] | None = None,
+    by: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(confusion, per_class, metrics) for every prediction column of a scored frame."""
-    conf = confusion_counts(df, label_col, pred_cols)
-    per = per_class_metrics(conf, labels)
-    return conf, per, model_metrics(per)
+    """(confusion, per_class, metrics) for every prediction column of a scored frame, per group of ``by`` (e.g. the day)."""
+    conf = confusion_counts(df, label_col, pred_cols, by)
+    per = per_class_metrics(conf, labels, by)
+    return conf, per, model_metrics(per, by)
 
 
 def metric_column(metrics: DataFrame, name: str) -> DataFrame:
