@@ -106,14 +106,22 @@ def feature_pipeline(spark, sf_dir):
     )
 
 
-@register("preprocess", """
-SELECT l_orderkey, l_linenumber, CASE WHEN upper(trim(l_returnflag)) = 'N' THEN 'normal' ELSE 'attack' END AS label
-FROM lineitem""")
+@register("preprocess", f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN upper(trim(l_returnflag)) = 'N' THEN 'normal' ELSE 'attack' END AS label,
+  CASE WHEN (l_returnflag = 'N') = (n > total - n) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label_idx,
+  {", ".join(f"{SAN.format(x=c)} AS f_{i}" for i, c in enumerate(LINEITEM_FEATURES))}
+FROM (SELECT *, count(*) OVER () AS total, count(*) FILTER (WHERE l_returnflag = 'N') OVER () AS n
+      FROM lineitem WHERE l_orderkey % 11 <> 5) t""")
 def preprocess(spark, sf_dir):
+    """Rows without a null (every 11th order gets one), labels, label index by frequency and the sanitised features."""
     from flowguard.plans.experiment import prepare
 
     cfg = ExperimentConfig(mode="binary", normal_label="N")
-    return prepare(lineitem_flows(spark, sf_dir), cfg).select("l_orderkey", "l_linenumber", "label")
+    flows = lineitem_flows(spark, sf_dir).withColumn("l_tax", F.expr("CASE WHEN l_orderkey % 11 <> 5 THEN l_tax END"))
+    prepared = prepare(flows, cfg)
+    out = features.feature_pipeline(LINEITEM_FEATURES).fit(prepared).transform(prepared)
+    arr = vector_to_array(F.col("features"))
+    return out.select("l_orderkey", "l_linenumber", "label", "label_idx", *[arr[i].alias(f"f_{i}") for i in range(len(LINEITEM_FEATURES))])
 
 
 @register("naive_bayes", f"""WITH {LI_TRAIN},
