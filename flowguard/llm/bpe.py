@@ -14,18 +14,20 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import with_columns
+from flowguard.llm.common import small_batches, texts_of, with_columns
 
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pieces, and pre-tokens, whose ids are remembered per Python worker; results don't depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _WS = "\t-\r \x85\xa0  -     　"  # Unicode White_Space
 #: A piece is white space and the run of other characters after it. No pre-token crosses pieces.
@@ -68,7 +70,7 @@ class ByteBpe:
         self.older: dict[str, tuple[int, ...]] = {}
 
     def __reduce__(self):
-        return ByteBpe, (self.source,)
+        return coder, (self.source,)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -155,6 +157,12 @@ class ByteBpe:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(1)
+def coder(source: str) -> ByteBpe:
+    """The tokenizer of a file's content: one per process, which tasks share one after another."""
+    return ByteBpe(source)
+
+
 def load(spark, path: str) -> ByteBpe:
     """The tokenizer file at ``path`` (any file system Spark reads, or a file of the driver)."""
     try:
@@ -167,7 +175,7 @@ def load(spark, path: str) -> ByteBpe:
         data = bytes(row["content"])
     if len(data) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} is larger than {MAX_VOCABULARY_BYTES} bytes")
-    return ByteBpe(data.decode())
+    return coder(data.decode())
 
 
 def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str | None = "token_ids", decoded: str | None = "decoded",
@@ -188,18 +196,17 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared.value
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             count, first, second = [], [], []
-            column = batch.column(0)
-            for i in range(len(column)):
-                found = bpe.encode(column[i].as_py() or "")
+            for text in texts_of(batch.column(0)):
+                found = bpe.encode(text)
                 back = bpe.decode(found)
                 count.append(len(found))
                 if digests:
                     first.append(hashlib.sha256(",".join(map(bpe.decimal.__getitem__, found)).encode()).hexdigest())
                     second.append(hashlib.sha256(back.encode()).hexdigest())
                 else:
-                    first.append(found if ids else None)
+                    first.append(np.array(found, np.int32) if ids else None)
                     second.append(back if decoded else None)
             values = [pa.array(count, pa.int64())]
             if digests:

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -92,6 +93,20 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], text: int, limit: int = 4 * CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most ``limit`` bytes in column number ``text`` (a larger row is alone)."""
+    for batch in batches:
+        for lo, hi in chunks(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist(), limit):
+            yield batch.slice(lo, hi - lo)
+
+
+def text_chunks(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, end, texts) of consecutive rows of at most ``limit`` bytes together (a larger row is alone)."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for lo, hi in chunks(sizes, limit):
+        yield lo, hi, texts_of(column.slice(lo, hi - lo))
+
+
 # ---------------------------------------------------------------------------------------------
 # Hashes of words and shingles
 
@@ -266,6 +281,41 @@ def linked_minima(link: np.ndarray, ids: np.ndarray) -> np.ndarray:
         low = new
 
 
+class Tally:
+    """Links per id and components over the tiles of a group: what a task returns of it, a row per linked id."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = np.unique(ids)
+        self.n = np.zeros(len(self.ids), np.int64)
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, ids: np.ndarray, n: np.ndarray, low: np.ndarray) -> None:
+        """``n`` more links of ``ids``, each linked (directly or not) with ``low``."""
+        at = np.searchsorted(self.ids, ids)
+        np.add.at(self.n, at, n)
+        to = np.searchsorted(self.ids, low)
+        self.edges.append((at[at != to], to[at != to]))
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, links, smallest id of the component within the group) of the linked ids."""
+        a, b = (np.concatenate([e[k] for e in self.edges]) if self.edges else np.zeros(0, np.int64) for k in (0, 1))
+        low = np.arange(len(self.ids))
+        while True:
+            new = low.copy()
+            np.minimum.at(new, a, low[b])
+            np.minimum.at(new, b, low[a])
+            new = new[new]
+            if (new == low).all():
+                break
+            low = new
+        some = np.flatnonzero((self.n > 0) | (low != np.arange(len(low))))
+        return self.ids[some], self.n[some], self.ids[low[some]]
+
+
+def tiles(rows: np.ndarray, size: int) -> list[np.ndarray]:
+    return [rows[k : k + size] for k in range(0, len(rows), size)]
+
+
 # ---------------------------------------------------------------------------------------------
 # Connected components
 
@@ -273,30 +323,31 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(id, component) for every vertex of ``edges`` (a, b: long): the smallest id of its component.
 
     Alternates two steps that replace a vertex's links by links to its smallest neighbour until
-    the links are stars. Each step aggregates a minimum per vertex (combined before the shuffle)
-    and joins it back (a join whose large partitions Spark can split), so that a hub costs no
-    single task; every round is written to the shared folder.
+    the links are stars. Each step aggregates a minimum per vertex (combined before the shuffle),
+    writes it, and joins it back: a join of two plain tables, whose large partitions Spark can
+    split, so that a hub costs no single task. Every step's links are a written table.
     """
     now = write_table(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-links")
-    mark = _mark(now)
-    while mark[0]:
+    while not _stars(now):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = write_table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-low")
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
             low.filter("m < a").select("a", F.col("m").alias("b"))).distinct()
         large = write_table(large, f"{name}-large")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        drop_table(low)
+        drop_table(now)
+        low = write_table(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-low")
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
             low.select("a", F.col("m").alias("b"))).distinct()
-        new = write_table(small, f"{name}-small")
+        now = write_table(small, f"{name}-small")
+        drop_table(low)
         drop_table(large)
-        drop_table(now)
-        now, old = new, mark
-        if (mark := _mark(now)) == old:
-            break
     roots = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)
 
 
-def _mark(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _stars(links: DataFrame) -> bool:
+    """Every vertex is either the end of links (a star's centre) or the start of exactly one."""
+    roles = links.select(F.col("a").alias("v"), F.lit(1).alias("out")).unionAll(links.select(F.col("b").alias("v"), F.lit(0).alias("out")))
+    per = roles.groupBy("v").agg(F.sum("out").alias("starts"), (F.count("*") - F.sum("out")).alias("ends"))
+    return per.filter("starts > 1 OR (starts > 0 AND ends > 0)").isEmpty()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import chunks, least, permutations, plain_words, shingles, texts_of, with_columns
+from flowguard.llm.common import CHUNK_CHARS, least, permutations, plain_words, shingles, small_batches, texts_of, with_columns
 
 #: Bytes of item text that a pass over the documents takes (expected; one item is never divided).
 BLOCK_BYTES = 4 << 20
@@ -133,15 +133,13 @@ def mark(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text: str =
     out = docs.select(*keep).withColumn(column, F.array().cast("array<struct<item_id:long,containment:double>>"))
     for rows in item_blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(Items(rows, threshold))
+        width = len(keep) + 2
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
-            for batch in batches:
-                texts = texts_of(batch.column(batch.num_columns - 1))
-                before = batch.column(batch.num_columns - 2).to_pylist()
-                now: list = []
-                for lo, hi in chunks(map(len, texts)):
-                    now += block.found(texts[lo:hi])
+            for batch in small_batches(batches, width - 1, CHUNK_CHARS):
+                before = batch.column(width - 2).to_pylist()
+                now = block.found(texts_of(batch.column(width - 1)))
                 both = [[*(b or []), *({"item_id": i, "containment": c} for i, c in x)] for b, x in zip(before, now)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(both, kind)], names=[*batch.schema.names[:-2], column])
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import texts_of, with_columns
+from flowguard.llm.common import small_batches, texts_of, with_columns
 
 #: Most frequent n-grams (one to three letters, a space marks a word's edge) in a profile.
 PROFILE = 400
@@ -128,12 +128,12 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", prefix: st
     frame = docs.select(*keep, F.col(text).alias("__text"))
     schema = with_columns(frame, keep, new)
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    width = len(frame.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            found = [model.predict(column[i].as_py() or "") for i in range(len(column))]
+        for batch in small_batches(batches, width - 1):
+            found = [model.predict(t) for t in texts_of(batch.column(width - 1))]
             name, score, away = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(away, pa.float64())],
                                              names=[*batch.schema.names[:-1], *new])

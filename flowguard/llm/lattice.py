@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import components, linked_minima, mix, numbers, whole_groups, write_table
+from flowguard.llm.common import Tally, components, linked_minima, mix, numbers, tiles, whole_groups, write_table
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,8 @@ class Lattice:
     width: float = 0.8
     probes: int = 24
     seed: int = 1
-    block: int = 512
+    block: int = 4096  # vectors of a block: each goes to a task for each block of its cell
+    tile: int = 512  # vectors of a tile: the blocks of a task are compared tile by tile
 
 
 @lru_cache(1)
@@ -155,8 +156,8 @@ def _compare(kinds: DataFrame, threshold: float, lattice: Lattice) -> DataFrame:
     keys = base.mapInArrow(keyed, "cell long, id long, home boolean")
     keys = write_table(keys, "vector-cells")
     counts = keys.groupBy("cell").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("h"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-    counts = counts.filter("h > 0 and lo < hi").select(
-        "cell", F.ceil(F.col("h") / lattice.block).cast("int").alias("hb"), F.ceil(F.col("n") / lattice.block).cast("int").alias("ab"))
+    counts = write_table(counts.filter("h > 0 and lo < hi").select(
+        "cell", F.ceil(F.col("h") / lattice.block).cast("int").alias("hb"), F.ceil(F.col("n") / lattice.block).cast("int").alias("ab")), "vector-cell-counts")
     live = keys.join(counts, "cell")
     # a home row goes to block i of the homes against every block j of all rows, and a row of block j to every i
     h1, h2 = F.pmod(F.xxhash64("id"), F.col("hb")).cast("int"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("ab")).cast("int")
@@ -166,68 +167,93 @@ def _compare(kinds: DataFrame, threshold: float, lattice: Lattice) -> DataFrame:
     work = work.select("cell", "i", "j", "side", "id", "copies", "label", "embedding").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(lattice)
         for t, starts in whole_groups(batches, ["cell", "i", "j"]):
             cell = t.column("cell").to_numpy().view(np.uint64)
             side = t.column("side").to_numpy(zero_copy_only=False)
             ids, copies = t.column("id").to_numpy(), t.column("copies").to_numpy()
-            label = t.column("label").combine_chunks()
-            salt = _label_salt(label)
-            unit: list = [None] * t.num_rows
+            salt = _label_salt(t.column("label"))
+            length, place, unit = np.zeros(t.num_rows, int), np.zeros(t.num_rows, int), {}
             for at, values in _by_length(t.column("embedding")):
-                for k, row in zip(at, values):
-                    unit[k] = row
+                length[at], place[at] = values.shape[1], np.arange(len(at))
+                unit[values.shape[1]] = values
             out: list[tuple] = []
             for lo, hi in zip(starts[:-1], starts[1:]):
-                a, b = lo + np.flatnonzero(side[lo:hi]), lo + np.flatnonzero(~side[lo:hi])
-                if len(a) and len(b) and (len(a) > 1 or len(b) > 1 or ids[a[0]] != ids[b[0]]):
-                    out += _block(cell[lo], a, b, ids, copies, salt, unit, threshold, lattice)
+                if hi - lo == 2 and ids[lo] == ids[lo + 1]:
+                    continue  # a vector alone
+                rows = np.arange(lo, hi)
+                found = []
+                for n in (length[lo],) if (length[lo:hi] == length[lo]).all() else np.unique(length[lo:hi]):
+                    group = rows[length[lo:hi] == n]
+                    a, b = group[side[group]], group[~side[group]]
+                    for p in tiles(a, lattice.tile):
+                        for q in tiles(b, lattice.tile):
+                            x = _tile(cell[lo], ids[p], ids[q], copies[p], copies[q], salt[p], salt[q], unit[n][place[p]], unit[n][place[q]], threshold, known)
+                            if x:
+                                found.append(x)
+                if found:
+                    tally = Tally(np.concatenate([x[0] for x in found]))
+                    for x in found:
+                        tally.add(*x)
+                    out.append(tally.rows())
             cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "n", "low"])
 
     return work.mapInArrow(compared, "id long, n long, low long")
 
 
-def _block(cell, a, b, ids, copies, salt, unit, threshold, lattice) -> list[tuple]:
-    """Links between home rows ``a`` and rows ``b`` of one cell that count in this cell."""
-    same = (salt[a][:, None] == salt[b][None, :]) & (ids[a][:, None] != ids[b][None, :])
-    dim = len(unit[a[0]])
-    if any(len(unit[k]) != dim for k in (*a, *b)):  # cells of unlike lengths whose hashes are equal
-        return []
-    x, y = np.stack([unit[k] for k in a]), np.stack([unit[k] for k in b])
-    link = same & (x @ y.T >= threshold)
-    if not link.any():
-        return []
+class Known:
+    """Cells of the vectors that a task has met last: a vector near others comes in many cells."""
+
+    SIZE = 20_000
+
+    def __init__(self, lattice: Lattice):
+        self.lattice = lattice
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def cells(self, ids: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        new = [k for k, i in enumerate(ids.tolist()) if i not in self.rows]
+        if new:
+            if len(self.rows) + len(new) > self.SIZE:
+                self.rows.clear()
+                new = list(range(len(ids)))
+            home, probe = cells(unit[new], self.lattice)
+            self.rows.update(zip(ids[new].tolist(), zip(home, probe)))
+        found = [self.rows[i] for i in ids.tolist()]
+        return np.stack([f[0] for f in found]), np.stack([f[1] for f in found])
+
+
+def _tile(cell, ida, idb, copies_a, copies_b, salt_a, salt_b, x, y, threshold, known: Known) -> tuple | None:
+    """Links between home rows a and rows b of one cell, for a ``Tally``: those that count in this cell, and the components of all."""
+    link = (x @ y.T >= threshold) & (salt_a[:, None] == salt_b[None, :]) & (ida[:, None] != idb[None, :])
     ra, rb = np.flatnonzero(link.any(1)), np.flatnonzero(link.any(0))
-    a, b, x, y, link = a[ra], b[rb], x[ra], y[rb], link[np.ix_(ra, rb)]
-    counted = link & ~_met_before(cell, salt[a[0]], ids[a], ids[b], x, y, lattice)
+    if not len(ra):
+        return None
+    ida, idb, link = ida[ra], idb[rb], link[np.ix_(ra, rb)]
+    mask = salt_a[ra[0]] ^ np.uint64(x.shape[1])
+    a, b = known.cells(ida, x[ra]), known.cells(idb, y[rb])
+    counted = link & ~_met_before(cell ^ mask, ida, idb, a, b)
     # a row of b that isn't at home here gets its count from this side too; one at home has the pair as a row of a as well
-    home_b = np.isin(ids[b], ids[a]) | _at_home(cell, salt[b[0]], y, lattice)
-    both = np.zeros((len(a) + len(b),) * 2, bool)
-    both[: len(a), len(a) :] = link
+    away = ~(b[0] == cell ^ mask).any(1)
+    both = np.zeros((len(ida) + len(idb),) * 2, bool)
+    both[: len(ida), len(ida) :] = link
     both |= both.T
-    every = np.concatenate([ids[a], ids[b]])
-    n = np.concatenate([counted @ copies[b], np.where(home_b, 0, counted.T @ copies[a])])
-    return [(every, n, linked_minima(both, every))]
-
-
-def _at_home(cell, salt, y, lattice) -> np.ndarray:
-    home, _ = cells(y, lattice)
-    return ((home ^ salt ^ np.uint64(y.shape[1])) == cell).any(1)
+    every = np.concatenate([ida, idb])
+    n = np.concatenate([counted @ copies_b[rb], np.where(away, counted.T @ copies_a[ra], 0)])
+    return every, n, linked_minima(both, every)
 
 
-def _met_before(cell, salt, ida, idb, x, y, lattice) -> np.ndarray:
+def _met_before(cell, ida, idb, a, b) -> np.ndarray:
     """Pairs that an earlier cell counts: one of an earlier table, or of this table the smaller id's home."""
-    mask = salt ^ np.uint64(x.shape[1])
-    (ha, pa_), (hb, pb) = cells(x, lattice), cells(y, lattice)
-    at = np.flatnonzero(((ha ^ mask) == cell).any(0))
+    (ha, probes_a), (hb, probes_b) = a, b
+    at = np.flatnonzero((ha == cell).any(0))
     t = int(at[0]) if len(at) else 0  # none: a last bit differs from the first pass, and the pair counts here
-    seen = np.zeros((len(x), len(y)), bool)
+    seen = np.zeros((len(ida), len(idb)), bool)
     for k in range(t):
-        seen |= _meets(ha[:, k], hb[:, k], pb[:, k]) | _meets(hb[:, k], ha[:, k], pa_[:, k]).T
+        seen |= _meets(ha[:, k], hb[:, k], probes_b[:, k]) | _meets(hb[:, k], ha[:, k], probes_a[:, k]).T
     # in this table: at the home of the smaller id if the other row comes there, else at the home of the larger
-    own_b = hb[:, t] ^ mask
-    elsewhere = _meets(hb[:, t], ha[:, t], pa_[:, t]).T  # the row of a comes to b's home
-    return seen | ((idb[None, :] < ida[:, None]) & (own_b != cell)[None, :] & elsewhere)
+    elsewhere = _meets(hb[:, t], ha[:, t], probes_a[:, t]).T  # the row of a comes to b's home
+    return seen | ((idb[None, :] < ida[:, None]) & (hb[:, t] != cell)[None, :] & elsewhere)
 
 
 def _meets(home: np.ndarray, other_home: np.ndarray, other_probes: np.ndarray) -> np.ndarray:

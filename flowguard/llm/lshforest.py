@@ -16,6 +16,7 @@ shingle sets are one text with a count.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.llm.common import (
-    SHINGLE_WORDS,
-    chunks,
+    Tally,
     components,
     drop_table,
     least,
@@ -35,7 +35,8 @@ from flowguard.llm.common import (
     numbers,
     permutations,
     shingles,
-    texts_of,
+    text_chunks,
+    tiles,
     whole_groups,
     words,
     write_table,
@@ -48,7 +49,8 @@ class Forest:
     depth: int = 8
     recall: float = 0.999
     seed: int = 2
-    block: int = 2048
+    block: int = 16_384  # texts of a block: each text goes to a task for each block of its group
+    tile: int = 1024  # texts of a tile: the blocks of a task are compared tile by tile
 
     def found(self, similarity: float, depth: int) -> float:
         """Probability that a pair of this similarity meets at ``depth`` in some tree."""
@@ -108,9 +110,9 @@ def _signatures(rows: DataFrame, forest: Forest) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), texts_of(batch.column(1))
-            for lo, hi in chunks(map(len, texts)):
-                hashes, first = shingle_sets(texts[lo:hi])
+            ids = batch.column(0)
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                hashes, first = shingle_sets(texts)
                 n = np.diff(first)
                 mins = least(hashes, first, seeds)
                 mins[n == 0] = 0
@@ -148,7 +150,7 @@ def _groups(kinds: DataFrame, threshold: float, forest: Forest) -> DataFrame:
         if met is not None:
             drop_table(met)
         at = nodes.select("id", F.col(f"d{k}").alias("node"))
-        low = at.groupBy("node").agg(F.min("id").alias("b"), F.max("id").alias("top")).filter("b < top").select("node", "b")
+        low = write_table(at.groupBy("node").agg(F.min("id").alias("b"), F.max("id").alias("top")).filter("b < top").select("node", "b"), f"low-{k}")
         met = write_table(at.join(low, "node").filter("id > b").groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("trees")), f"met-{k}")
         once, twice, every = met.agg(F.expr("count_if(trees = 1)"), F.expr("count_if(trees = 2)"), F.count("*")).first()
         missed = once * (once - 1) / (2 * (twice + 1))
@@ -180,13 +182,17 @@ def _verify(rows: DataFrame, groups: DataFrame, threshold: float, forest: Forest
             for lo, hi in zip(starts[:-1], starts[1:]):
                 once = lo + np.sort(np.unique(ids[lo:hi], return_index=True)[1])  # an id may come twice
                 if i[lo] == j[lo]:
-                    a = b = once
+                    parts = tiles(once, forest.tile)
+                    pairs = itertools.combinations_with_replacement(parts, 2)
                 else:
-                    a, b = once[own[once] == i[lo]], once[own[once] == j[lo]]
-                if len(a) and len(b):
+                    pairs = itertools.product(tiles(once[own[once] == i[lo]], forest.tile), tiles(once[own[once] == j[lo]], forest.tile))
+                tally = Tally(ids[once])
+                for a, b in pairs:
                     link = _linked(a, b, flat, at, paths, threshold)
                     if link.any():
-                        out.append(_summary(a, b, link, ids, copies))
+                        tally.add(*_summary(a, b, link, ids, copies))
+                if tally.edges:
+                    out.append(tally.rows())
             cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "n", "low"])
 
@@ -196,9 +202,9 @@ def _verify(rows: DataFrame, groups: DataFrame, threshold: float, forest: Forest
 def _sets(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), texts_of(batch.column(1))
-            for lo, hi in chunks(map(len, texts)):
-                hashes, first = shingle_sets(texts[lo:hi])
+            ids = batch.column(0)
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                hashes, first = shingle_sets(texts)
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *map(pa.array, _fingerprint(hashes, first)), lists], names=["id", "k1", "k2", "shingles"])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import texts_of, with_columns
+from flowguard.llm.common import small_batches, texts_of, with_columns
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "number")
@@ -221,7 +221,7 @@ def learn(docs: DataFrame, text: str = "text") -> SpanModel:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, int] = {}
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             for t in texts_of(batch.column(0)):
                 base = base_spans(t)
                 for a, kind, b in base + candidates(t, base):
@@ -273,14 +273,13 @@ def find(docs: DataFrame, model: SpanModel, text: str = "text", mask: str | None
     keep = [c for c in docs.columns if c not in new]
     frame = docs.select(*keep, F.col(text).alias("__text"))
     schema = with_columns(frame, keep, new)
+    frame_width = len(frame.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
-        for batch in batches:
+        for batch in small_batches(batches, frame_width - 1):
             cols: list[list] = [[] for _ in new]
-            column = batch.column(batch.num_columns - 1)
-            for i in range(len(column)):
-                t = column[i].as_py()
+            for t in batch.column(frame_width - 1).to_pylist():
                 base, spans = all_spans(t or "", model, cache)
                 for k in range(4):
                     cols[k].append(sum(s[1] == k for s in base))

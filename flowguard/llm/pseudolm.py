@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import Words, chunks, plain_words, texts_of, write_table
+from flowguard.llm.common import Words, chunks, plain_words, text_chunks, write_table
 
 SYMBOLS = 256
 SHAPES = 32
@@ -151,10 +151,9 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(0))
             found = []
-            for lo, hi in chunks(map(len, texts)):
-                w = plain_words(texts[lo:hi])
+            for _, _, texts in text_chunks(batch.column(0)):
+                w = plain_words(texts)
                 kinds, where, n = np.unique(w.hashes, return_index=True, return_counts=True)
                 found.append((kinds, shapes(w)[where], n))
             if found:
@@ -167,7 +166,12 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
-    top = [(r["h"], r["shape"], r["n"]) for r in counts.orderBy(F.desc("n"), "h").limit(KNOWN_WORDS).collect()]  # the model's size
+    kinds = counts.count()
+    often = counts
+    if kinds > KNOWN_WORDS:  # words rarer than the approximate quantile can't be among them: no partition sends its own top list
+        share = max(0.0, 1 - KNOWN_WORDS / kinds - 2e-4)
+        often = counts.filter(F.col("n") >= counts.agg(F.percentile_approx("n", share, 10_000)).first()[0])
+    top = [(r["h"], r["shape"], r["n"]) for r in often.orderBy(F.desc("n"), "h").limit(KNOWN_WORDS).collect()]  # the model's size
     known = {}
     for _, s, n in top:
         a, b = known.get(s, (0, 0))
@@ -234,9 +238,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for lo, hi in chunks(map(len, texts)):
-                w = plain_words(texts[lo:hi])
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                w = plain_words(texts)
                 symbols, inner = vocabulary.value.read(w)
                 total = np.r_[0.0, np.cumsum(inner)]
                 data = symbols.tobytes()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import Words, chunks, drop_table, numbers, release, texts_of, words, write_table
+from flowguard.llm.common import Words, drop_table, mix, numbers, release, text_chunks, words, write_table
 
 WINDOW = 50
 PERIOD = 31
@@ -35,9 +35,6 @@ class Rolling:
     BASE = np.uint64(0xD1342543DE82EF95)
 
     def __init__(self, w: Words):
-        from flowguard.llm.common import mix
-
-        self.mix = mix
         n = len(w.hashes) + 1
         with np.errstate(over="ignore"):
             self.power = np.cumprod(np.r_[np.ones(1, np.uint64), np.full(n, self.BASE)], dtype=np.uint64)
@@ -47,7 +44,7 @@ class Rolling:
 
     def of(self, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return self.mix((self.total[end] - self.total[start]) * self.inverse[start] ^ np.uint64(salt)).view(np.int64)
+            return mix((self.total[end] - self.total[start]) * self.inverse[start] ^ np.uint64(salt)).view(np.int64)
 
 
 def anchors(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,19 +80,25 @@ def covered(starts: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:-1] > 0
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """(h, least): the hashes that occur in two documents and the smallest of these; written, so that Spark can split the join with it."""
+    ends = rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    return write_table(ends.filter("least < most").select("h", "least"), "shared-hashes")
+
+
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, whole, starts): documents with words to remove; ``whole``: all of them, else the starts of repeated windows."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), texts_of(batch.column(1))
-            for lo, hi in chunks(map(len, texts)):
-                h, doc, pos = anchors(words(texts[lo:hi]))
+            ids = batch.column(0).to_numpy()
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                h, doc, pos = anchors(words(texts))
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[lo:hi][doc]), pa.array(pos.astype(np.int32))], names=["h", "doc_id", "pos"])
 
     found = write_table(rows.mapInArrow(anchored, "h long, doc_id long, pos int"), "anchors")
-    shared = found.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("h", "least")
+    shared = _shared(found)
     # of a whole-text anchor only the later copies are of use: their words all go, and their windows begin in the first copy too
     hits = found.join(shared, "h").filter("pos >= 0 OR doc_id > least").groupBy("doc_id").agg(
         (F.min("pos") < 0).alias("whole"), F.collect_list("pos").alias("positions"))
@@ -105,10 +108,10 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), texts_of(batch.column(1))
+            ids = batch.column(0).to_numpy()
             flat, at = numbers(batch.column(2), np.int64)
-            for lo, hi in chunks(map(len, texts)):
-                w = words(texts[lo:hi])
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                w = words(texts)
                 n = w.counts()
                 starts = [around(flat[at[lo + d] : at[lo + d + 1]], n[d]) if n[d] >= WINDOW else np.zeros(0, np.int64) for d in range(hi - lo)]
                 doc = np.repeat(np.arange(hi - lo), list(map(len, starts)))
@@ -120,7 +123,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     wide = rows.join(hits.filter("NOT whole").select("doc_id", "positions"), "doc_id").select("doc_id", "text", "positions")
     windows = write_table(wide.mapInArrow(extended, "h long, doc_id long, pos int"), "windows")
     release(docs.sparkSession)
-    shared = windows.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("h", "least")
+    shared = _shared(windows)
     later = windows.join(shared, "h").filter("doc_id > least").groupBy("doc_id").agg(F.collect_list("pos").alias("starts"))
     out = later.select("doc_id", F.lit(False).alias("whole"), "starts").unionAll(
         hits.filter("whole").select("doc_id", "whole", F.col("positions").alias("starts")))
@@ -146,10 +149,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, whole = texts_of(batch.column(1)), batch.column(2).to_pylist()
+            whole = batch.column(2).to_pylist()
             flat, at = numbers(batch.column(3), np.int64)
-            for lo, hi in chunks(map(len, texts)):
-                w = words(texts[lo:hi])
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                w = words(texts)
                 n = w.counts()
                 removed, kept = np.zeros(hi - lo, np.int64), []
                 for d in range(hi - lo):

@@ -65,7 +65,8 @@ def test_cover_property():
     assert {(a - b) % substring.PERIOD for a, b in itertools.product(substring.COVER, repeat=2)} == set(range(substring.PERIOD))
 
 
-def test_lattice_recall_and_counts(spark):
+@pytest.mark.parametrize(("block", "tile"), [(4096, 512), (128, 50)])
+def test_lattice_recall_and_counts(spark, block, tile):
     rng = np.random.default_rng(5)
     unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
     base = unit(rng.normal(size=(300, 64)))
@@ -81,7 +82,7 @@ def test_lattice_recall_and_counts(spark):
     bad = [[0.0] * 64, None, [], [float("nan")] * 64, [None, 1.0], [float("inf"), 1.0], [1.0, 0.0]]
     data += [(10_000 + k, v, 0) for k, v in enumerate(bad)] + [(None, data[0][1], 0), data[7]]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").withColumns({"id": F.lit(1), "n": F.lit("x"), "cell": F.lit(0)})
-    got = {r["vec_id"]: r for r in lattice.near_duplicates(frame, lattice=lattice.Lattice(block=128)).collect()}
+    got = {r["vec_id"]: r for r in lattice.near_duplicates(frame, lattice=lattice.Lattice(block=block, tile=tile)).collect()}
     assert len(got) == len(data) - 1
     x = unit(np.array([d[1] for d in data[: len(rows)]]))
     near = x @ x.T >= 0.93
@@ -120,8 +121,8 @@ def near_pairs(texts):
     return out
 
 
-@pytest.mark.parametrize("block", [2048, 40])
-def test_forest_equals_brute_force(spark, docs, block):
+@pytest.mark.parametrize(("block", "tile"), [(16_384, 1024), (40, 7), (1000, 50)])
+def test_forest_equals_brute_force(spark, docs, block, tile):
     rng = random.Random(8)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     stem = [f"w{rng.randrange(900)}" for _ in range(150)]
@@ -131,7 +132,7 @@ def test_forest_equals_brute_force(spark, docs, block):
             w[rng.randrange(150)] = f"x{rng.randrange(5)}"
         texts[20_000 + k] = " ".join(w)
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in lshforest.near_duplicates(frame, forest=lshforest.Forest(block=block)).collect()}
+    got = {r["doc_id"]: r for r in lshforest.near_duplicates(frame, forest=lshforest.Forest(block=block, tile=tile)).collect()}
     links = near_pairs(texts)
     count, whole = Counter(i for e in links for i in e), classes(texts, links)
     assert len(got) == len(texts)

@@ -257,7 +257,7 @@ def test_pseudolm_frame(spark, docs):
         w = r["text"].split()
         rng.shuffle(w)
         mixed.append((r["doc_id"] + 10**6, " ".join(w)))
-    both = docs.select("doc_id", "text").unionAll(spark.createDataFrame(mixed, "doc_id long, text string")).unionAll(odd(spark).select("doc_id", "text"))
+    both = docs.select("doc_id", "text").unionAll(spark.createDataFrame(mixed, "doc_id long, text string")).unionAll(odd(spark).select(F.col("doc_id") - 100, "text"))
     out = pseudolm.score(both).toPandas()
     assert len(out) == docs.count() + 150 + len(ODD) and (out.log_likelihood <= 0).all()
     assert (out.per_token.isna() == (out.n_tokens == 0)).all() and (out.n_tokens == 0).sum() == 3
@@ -279,3 +279,12 @@ def test_word_hashes():
             assert seen.setdefault(x, h) == h
     assert len(set(seen.values())) == len(seen)
     assert plain_words(["Ab, c-d"]).hashes.tolist() == plain_words(["ab c d"]).hashes.tolist()
+
+
+def test_vocabulary_is_the_most_frequent(spark, monkeypatch):
+    monkeypatch.setattr(pseudolm, "KNOWN_WORDS", 100)
+    rows = [(h, h % 32, n) for h, n in enumerate(random.Random(8).choices(range(1, 400), k=5000))]
+    got = pseudolm.learn_vocabulary(spark.createDataFrame(rows, "h long, shape int, n long"))
+    want = sorted(rows, key=lambda r: (-r[2], r[0]))[:100]
+    assert got.hashes.tolist() == sorted(h for h, _, _ in want)
+    assert np.exp(got.inner).sum() <= 256 and (got.inner <= 1e-12).all() and (got.other < 0).all()
