@@ -4,8 +4,9 @@ A window network sees the tokens on both sides of a masked position and predicts
 a document's score is the sum of the log-probabilities of its tokens, each given its neighbours.
 
 The corpus is counted whole: the most frequent words are symbols of the network, every other word
-is the symbol of its shape, and the word given its shape has its share of the corpus counts. The
-network (numpy) is trained in rounds: every partition continues the current weights on its own
+is the symbol of its shape, and the word given its shape has its share of the corpus counts, however
+rare it is: the counts of the commonest words are broadcast, all others are joined to the documents'
+words by a shuffle. The network (numpy) is trained in rounds: every partition continues the current weights on its own
 documents, on every STRIDE-th position of each, and the weights are averaged by the number of
 positions, summed in Spark.
 """
@@ -19,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import Words, chunks, plain_words, text_chunks, write_table
+from flowguard.llm.common import Words, chunks, plain_words, text_chunks, with_columns, write_table
 
 SYMBOLS = 256
 SHAPES = 32
-#: Words whose own counts the model holds; the others share their shape's remainder evenly.
+#: Words whose counts are broadcast; the others' counts are joined. Scores don't depend on it (from the network's words on).
 KNOWN_WORDS = 50_000
 SIDE, HIDDEN = 2, 16
 ROUNDS, STRIDE, BATCH, RATE = 3, 16, 512, 0.15
@@ -39,36 +40,34 @@ def shapes(w: Words) -> np.ndarray:
 
 
 class Vocabulary:
-    """Symbols of words, and log P(word | symbol)."""
+    """Symbols of words, and log P(word | symbol): ``inner`` of the known words; of others, the log of their count plus ``other`` of their shape."""
 
-    def __init__(self, top: list[tuple[int, int, int]], rest: dict[int, tuple[int, int]]):
-        """``top``: (hash, shape, count), most frequent first; ``rest``: per shape (count, kinds) of the other words."""
+    def __init__(self, top: list[tuple[int, int, int]], rest: dict[int, int]):
+        """``top``: (hash, shape, count), most frequent first; ``rest``: per shape the count of the other words."""
         own = SYMBOLS - SHAPES
         hashes = np.array([h for h, _, _ in top], np.int64).view(np.uint64)
         symbol = np.array([k if k < own else own + s for k, (_, s, _) in enumerate(top)], np.int64)
         count = np.array([c for _, _, c in top], float)
         total = np.bincount(symbol, count, SYMBOLS)
-        for s, (c, _) in rest.items():
+        for s, c in rest.items():
             total[own + s] += c
         order = np.argsort(hashes)
         self.hashes, self.symbol = hashes[order], symbol[order]
         self.inner = np.log(count[order] / total[symbol[order]]) if len(top) else np.zeros(0)
-        self.other = np.zeros(SHAPES)
-        for s in range(SHAPES):
-            c, kinds = rest.get(s, (0, 0))
-            self.other[s] = np.log((c + 1) / (total[own + s] + 1) / (kinds + 1))
+        self.other = -np.log(np.maximum(total[own:], 1))
 
-    def read(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(symbols as bytes, log P(word | symbol)) of each word."""
+    def read(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(symbols as bytes, log P(word | symbol) but for the log of a rare word's count, whether the word is rare) of each word."""
         shape = shapes(w)
-        out, inner = (shape + SYMBOLS - SHAPES).astype(np.uint8), self.other[shape]
+        out, inner, rare = (shape + SYMBOLS - SHAPES).astype(np.uint8), self.other[shape], np.ones(len(shape), bool)
         if len(self.hashes):
             at = np.searchsorted(self.hashes, w.hashes)
             at[at == len(self.hashes)] = 0
             known = self.hashes[at] == w.hashes
             out = np.where(known, self.symbol[at], out).astype(np.uint8)
             inner = np.where(known, self.inner[at], inner)
-        return out, inner
+            rare = ~known
+        return out, inner, rare
 
 
 class Network:
@@ -171,16 +170,12 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     if kinds > KNOWN_WORDS:  # words rarer than the approximate quantile can't be among them: no partition sends its own top list
         share = max(0.0, 1 - KNOWN_WORDS / kinds - 2e-4)
         often = counts.filter(F.col("n") >= counts.agg(F.percentile_approx("n", share, 10_000)).first()[0])
-    top = [(r["h"], r["shape"], r["n"]) for r in often.orderBy(F.desc("n"), "h").limit(KNOWN_WORDS).collect()]  # the model's size
+    top = [(r["h"], r["shape"], r["n"]) for r in often.orderBy(F.desc("n"), "h").limit(KNOWN_WORDS).collect()]
     known = {}
     for _, s, n in top:
-        a, b = known.get(s, (0, 0))
-        known[s] = a + n, b + 1
-    rest = {}
-    for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():  # 32 rows at most
-        a, b = known.get(r["shape"], (0, 0))
-        rest[r["shape"]] = r["n"] - a, r["kinds"] - b
-    return Vocabulary(top, rest)
+        known[s] = known.get(s, 0) + n
+    sums = counts.groupBy("shape").agg(F.sum("n").alias("n")).collect()  # 32 rows at most
+    return Vocabulary(top, {r["shape"]: r["n"] - known.get(r["shape"], 0) for r in sums})
 
 
 def train(read: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
@@ -232,38 +227,52 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     Words are lower-case runs of letters and digits. A text without words (null, empty) has 0
     tokens, log-likelihood 0 and a null per_token. Repeated rows each count in the training.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     counts = write_table(count_words(rows), "word-counts")
     vocabulary = docs.sparkSession.sparkContext.broadcast(learn_vocabulary(counts))
+    words_kind = pa.list_(pa.struct([("h", pa.int64()), ("times", pa.int64())]))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, texts in text_chunks(batch.column(1)):
+            for lo, hi, texts in text_chunks(batch.column(2)):
                 w = plain_words(texts)
-                symbols, inner = vocabulary.value.read(w)
+                symbols, inner, rare = vocabulary.value.read(w)
                 total = np.r_[0.0, np.cumsum(inner)]
                 data = symbols.tobytes()
+                owner, kinds, times = _distinct(np.repeat(np.arange(len(texts)), w.counts())[rare], w.hashes[rare])
+                others = pa.StructArray.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], fields=list(words_kind.value_type))
+                first = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(texts)))].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array([data[a:b] for a, b in zip(w.first[:-1], w.first[1:])], pa.binary()),
-                    pa.array(total[w.first[1:]] - total[w.first[:-1]])], names=["doc_id", "symbols", "inner"])
+                    *[c.slice(lo, hi - lo) for c in batch.columns[:2]], pa.array([data[a:b] for a, b in zip(w.first[:-1], w.first[1:])], pa.binary()),
+                    pa.array(total[w.first[1:]] - total[w.first[:-1]]), pa.ListArray.from_arrays(pa.array(first), others)],
+                    names=["row", "doc_id", "symbols", "inner", "rare"])
 
-    schema = rows.select("doc_id").schema.add("symbols", "binary").add("inner", "double")
+    schema = with_columns(rows, ["row", "doc_id"], {"symbols": "binary", "inner": "double", "rare": "array<struct<h:long,times:long>>"})
     read = write_table(rows.mapInArrow(coded, schema), "symbols")
     net = docs.sparkSession.sparkContext.broadcast(train(read).flat)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Network(net.value)
         for batch in batches:
-            texts, inner = batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            texts, inner = batch.column(2).to_pylist(), batch.column(3).to_numpy()
             for lo, hi in chunks(map(len, texts), 1 << 17):
                 n = np.array([len(t) for t in texts[lo:hi]])
                 first = np.r_[0, np.cumsum(n)]
                 around, target = examples(np.frombuffer(b"".join(texts[lo:hi]), np.uint8), first)
                 total = np.r_[0.0, np.cumsum(model.log_probabilities(around, target))]
                 sums = total[first[1:]] - total[first[:-1]] + inner[lo:hi]
-                mean = sums / np.maximum(n, 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, sums, 0.0)),
-                                                  pa.array(mean, mask=n == 0)], names=["doc_id", "n_tokens", "log_likelihood", "per_token"])
+                yield pa.RecordBatch.from_arrays([*[c.slice(lo, hi - lo) for c in batch.columns[:2]], pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, sums, 0.0))],
+                                                 names=["row", "doc_id", "n_tokens", "sums"])
 
-    out = rows.select("doc_id").schema.add("n_tokens", "long").add("log_likelihood", "double").add("per_token", "double")
-    return read.mapInArrow(scored, out)
+    known = read.select("row", "doc_id", "symbols", "inner").mapInArrow(scored, with_columns(rows, ["row", "doc_id"], {"n_tokens": "long", "sums": "double"}))
+    rare = read.select(F.col("row").alias("of"), F.inline("rare")).join(counts.select("h", "n"), "h").groupBy("of").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+    return known.join(rare, F.col("row") == F.col("of"), "left").withColumn("log_likelihood", F.col("sums") + F.coalesce("more", F.lit(0.0))).select(
+        "doc_id", "n_tokens", "log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("per_token"))
+
+
+def _distinct(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, hash, times): the distinct words of each text, in the order of the texts."""
+    order = np.lexsort((hashes, owner))
+    owner, hashes = owner[order], hashes[order]
+    new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])][: len(owner)])
+    return owner[new], hashes[new], np.diff(np.r_[new, len(owner)])

@@ -267,6 +267,19 @@ def test_pseudolm_frame(spark, docs):
     assert pseudolm.score(docs.limit(0)).count() == 0
 
 
+def test_rare_words_keep_their_counts(spark, docs, monkeypatch):
+    """Scores don't depend on how many words are broadcast; a rarer word of the same length scores lower."""
+    some = docs.select("doc_id", "text").limit(100).unionAll(odd(spark).select(F.col("doc_id") - 100, "text"))
+    more = spark.createDataFrame([(10_000 + k, "qqzza") for k in range(9)] + [(20_000, "qqzzb")], "doc_id long, text string")
+    rows = spark.createDataFrame(some.unionAll(more).collect(), "doc_id long, text string").coalesce(1)
+    whole = pseudolm.score(rows).toPandas().sort_values(["doc_id", "n_tokens"], ignore_index=True)
+    monkeypatch.setattr(pseudolm, "KNOWN_WORDS", 224)
+    few = pseudolm.score(rows).toPandas().sort_values(["doc_id", "n_tokens"], ignore_index=True)
+    assert np.allclose(whole.log_likelihood, few.log_likelihood, rtol=1e-6) and (whole.n_tokens == few.n_tokens).all()
+    per = few.set_index("doc_id").per_token
+    assert per[10_000] - per[20_000] == pytest.approx(np.log(9), abs=1e-4)
+
+
 def test_word_hashes():
     texts = ["a b  a\tab", "", "é é b", None or "", "b"]
     w = words(texts)
