@@ -2,10 +2,10 @@
 
 A text's word shingles give a signature of ``trees`` x ``depth`` MinHash values. Each tree is a
 trie of its part of the signatures, and two texts meet at depth k if their first k values agree.
-The join starts at the full depth and shortens the matched prefix by one value at a time until
-the target recall is reached: either a pair at the threshold meets in some tree with that
-probability, or the capture-recapture estimate over the trees (pairs seen in one and in two trees
-tell how many were seen in none) reaches it.
+The matched prefix is shortened from the full depth until a pair at the threshold meets in some
+tree with the target recall. That depends on the threshold alone: very similar copies, which meet
+at any depth, can't make up for missed pairs near the threshold. Only the values of that prefix
+are computed.
 
 Texts that meet form candidate groups, kept as links to the smallest id of a trie node. Within a
 group the texts are dealt to blocks, blocks are compared two by two in a task, and every pair that
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import (
     Tally,
     components,
-    drop_table,
     least,
     linked_minima,
     mix,
@@ -56,6 +55,10 @@ class Forest:
         """Probability that a pair of this similarity meets at ``depth`` in some tree."""
         return 1 - (1 - similarity**depth) ** self.trees
 
+    def prefix(self, threshold: float) -> int:
+        """The longest prefix at which a pair at the threshold is found with the target recall (1 if none is)."""
+        return next((k for k in range(self.depth, 1, -1) if self.found(threshold, k) >= self.recall), 1)
+
 
 def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first): the sorted distinct shingles of each text, lower-cased words of [^\\x20\\x09-\\x0D]."""
@@ -77,13 +80,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_
     smallest fingerprint, should their texts differ). kept: the row is the one that stays of its class.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    signed = write_table(_signatures(rows, forest), "signatures")
+    signed = write_table(_signatures(rows, forest, forest.prefix(threshold)), "signatures")
     marked = signed.filter("doc_id IS NOT NULL AND n > 0").groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
     marked = write_table(marked, "text-keys")
     kinds = marked.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     kinds = write_table(kinds.join(signed.select(F.col("doc_id").alias("rep"), "k1", "k2", "signature"), ["rep", "k1", "k2"]).groupBy("k1", "k2").agg(
         F.first("rep").alias("rep"), F.first("copies").alias("copies"), F.first("signature").alias("signature")), "text-kinds")
-    groups = _groups(kinds, threshold, forest)
+    groups = _groups(kinds, forest, forest.prefix(threshold))
     found = write_table(_verify(rows, groups, threshold, forest), "text-links")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")), "texts")
@@ -105,8 +108,8 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, forest: Forest = Forest())
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
-def _signatures(rows: DataFrame, forest: Forest) -> DataFrame:
-    seeds = permutations(forest.trees * forest.depth, forest.seed)
+def _signatures(rows: DataFrame, forest: Forest, depth: int) -> DataFrame:
+    seeds = permutations(forest.trees * depth, forest.seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,31 +136,17 @@ def _fingerprint(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _groups(kinds: DataFrame, threshold: float, forest: Forest) -> DataFrame:
-    """(id, component, paths) of the texts that meet another, at the depth that the target recall asks for.
+def _groups(kinds: DataFrame, forest: Forest, depth: int) -> DataFrame:
+    """(id, component, paths) of the texts that meet another at ``depth``.
 
     ``paths``: the text's trie node in each tree at that depth.
     """
-    depths = range(forest.depth, 0, -1)
-    tree = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1)))
-    nodes = kinds.select("rep", "signature", tree.alias("tree"))
-    own = F.slice("signature", F.col("tree") * forest.depth + 1, forest.depth)
-    # a trie node at depth k is the tree and its first k values; each row has its path from the root
-    nodes = write_table(nodes.select(F.col("rep").alias("id"), *[F.xxhash64("tree", F.slice(own, 1, k)).alias(f"d{k}") for k in depths
-                                                                 if forest.found(threshold, k + 1) < forest.recall]), "trie-nodes")
-    met = None
-    for k in depths:
-        if met is not None:
-            drop_table(met)
-        at = nodes.select("id", F.col(f"d{k}").alias("node"))
-        low = write_table(at.groupBy("node").agg(F.min("id").alias("b"), F.max("id").alias("top")).filter("b < top").select("node", "b"), f"low-{k}")
-        met = write_table(at.join(low, "node").filter("id > b").groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("trees")), f"met-{k}")
-        once, twice, every = met.agg(F.expr("count_if(trees = 1)"), F.expr("count_if(trees = 2)"), F.count("*")).first()
-        missed = once * (once - 1) / (2 * (twice + 1))
-        if forest.found(threshold, k) >= forest.recall or every and every / (every + missed) >= forest.recall:
-            break
-    paths = F.transform(F.sequence(F.lit(0), F.lit(forest.trees - 1)), lambda t: F.xxhash64(t, F.slice("signature", t * forest.depth + 1, k)))
-    groups = components(met.select("a", "b"), "candidates")
+    # a trie node is the tree and the first values of the text's signature there
+    paths = F.transform(F.sequence(F.lit(0), F.lit(forest.trees - 1)), lambda t: F.xxhash64(t, F.slice("signature", t * depth + 1, depth)))
+    nodes = write_table(kinds.select(F.col("rep").alias("id"), F.explode(paths).alias("node")), "trie-nodes")
+    low = nodes.groupBy("node").agg(F.min("id").alias("b"), F.max("id").alias("top")).filter("b < top").select("node", "b")
+    met = nodes.join(write_table(low, "low"), "node").filter("id > b").select(F.col("id").alias("a"), "b").distinct()
+    groups = components(met, "candidates")
     return write_table(groups.join(kinds.select(F.col("rep").alias("id"), "k1", "k2", "copies", paths.alias("paths")), "id"), "candidate-groups")
 
 

@@ -155,6 +155,18 @@ def test_forest_recall_bound():
     assert f.found(0.8, 4) >= f.recall > f.found(0.8, f.depth)
 
 
+def test_forest_finds_pairs_at_the_threshold_among_many_copies(spark):
+    """Thousands of very similar pairs don't hide missed pairs at a similarity of 0.8."""
+    rng = random.Random(4)
+    texts = []
+    for k in range(6200):
+        n, cut = (104, 20) if k < 200 else (40, 1)
+        w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[: n - cut]))]
+    got = lshforest.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).filter("n_links = 1")
+    assert got.filter("doc_id >= 400").count() == 12_000 and got.filter("doc_id < 400").count() >= 398
+
+
 # --- Decontamination ---------------------------------------------------------------------------
 
 def contained(texts, items, threshold=0.8):
