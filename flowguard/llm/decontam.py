@@ -5,6 +5,7 @@ partition, documents are searched in windows of 2u consecutive shingles, u apart
 an item lies in one window whole and the window's similarity to the item is bounded below by the
 partition's sizes, however long the document is. An item and a document are candidates if a
 window and the item share the minimum of some hash; the number of hashes follows from that bound.
+Items that fill less than half of the smallest partition are looked up by their shingles instead.
 Candidates are verified by the exact share of the item's shingles that the document has.
 
 The benchmark's items are taken in blocks of bounded size, each of which passes over all
@@ -49,28 +50,37 @@ class Items:
         size = np.array([len(s) for s in self.sets], int)
         fits = np.array([max(SMALLEST, 1 << max(0, int(n) - 1).bit_length()) for n in size], int)
         self.partitions: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for u in np.unique(fits[size > 0]).tolist():
-            which = np.flatnonzero((fits == u) & (size > 0))
+        hashed = size >= SMALLEST // 2
+        few = [(x, k) for k in np.flatnonzero((size > 0) & ~hashed) for x in self._telling(k)]
+        few.sort()
+        self.short = np.array([x for x, _ in few], np.uint64), np.array([k for _, k in few], int)
+        for u in np.unique(fits[hashed]).tolist():
+            which = np.flatnonzero((fits == u) & hashed)
             mins = least(np.concatenate([self.sets[k] for k in which]), np.r_[0, np.cumsum(size[which])], self.seeds)
             order = np.argsort(mins, axis=0, kind="stable")  # per hash: items by their minimum
             self.partitions[u] = which, order, np.take_along_axis(mins, order, 0)
 
+    def _telling(self, k: int) -> np.ndarray:
+        """Shingles of item ``k``, one of which every text that contains it has: one more than a text may lack."""
+        n = len(self.sets[k])
+        return self.sets[k][: n - math.ceil(self.threshold * n - 1e-9) + 1]
+
     def found(self, texts: list[str]) -> list[list[tuple[int, float]]]:
         """(item id, containment) of the items that each text contains, by item id."""
         out: list[list[tuple[int, float]]] = [[] for _ in texts]
-        if not self.partitions:
+        if not self.partitions and not len(self.short[0]):
             return out
         values, first = shingles(plain_words(texts), short=False)
         n = np.diff(first)
         if not n.sum():
             return out
-        pairs: set[tuple[int, int]] = set()
-        u, blocks, mins = SMALLEST, *self._blocks(values, first, n)
-        top = max(self.partitions)
-        while True:
+        pairs = self._short(values, first)
+        top = max(self.partitions, default=0)
+        u, blocks, mins = SMALLEST, *(self._blocks(values, first, n) if top else (None, None))
+        while u <= top:
             if u in self.partitions:
                 pairs |= self._candidates(u, blocks, mins)
-            if u >= top:
+            if u == top:
                 break
             starts = np.r_[0, np.cumsum(blocks)]
             halves = (blocks + 1) // 2
@@ -86,6 +96,18 @@ class Items:
                 out[d].append((self.ids[k], float(share)))
         return [sorted(x) for x in out]
 
+    def _short(self, values, first) -> set[tuple[int, int]]:
+        """(text, item) of the short items one of whose telling shingles the text has."""
+        keys, item = self.short
+        if not len(keys):
+            return set()
+        lo = np.searchsorted(keys, values)
+        hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == values)
+        owner = np.searchsorted(first, hit, "right") - 1
+        seen = np.unique(np.stack([owner, lo[hit]], 1), axis=0)
+        ends = np.searchsorted(keys, keys[seen[:, 1]], "right")
+        return {(int(d), int(k)) for (d, a), b in zip(seen, ends) for k in item[a:b]}
+
     def _blocks(self, values, first, n) -> tuple[np.ndarray, np.ndarray]:
         """Blocks per text, and the minima of each block of SMALLEST consecutive shingles."""
         blocks = -(-n // SMALLEST)

@@ -210,6 +210,24 @@ def test_decontamination_equals_brute_force(spark, docs, monkeypatch, bytes_):
     assert decontam.keep_clean(frame, bench).count() == len(texts) - len({d for d, _ in want})
 
 
+def test_short_items_are_never_missed():
+    """Items of 1 to 7 shingles, whole or with as many missing as the threshold lets, inside long texts."""
+    rng = random.Random(6)
+    word = lambda: f"q{rng.randrange(10**6)}"
+    rows = [(k, " ".join(word() for _ in range(5 + k % 7))) for k in range(280)]
+    items = decontam.Items(rows, 0.8)
+    texts = []
+    for k, t in rows:
+        w = t.split()
+        w = w[: len(w) - (k % 7 >= 4)]  # of 5 to 7 shingles the last may be missing
+        texts.append(" ".join([*(word() for _ in range(300)), *w, *(word() for _ in range(300))]))
+    got = items.found(texts)
+    assert [[i for i, _ in x] for x in got] == [[k] for k, _ in rows]
+    assert all(x[0][1] == (1 if k % 7 < 4 else pytest.approx((k % 7) / (k % 7 + 1))) for k, x in enumerate(got))
+    same = decontam.Items([(1, "a b c d e"), (2, "a b c d e f"), (3, "A, b c d e")], 0.8)
+    assert same.found(["a b c d e f", "a b c d e", ""]) == [[(1, 1.0), (2, 1.0), (3, 1.0)], [(1, 1.0), (3, 1.0)], []]
+
+
 def test_decontamination_odd(spark):
     bench = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
     assert decontam.pairs(odd(spark), bench).count() == 0 and decontam.keep_clean(odd(spark), bench.limit(0)).count() == len(ODD)
