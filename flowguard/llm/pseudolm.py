@@ -7,7 +7,8 @@ The corpus is counted whole: the most frequent words are symbols of the network,
 is the symbol of its shape, and the word given its shape has its share of the corpus counts, however
 rare it is: the counts of the commonest words are broadcast, all others are joined to the documents'
 words by a shuffle. The network (numpy) is trained in rounds: every partition continues the current weights on its own
-documents, on every STRIDE-th position of each, and the weights are averaged by the number of
+documents, each round on its share of the positions, all rounds together on every position of every
+document once, and the weights are averaged by the number of
 positions, summed in Spark.
 """
 
@@ -27,7 +28,7 @@ SHAPES = 32
 #: Words whose counts are broadcast; the others' counts are joined. Scores don't depend on it (from the network's words on).
 KNOWN_WORDS = 50_000
 SIDE, HIDDEN = 2, 16
-ROUNDS, STRIDE, BATCH, RATE = 3, 16, 512, 0.15
+ROUNDS, BATCH, RATE = 3, 512, 0.15
 PAD = SYMBOLS
 
 
@@ -178,8 +179,12 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(top, {r["shape"]: r["n"] - known.get(r["shape"], 0) for r in sums})
 
 
-def train(read: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
-    """Weights after ``rounds`` of training on every document's symbols (column ``symbols``, binary)."""
+def train(read: DataFrame, rounds: int = ROUNDS) -> Network:
+    """Weights after ``rounds`` of training on every document's symbols (column ``symbols``, binary).
+
+    Each round takes every ``rounds``-th position of each document, from a place that follows from the
+    document alone: together they take every position once, however the documents are batched.
+    """
     spark = read.sparkSession
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +209,9 @@ def train(read: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Networ
                 for lo, hi in chunks(map(len, texts), 1 << 18):
                     first = np.r_[0, np.cumsum([len(t) for t in texts[lo:hi]])]
                     symbols = np.frombuffer(b"".join(texts[lo:hi]), np.uint8)
-                    around, target = examples(symbols, first, np.arange(k * stride // rounds, len(symbols), stride))
+                    shift = np.diff(np.r_[0, np.cumsum(symbols, dtype=np.int64)][first]) - first[:-1]  # mixes the places in a text over the rounds
+                    turn = (np.arange(len(symbols)) + np.repeat(shift, np.diff(first))) % rounds
+                    around, target = examples(symbols, first, np.flatnonzero(turn == k))
                     local.train(around, target, memory)
                     seen += len(target)
             if seen:

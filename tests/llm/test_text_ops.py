@@ -267,6 +267,17 @@ def test_pseudolm_frame(spark, docs):
     assert pseudolm.score(docs.limit(0)).count() == 0
 
 
+def test_training_takes_every_position(spark):
+    """A symbol that stands at one position of 16 only is learned."""
+    rng = np.random.default_rng(3)
+    place = 3
+    texts = rng.integers(0, 10, (8000, 16)).astype(np.uint8)
+    texts[:, place] = 20 + texts[:, place - 1]
+    net = pseudolm.train(spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "symbols binary").coalesce(1))
+    around, target = pseudolm.examples(texts.ravel(), np.arange(0, texts.size + 1, 16), np.arange(place, texts.size, 16))
+    assert net.log_probabilities(around, target).mean() > np.log(1 / 160) + 1
+
+
 def test_rare_words_keep_their_counts(spark, docs, monkeypatch):
     """Scores don't depend on how many words are broadcast; a rarer word of the same length scores lower."""
     some = docs.select("doc_id", "text").limit(100).unionAll(odd(spark).select(F.col("doc_id") - 100, "text"))
