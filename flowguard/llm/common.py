@@ -72,6 +72,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def file_bytes(spark: SparkSession, path: str, limit: int) -> bytes:
+    """The content of a file of at most ``limit`` bytes, of the driver or of any file system that Spark reads."""
+    try:
+        with open(path, "rb") as f:
+            data = f.read(limit + 1)
+    except FileNotFoundError:
+        row = spark.read.format("binaryFile").load(path).filter(F.col("length") <= limit).first()
+        data = bytes(row["content"]) if row else b"." * (limit + 1)
+    if len(data) > limit:
+        raise ValueError(f"{path} is larger than {limit} bytes")
+    return data
+
+
 def held_out(doc_id) -> F.Column:
     """The contract's fold: crc32 of the id's decimal text, modulo 5, is 0."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowguard.llm import bpe, decontam, langid, lattice, lshforest, pii, pseudolm, sharding, substring, toxicity
+from flowguard.llm import alignment, bpe, decontam, langid, lattice, licenses, licenses_sql, lshforest, periodic, pii, pseudolm, sharding, substring, toxicity
 from flowguard.llm.common import held_out, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +89,43 @@ def op8_pseudolm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudolm.score(table(spark, sf_dir, "documents"))
 
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's periodic tail: every tenth document (by crc32 of its id) repeats p words from word a on."""
+    if doc_id is None:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), change=planted)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.document_frequency(docs)).drop("places")
+
+
+ORACLES["op12_licenses"] = licenses_sql.whole_table()
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
