@@ -1,6 +1,6 @@
 """Cross-tokenizer alignment (operator 13): two tokenizers' tokens of each text, lined up by their bytes.
 
-Tokenizer A (byte-level BPE, tokenizers library) reads a space and the text, tokenizer B (BPE with
+Tokenizer A (byte-level BPE in the tokenizers library's format) reads a space and the text, tokenizer B (BPE with
 byte fallback, sentencepiece) the text, to which it adds that space. The Arrow columns of a chunk of documents go through these steps:
 token lists are flattened, and their parent indices kept; a cumulative sum of the token lengths
 less its value at the parent's start is the byte at which a token ends in its document; a full
@@ -16,7 +16,9 @@ goes through the shuffles once per chunk, however many documents have it.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +46,32 @@ def read_model(spark: SparkSession, path: str) -> bytes:
     return file_bytes(spark, path, MAX_MODEL_BYTES)
 
 
+#: Fixed value: the published pre-token pattern of byte-level BPE files.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: tiktoken's time grows with the square of a pre-token's length: parts with a longer word or gap go to the tokenizers library.
+LONG_WORD = 1000
+_GAP = re.compile(rf"\s{{{LONG_WORD}}}")
+
+
+def ranked(source: bytes) -> tiktoken.Encoding | None:
+    """The same tokenizer as ranks (three times as fast), if the file is byte-level BPE whose ids are in the order of its merges."""
+    spec = json.loads(source)
+    pre, vocabulary = spec.get("pre_tokenizer") or {}, spec["model"]["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    ids = [vocabulary[a + b] for a, b in merges]
+    characters = byte_characters()
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+    model = spec["model"]
+    if not plain or any(model.get(k) for k in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")):
+        return None
+    if any(x >= y for x, y in zip(ids, ids[1:])) or max(vocabulary[c] for c in characters) > min(ids, default=1 << 30):
+        return None
+    byte_of = {c: k for k, c in enumerate(characters)}
+    known = {x["content"] for x in spec.get("added_tokens") or []}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in known}
+    return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Pair:
     """The two tokenizers, and per id the token's bytes and decimal number as Arrow columns."""
 
@@ -52,6 +81,7 @@ class Pair:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
+        self.ranked = ranked(a)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         byte_of = {c: k for k, c in enumerate(byte_characters())}
         size = self.a.get_vocab_size(with_added_tokens=True)
@@ -78,11 +108,16 @@ class Pair:
             at = cut + 1
         return [*out, text[at:]]
 
+    def by_a(self, part: str) -> list[int]:
+        if self.ranked and (len(part) < LONG_WORD or max(map(len, part.split()), default=0) < LONG_WORD and not _GAP.search(part)):
+            return self.ranked.encode_ordinary(f" {part}")
+        return self.a.encode(f" {part}", add_special_tokens=False).ids
+
     def encode(self, texts: list[str]) -> list[list[np.ndarray]]:
         """The ids of each text by A and by B (none of an empty text)."""
         cut = [self.parts(t) if t else [] for t in texts]
         flat = [p for parts in cut for p in parts]
-        found_a = [e.ids for e in self.a.encode_batch_fast([f" {p}" for p in flat], add_special_tokens=False)]
+        found_a = [self.by_a(p) for p in flat]
         found_b = self.b.encode(flat, num_threads=1) if flat else []
         out = []
         for found in (found_a, found_b):

@@ -202,6 +202,18 @@ def test_alignment_against_byte_ranges(spark, pair):
     assert hashed == Counter(hashlib.sha256(x[3].encode()).hexdigest() if x[3] else "" for x in plain)
 
 
+def test_ranks_give_the_library_s_tokens(pair):
+    """Every code point, random letters, and words too long for ranks."""
+    assert pair.ranked
+    rng = random.Random(3)
+    texts = [f"a{chr(c)}b1{chr(c)} {chr(c)}'s" for c in range(0, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(rng.choice("etaoinshrdluetaoinbcfgABC'' 1\n") for _ in range(rng.randrange(1, 30))) for _ in range(20_000)]
+    texts += ["x" * 30_000, " " * 30_000 + "y", "ab" * 20_000 + " c"]
+    for lo in range(0, len(texts), 20_000):
+        part = texts[lo : lo + 20_000]
+        assert [pair.by_a(t) for t in part] == [e.ids for e in pair.a.encode_batch_fast([f" {t}" for t in part], add_special_tokens=False)]
+
+
 def test_long_texts_in_parts(pair, monkeypatch):
     monkeypatch.setattr(alignment, "PART_CHARS", 50)
     rng = random.Random(2)
