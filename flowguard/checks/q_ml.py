@@ -366,14 +366,19 @@ def run_experiment_naive_bayes(spark, sf_dir):
 nb_long AS (SELECT 'naive_bayes' AS model, 0 AS position, label_idx, pred_naive_bayes AS prediction FROM nb_pred),
 {metrics_sql("nb").strip()}
 SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
-       round(f1_weighted, 6) AS f1_weighted, round(f1_macro, 6) AS f1_macro FROM nb_mm""")
+       round(f1_weighted, 6) AS f1_weighted, round(f1_macro, 6) AS f1_macro,
+       (SELECT count(*) FROM lineitem) AS accepted_lines, r.n AS rejected_lines, r.records AS records
+FROM nb_mm, (SELECT count(*) AS n, string_agg(s, ' ' ORDER BY s) AS records FROM (
+  SELECT 'short,' || l_returnflag || ',' || count(*) || '@' || file AS s
+  FROM lineitem, (VALUES ('Monday-WorkingHours.pcap_ISCX.csv'), ('Friday-WorkingHours-Afternoon-DDos.pcap_ISCX.csv')) f(file) GROUP BY l_returnflag, file) u) r""")
 def run_and_export(spark, sf_dir):
     """Main entry end to end: capture days named as the 'small' profile -> load -> NB experiment ->
-    result files; returns the model comparison as read back from its CSV (training time left out)."""
+    result files; returns the model comparison as read back from its CSV (training time left out), the
+    lines accepted and rejected by the experiment JSON, and the rejected ones (a short line per class in each file)."""
     from flowguard.checks.q_sources import FULL_HEADER, _flows_with_day
     from flowguard.plans.run import run_and_export as run_and_export_plan
     from flowguard.session import scratch_path
-    from flowguard.sinks.writers import COMPARISON_SCHEMA
+    from flowguard.sinks.writers import COMPARISON_SCHEMA, EXPERIMENT_JSON_SCHEMA
     from flowguard.sources import flow_csv
 
     flows = _flows_with_day(spark, sf_dir)
@@ -382,7 +387,14 @@ def run_and_export(spark, sf_dir):
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
     flow_csv.write_flow_csv(flows.filter(F.col("year") < 2000).select(cols), f"{data_dir}/{train_name}", FULL_HEADER)
     flow_csv.write_flow_csv(flows.filter(F.col("year") >= 2000).select(cols), f"{data_dir}/{test_name}", FULL_HEADER)
+    short = flows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).select(F.concat_ws(",", F.lit("short"), "l_returnflag", "n").alias("value"))
+    nothing = spark.range(0, 100, numPartitions=100).filter("id < 0").select(F.lit("").alias("value"))
+    for name in (train_name, test_name):  # behind empty parts, so that the first file still begins with the header
+        nothing.unionAll(short.coalesce(1)).write.mode("append").text(f"{data_dir}/{name}")
     cfg = ExperimentConfig(mode="multiclass", data_size="small", sample_fraction=1.0, models=("nb",))
     written = run_and_export_plan(spark, data_dir, scratch_path(spark, "cic-small-out"), cfg)
     back = spark.read.schema(COMPARISON_SCHEMA).option("header", True).csv(written["file"]["model_comparison"])
-    return back.drop("train_time_sec")
+    record = spark.read.schema(EXPERIMENT_JSON_SCHEMA).json(written["file"]["experiment_results"]).select("accepted_lines", "rejected_lines")
+    rejected = spark.read.schema("source_file string, record string").json(written["file"]["rejected_lines"])
+    listed = rejected.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("@", "record", "source_file"))), " ").alias("records"))
+    return back.drop("train_time_sec").join(F.broadcast(record)).join(F.broadcast(listed))  # one row each

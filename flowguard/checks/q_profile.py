@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowguard.catalog import register
 from flowguard.operators import profile, split, weights
 from flowguard.operators.clean import source_in as source_in_op
-from flowguard.sources.tables import document_flows, event_flows, lineitem_flows
+from flowguard.sources.tables import document_flows, event_flows, lineitem_flows, table
 
 LI_SOURCE = "'day-' || CAST(year(l_shipdate) AS VARCHAR) || '.csv'"
 TRAIN_DAYS = [f"day-{y}.csv" for y in range(1995, 2000)]
@@ -121,26 +121,27 @@ def split_by_hash(spark, sf_dir):
     return split.tag_splits(train, test).select("split", "event_id", "label")
 
 
-@register("split_random", "SELECT event_id, event_type AS label, CAST(1 AS BIGINT) AS parts FROM events")
+@register("split_random", """
+SELECT label, user_id, CASE WHEN ('0x' || substr(md5(label || '|' || user_id || '|' || (k - 1) || ':42'), 1, 8))::BIGINT < 3435973836
+  THEN 'train' ELSE 'test' END AS split, count(*) AS rows
+FROM (SELECT event_type AS label, user_id, row_number() OVER (PARTITION BY event_type, user_id) AS k FROM events) t GROUP BY ALL""")
 def split_random(spark, sf_dir):
-    """Every row is in exactly one part."""
-    flows = event_flows(spark, sf_dir).select("event_id", "label", "source_file")
+    """The split itself, of rows that repeat: how many of each kind are in which part."""
+    flows = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"), "user_id")
     train, test = split.split_random(flows, 0.8, 42)
-    return split.tag_splits(train, test).groupBy("event_id", "label").agg(F.count(F.lit(1)).alias("parts"))
+    return split.tag_splits(train, test).groupBy("label", "user_id", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("sample_rows_fraction", """
-SELECT split, count(*) AS rows, true AS share_as_asked FROM (
-  SELECT CASE WHEN year(l_shipdate) <= 1999 THEN 'train' ELSE 'test' END AS split FROM lineitem) t GROUP BY split""")
+SELECT l_orderkey, l_linenumber, label, split FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, label, split) - 1 AS k
+  FROM (SELECT l_orderkey, l_linenumber, l_returnflag AS label, CASE WHEN year(l_shipdate) <= 1999 THEN 'train' ELSE 'test' END AS split FROM lineitem) u) t
+WHERE split = 'test' OR ('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|' || label || '|' || k || ':42'), 1, 8))::BIGINT < 1288490188""")
 def sample_rows_fraction(spark, sf_dir):
-    """Sampling after the split: 30 % of the training rows (within 5 %), the test rows whole."""
+    """Sampling after the split: the very rows of 30 % of the training part, and the test rows whole."""
     flows = lineitem_flows(spark, sf_dir).select("l_orderkey", "l_linenumber", "label", "source_file")
     train, test = split.split_by_source(flows, TRAIN_DAYS, TEST_DAYS)
-    sampled = split.tag_splits(*split.sample_splits(train, test, 0.3, 42)).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-    whole = split.tag_splits(train, test).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
-    asked = F.when(F.col("split") == "train", 0.3).otherwise(1.0)
-    far = F.when(F.col("split") == "train", 0.05).otherwise(0.0)
-    return whole.join(sampled, "split").select("split", "rows", (F.abs(F.col("n") / F.col("rows") - asked) <= far).alias("share_as_asked"))
+    return split.tag_splits(*split.sample_splits(train, test, 0.3, 42)).select("l_orderkey", "l_linenumber", "label", "split")
 
 
 @register("source_in", f"""

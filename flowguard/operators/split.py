@@ -1,7 +1,8 @@
-"""Train/test splitting and sampling.
+"""Train/test splitting and sampling. No split depends on how rows are dealt to partitions.
 
-``split_by_source`` and ``split_by_hash`` are plain filters (no shuffle, no sort) and do not
-depend on partition layout; ``split_random`` writes its draws once, without a sort.
+``split_by_source`` and ``split_by_hash`` are plain filters (no shuffle, no sort). The random split
+and the sample draw by a row's content and its number among equal rows, which a count of each
+content gives without a sort: equal rows are combined before the shuffle, however many there are.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from flowguard.session import write_table
 
 HASH_BUCKETS = 10_000
 DRAW = "__draw"
+DRAWS = 1 << 32
+#: Equal rows that one task makes anew; more are dealt to several.
+EQUAL_ROWS = 100_000
 
 
 def split_by_source(
@@ -31,12 +35,36 @@ def split_by_source(
 def split_random(
     df: DataFrame, train_fraction: float = 0.8, seed: int = 42, source_col: str = "source_file"
 ) -> tuple[DataFrame, DataFrame]:
-    """A seeded draw per row, written once to the shared folder; both parts are filters on the draw.
+    """Train and test by a seeded draw per row (``with_draw``), written once; both parts are filters on the draw.
 
-    Every row is in exactly one part, also if an executor is lost or the input is read again.
+    The same rows give the same parts in any layout, also if an executor is lost or the input is
+    read again. ``drop_table`` of either part's files deletes what was written.
     """
-    tagged = write_table(df.drop(source_col).withColumn(DRAW, F.rand(seed)), "random-split")
-    return tagged.filter(F.col(DRAW) < train_fraction).drop(DRAW), tagged.filter(F.col(DRAW) >= train_fraction).drop(DRAW)
+    tagged = write_table(with_draw(df, seed).drop(source_col), "random-split")
+    low = F.col(DRAW) < int(train_fraction * DRAWS)
+    return tagged.filter(low).drop(DRAW), tagged.filter(~low).drop(DRAW)
+
+
+def _drawn(text: Column) -> Column:
+    """A number in [0, 2^32): the first 32 bits of md5; the same in SQL engines."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def with_draw(df: DataFrame, seed: int = 42, of: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with a draw in [0, 2^32) per row that follows from its values and its number among equal rows.
+
+    The draw is the head of md5("<values joined by |>|<number>:<seed>"), a null value being \\N and
+    equal rows numbered from 0; ``of`` names the values that count (default: all). Rows are counted by content; a content's rows are then made anew,
+    more than ``EQUAL_ROWS`` of them by several tasks. -0.0 becomes 0.0, as in any grouping.
+    """
+    columns = list(df.columns)
+    counts = df.groupBy(*[qcol(c) for c in columns]).agg(F.count(F.lit(1)).alias("__n"))
+    several = counts.filter(F.col("__n") > EQUAL_ROWS).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(EQUAL_ROWS).cast("long"))))
+    several = several.repartition(F.xxhash64(*[qcol(c) for c in columns]), "__from")
+    few = counts.filter(F.col("__n") <= EQUAL_ROWS).withColumn("__from", F.lit(0).cast("long"))
+    each = few.unionByName(several).withColumn("__k", F.explode(F.sequence("__from", F.least(F.col("__n"), F.col("__from") + EQUAL_ROWS) - 1)))
+    text = F.concat_ws("|", *[F.coalesce(qcol(c).cast("string"), F.lit("\\N")) for c in of or columns], F.col("__k").cast("string"))
+    return each.select(*[qcol(c) for c in columns], _drawn(F.concat(text, F.lit(f":{seed}"))).alias(DRAW))
 
 
 def hash_bucket(key: Column, seed: int = 42) -> Column:
@@ -63,8 +91,15 @@ def split_by_hash(
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Sample without replacement; a no-op at fraction >= 1."""
-    return df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    """Sample without replacement, the same in any layout; a no-op at fraction >= 1.
+
+    A frame that has draws (column ``DRAW``) gets new ones from those and the seed; another gets ``with_draw``'s.
+    """
+    if fraction >= 1.0:
+        return df
+    if DRAW in df.columns:
+        return df.filter(_drawn(F.concat(F.col(DRAW).cast("string"), F.lit(f":{seed}"))) < int(fraction * DRAWS))
+    return with_draw(df, seed).filter(F.col(DRAW) < int(fraction * DRAWS)).drop(DRAW)
 
 
 def sample_splits(

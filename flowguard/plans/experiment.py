@@ -14,10 +14,11 @@ No join lines predictions up, and no metric pulls rows to the driver.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flowguard.config import ENSEMBLE_HARD, ENSEMBLE_SOFT, ExperimentConfig
@@ -29,9 +30,10 @@ from flowguard.operators.labels import prepare_labels
 from flowguard.operators.metrics import confusion_counts, model_metrics, per_class_metrics
 from flowguard.operators.models import has_probability, pred_col, prob_col, score_models, select_models, train_models
 from flowguard.operators.ranking import comparison_table
-from flowguard.operators.split import DRAW, sample_splits, split_dispatch
+from flowguard.operators.split import DRAW, DRAWS, sample_splits, split_dispatch, with_draw
 from flowguard.operators.weights import add_weights_from_counts
-from flowguard.session import drop_table, materialize, write_table
+from flowguard.session import drop_path, drop_table, materialize, scratch_path, write_table
+from flowguard.sources.flow_csv import RAGGED
 
 
 @dataclass
@@ -98,6 +100,7 @@ class ExperimentResult:
     best_single: str | None = None
     best_overall: str | None = None
     persisted: list = field(default_factory=list)
+    owned: PreparedFlows | None = None  # flows that the experiment prepared itself
 
     @property
     def comparison(self) -> DataFrame:
@@ -111,11 +114,18 @@ class ExperimentResult:
     def confusion(self) -> DataFrame:
         return self.evaluation.confusion
 
-    def release(self) -> None:
-        """Delete the scratch tables that the results no longer need (the training set)."""
+    def release(self, results: bool = False) -> None:
+        """Delete the scratch tables that the results no longer need: the training set and own prepared rows.
+
+        With ``results`` also the tables that the results read (confusion, own label counts): nothing is left.
+        """
         for df in self.persisted:
             drop_table(df)
         self.persisted = []
+        if self.owned:
+            self.owned.release(results)
+        if results:
+            drop_table(self.confusion)
 
 
 def prepare(df: DataFrame, cfg: ExperimentConfig) -> DataFrame:
@@ -125,37 +135,78 @@ def prepare(df: DataFrame, cfg: ExperimentConfig) -> DataFrame:
 
 @dataclass
 class PreparedFlows:
-    """Prepared rows in the shared folder, each with a draw for the random split, and their labels by source."""
+    """Prepared rows in the shared folder, their labels by source, and the records that were no rows."""
 
-    rows: DataFrame
-    counts: DataFrame          # (label, source, count), a small table
+    rows: DataFrame                     # with a draw each (``with_draw``) if a random split or a sample asked for it
+    counts: DataFrame                   # (label, source, count), a small table
     seed: int
+    rejects: DataFrame | None = None    # (source_file, record) of the lines that were no rows
+    observed: dict[str, int] = field(default_factory=dict)  # lines accepted and rejected, if the frame told them apart
+    paths: list[str] = field(default_factory=list)
+
+    def with_draws(self) -> DataFrame:
+        """The rows with their draws, which are made now if nothing asked for them before."""
+        if DRAW not in self.rows.columns:
+            self.paths.append(scratch_path(self.rows.sparkSession, "prepared"))
+            drawn = with_draw(self.rows, self.seed)
+            drawn.write.parquet(self.paths[-1])
+            self.rows = drawn.sparkSession.read.schema(drawn.schema).parquet(self.paths[-1])
+        return self.rows
+
+    def release(self, counts: bool = True) -> None:
+        """Delete the rows and rejects, and the label counts unless results still read them."""
+        while self.paths:
+            drop_path(self.rows.sparkSession, self.paths.pop())
+        if counts:
+            drop_table(self.counts)
+
 
-    def release(self) -> None:
-        drop_table(self.rows)
-        drop_table(self.counts)
+REJECTED = "__rejected"
 
 
-def prepare_flows(df: DataFrame, cfg: ExperimentConfig) -> PreparedFlows:
-    """The one pass over the raw flows; all that follows reads its table."""
-    rows = write_table(prepare(df, cfg).withColumn(DRAW, F.rand(cfg.seed)), "prepared")
+def prepare_flows(df: DataFrame, cfg: ExperimentConfig, draws: bool | None = None) -> PreparedFlows:
+    """The one pass over the raw flows; all that follows reads its table.
+
+    A frame read with ``rejects`` is parted by that pass: rows and records that are none are written
+    side by side, and counted on the way. ``draws``: whether rows get a draw now (default: if
+    the configuration splits at random or samples).
+    """
+    spark, seen = df.sparkSession, None
+    if RAGGED in df.columns:
+        bad, seen = F.col(RAGGED).isNotNull(), Observation()
+        values = [f for f in df.schema.fields if f.name != RAGGED]
+        whole = [~F.isnan(qcol(f.name)) if f.dataType.typeName() in ("double", "float") else F.lit(True) for f in values]
+        complete = functools.reduce(Column.__and__, [qcol(f.name).isNotNull() & w for f, w in zip(values, whole)])
+        df = df.observe(seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected")).filter(bad | complete)
+        out = prepare_labels(df, cfg.mode, cfg.normal_label, cfg.label_col).withColumn(REJECTED, bad.cast("int"))
+    else:
+        out = prepare(df, cfg)
+    if draws or draws is None and (cfg.split == "random" or min(cfg.sample_fraction, cfg.test_fraction) < 1.0):
+        out = with_draw(out, cfg.seed, [c for c in out.columns if c not in (RAGGED, REJECTED)])
+    path = scratch_path(spark, "prepared")
+    (out.write.partitionBy(REJECTED) if seen else out.write).parquet(path)
+    rows, rejects = spark.read.schema(out.schema).parquet(path), None
+    if seen:
+        rejects = rows.filter(F.col(REJECTED) == 1).select(qcol(cfg.source_col).alias("source_file"), F.col(RAGGED).alias("record"))
+        rows = rows.filter(F.col(REJECTED) == 0).drop(REJECTED, RAGGED)
     source = qcol(cfg.source_col) if cfg.source_col in rows.columns else F.lit(None).cast("string")
     counts = rows.groupBy(qcol(cfg.label_col).alias("label"), source.alias("source")).agg(F.count(F.lit(1)).alias("count"))
-    return PreparedFlows(rows, write_table(counts, "prepared-counts"), cfg.seed)
+    return PreparedFlows(rows, write_table(counts, "prepared-counts"), cfg.seed, rejects, dict(seen.get) if seen else {}, [path])
 
 
 def split_prepared(flows: PreparedFlows, cfg: ExperimentConfig, key_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Train and test part of the prepared table, as filters."""
-    rows = flows.rows
-    if cfg.split == "random":
-        low = F.col(DRAW) < cfg.train_fraction
-        return tuple(rows.filter(part).drop(DRAW, cfg.source_col) for part in (low, ~low))
+    """Train and test part of the prepared table, as filters; rows keep their draws, if they have any."""
+    random = cfg.split == "random"
+    rows = flows.with_draws() if random or min(cfg.sample_fraction, cfg.test_fraction) < 1.0 else flows.rows
+    if random:
+        low = F.col(DRAW) < int(cfg.train_fraction * DRAWS)
+        return tuple(rows.filter(part).drop(cfg.source_col) for part in (low, ~low))
     if cfg.split == "file":
         listed = {*cfg.train_sources, *cfg.test_sources}
         found = {r["source"] for r in flows.counts.filter(F.col("source").isin(list(listed))).select("source").distinct().collect()}
         if listed - found:
             raise ValueError(f"no rows from listed sources: {', '.join(sorted(listed - found))}")
-    return split_dispatch(rows.drop(DRAW), cfg.split, cfg.train_sources, cfg.test_sources, cfg.train_fraction, cfg.seed, key_cols, cfg.source_col)
+    return split_dispatch(rows, cfg.split, cfg.train_sources, cfg.test_sources, cfg.train_fraction, cfg.seed, key_cols, cfg.source_col)
 
 
 def run_experiment(
@@ -164,15 +215,32 @@ def run_experiment(
     feature_cols: Sequence[str] | None = None,
     key_cols: Sequence[str] = (),
 ) -> ExperimentResult:
-    """One experiment over a loaded flow table (``label`` + features [+ ``source_file``]), or over prepared flows."""
-    key_cols = tuple(key_cols) or cfg.key_cols
-    flows = df if isinstance(df, PreparedFlows) else prepare_flows(df, cfg)
+    """One experiment over a loaded flow table (``label`` + features [+ ``source_file``]), or over prepared flows.
+
+    Prepared flows are the caller's; those made here are deleted by the result's ``release``. A failing
+    experiment deletes what it wrote.
+    """
+    own = None if isinstance(df, PreparedFlows) else prepare_flows(df, cfg)
+    scratch: list[DataFrame] = []
+    try:
+        result = _run(own or df, cfg, feature_cols, tuple(key_cols) or cfg.key_cols, scratch)
+    except BaseException:
+        for table in scratch:
+            drop_table(table)
+        if own:
+            own.release()
+        raise
+    result.owned = own
+    return result
+
+
+def _run(flows: PreparedFlows, cfg: ExperimentConfig, feature_cols: Sequence[str] | None, key_cols: Sequence[str], scratch: list[DataFrame]) -> ExperimentResult:
     prepared = flows.rows.drop(DRAW)
     skip = {cfg.label_col, cfg.source_col, *key_cols}
     feats = list(feature_cols) if feature_cols else list(feature_columns(prepared, skip))
 
     train, test = split_prepared(flows, cfg, key_cols)
-    train, test = sample_splits(train, test, cfg.sample_fraction, cfg.seed, cfg.test_fraction)
+    train, test = (part.drop(DRAW) for part in sample_splits(train, test, cfg.sample_fraction, cfg.seed, cfg.test_fraction))
 
     # One aggregation over the training part gives the label order (StringIndexer's rule)
     # and the class counts for the weights; the label stage is then pre-fitted.
@@ -185,6 +253,7 @@ def run_experiment(
     if cfg.class_weights:
         train_p = add_weights_from_counts(train_p, counts, "label_idx")
     train_p = materialize(train_p, "train")
+    scratch.append(train_p)
     test_p = prep_model.transform(test).select("label_idx", "features")
 
     fitted = train_models(train_p, names, cfg, n_classes=len(labels))
@@ -229,8 +298,20 @@ def run_both_splits(
     df: DataFrame | PreparedFlows, cfg: ExperimentConfig, feature_cols: Sequence[str] | None = None, key_cols: Sequence[str] = ()
 ) -> dict[str, ExperimentResult]:
     """Random-split and file-split experiments over one prepared table (stops at the first failure)."""
-    flows = df if isinstance(df, PreparedFlows) else prepare_flows(df, cfg)
-    return {split: run_experiment(flows, cfg.with_(split=split), feature_cols, key_cols) for split in ("random", "file")}
+    own = None if isinstance(df, PreparedFlows) else prepare_flows(df, cfg, draws=True)
+    results: dict[str, ExperimentResult] = {}
+    try:
+        for split in ("random", "file"):
+            results[split] = run_experiment(own or df, cfg.with_(split=split), feature_cols, key_cols)
+    except BaseException:
+        for r in results.values():
+            r.release(results=True)
+        if own:
+            own.release()
+        raise
+    if own:
+        results["file"].owned = own  # released last
+    return results
 
 
 def tagged_comparison(results: dict[str, ExperimentResult]) -> DataFrame:

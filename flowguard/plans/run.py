@@ -23,8 +23,8 @@ from flowguard.sinks import writers
 from flowguard.sources.flow_csv import KDD_NUMERIC, read_flow_csvs, read_kdd, resolve_profile, source_basename
 
 
-def export_results(res: ExperimentResult, out_dir: str, dataset: str = "cicids") -> dict[str, str]:
-    """Write every result table of one experiment below ``out_dir``; returns name -> path."""
+def export_results(res: ExperimentResult, out_dir: str, dataset: str = "cicids", lines: dict[str, int] | None = None) -> dict[str, str]:
+    """Write every result table of one experiment below ``out_dir``; returns name -> path. ``lines``: input lines accepted and rejected."""
     cfg = res.config
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
@@ -39,7 +39,7 @@ def export_results(res: ExperimentResult, out_dir: str, dataset: str = "cicids")
         named = confusion_by_label(res.confusion.filter(F.col("model") == res.best_single), res.labels)
         paths["confusion_matrix"] = writers.write_confusion(named, f"{out}/confusion_matrix")
     record = writers.experiment_record(res.comparison, res.per_class, dataset, cfg.mode, cfg.split,
-                                       cfg.train_sources, cfg.test_sources, [n for n, _, _ in res.fitted], res.skipped)
+                                       cfg.train_sources, cfg.test_sources, [n for n, _, _ in res.fitted], res.skipped, lines)
     paths["experiment_results"] = writers.write_experiment_json(record, f"{out}/experiment_results")
     config_rows = report.report_config(res.label_counts, dataset, cfg.data_size, cfg.mode, cfg.split,
                                        cfg.sample_fraction, cfg.class_weights, cfg.fast)
@@ -67,24 +67,32 @@ def run_and_export(
 
     With ``both_splits`` the random and file split run on one prepared table, written to
     ``out_dir/random`` and ``out_dir/file``. KDD is one file without capture days: a file split
-    of it (alone or of both) becomes one random split, with a warning.
+    of it (alone or of both) becomes one random split, with a warning. Lines whose number of cells
+    is not the header's are written to ``out_dir/rejected_lines`` with their source, and counted in the JSON.
+    Scratch tables are deleted, after a failure too.
     """
     if cfg.dataset == "kdd" and (both_splits or cfg.split == "file"):
         warnings.warn("KDD has no capture days: the file split is replaced by one random split", stacklevel=2)
         cfg, both_splits = cfg.with_(split="random"), False
     train, test = resolve_profile(spark, data_dir, cfg.data_size, cfg.dataset)
     if cfg.dataset == "kdd":
-        flows, features = read_kdd(spark, train[0]), [*KDD_CATEGORICAL, *KDD_NUMERIC]
+        flows, features = read_kdd(spark, train[0], rejects=True), [*KDD_CATEGORICAL, *KDD_NUMERIC]
     else:
-        flows, features = read_flow_csvs(spark, train + test), None
+        flows, features = read_flow_csvs(spark, train + test, rejects=True), None
         if not cfg.train_sources:
             cfg = cfg.with_(train_sources=tuple(map(source_basename, train)), test_sources=tuple(map(source_basename, test)))
-    prepared = prepare_flows(flows, cfg)
-    results = run_both_splits(prepared, cfg, features) if both_splits else {cfg.split: run_experiment(prepared, cfg, features)}
-    written = {}
-    for split, res in results.items():
-        target = f"{out_dir.rstrip('/')}/{split}" if both_splits else out_dir
-        written[split] = export_results(res, target, cfg.dataset)
-        res.release()
-    prepared.release()
+    prepared = prepare_flows(flows, cfg, draws=True if both_splits else None)
+    results, written = {}, {}
+    try:
+        rejected = writers.write_rejects(prepared.rejects, f"{out_dir.rstrip('/')}/rejected_lines") if prepared.observed["rejected"] else None
+        results = run_both_splits(prepared, cfg, features) if both_splits else {cfg.split: run_experiment(prepared, cfg, features)}
+        for split, res in results.items():
+            target = f"{out_dir.rstrip('/')}/{split}" if both_splits else out_dir
+            written[split] = export_results(res, target, cfg.dataset, prepared.observed)
+            if rejected:
+                written[split]["rejected_lines"] = rejected
+    finally:
+        for res in results.values():
+            res.release(results=True)
+        prepared.release()
     return written

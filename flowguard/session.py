@@ -93,6 +93,12 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return write_table(df, name).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_table(df: DataFrame) -> None:
     """Unpersist and delete a table of ``write_table`` or ``materialize`` that nothing reads any more."""
     spark = df.sparkSession

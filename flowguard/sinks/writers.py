@@ -105,8 +105,10 @@ def experiment_record(
     test_files: Sequence[str] = (),
     models: Sequence[str] = (),
     skipped: Mapping[str, str] | None = None,
+    lines: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """One nested row: run description, models (trained, and left out with the reason), best models,
+    """One nested row: run description, models (trained, and left out with the reason), the input lines
+    accepted and rejected (``lines``; null if not counted), best models,
     comparison rows by macro-F1 desc and per-class rows by model and class.
 
     Both tables (one row per model / per model and class) are gathered by ONE aggregation
@@ -144,6 +146,7 @@ def experiment_record(
         F.array(*[F.lit(m) for m in models]).cast("array<string>").alias("models"),
         F.array(*[F.struct(F.lit(m).alias("model"), F.lit(why).alias("reason")) for m, why in (skipped or {}).items()])
         .cast("array<struct<model:string,reason:string>>").alias("skipped"),
+        *[F.lit((lines or {}).get(k)).cast("long").alias(f"{k}_lines") for k in ("accepted", "rejected")],
         F.transform("_cmp", lambda x: x["c"]).alias("comparison"),
         F.transform("_pc", lambda x: x["p"]).alias("per_class"),
     )
@@ -159,6 +162,12 @@ def pc_struct_type(per_class: DataFrame) -> StructType:
     return StructType([StructField(c, fields[c]) for c in ("model", "class_label", "precision", "recall", "f1", "support")])
 
 
+def write_rejects(rejects: DataFrame, path: str) -> str:
+    """JSON lines (source_file, record): input lines that were no rows, as they were read."""
+    rejects.select("source_file", "record").write.mode("overwrite").json(path)
+    return path
+
+
 def write_experiment_json(record: DataFrame, path: str) -> str:
     record.coalesce(1).write.mode("overwrite").json(path)
     return path
@@ -180,6 +189,8 @@ EXPERIMENT_JSON_SCHEMA = StructType([
     StructField("best_overall", StringType()),
     StructField("models", ArrayType(StringType())),
     StructField("skipped", ArrayType(StructType([StructField("model", StringType()), StructField("reason", StringType())]))),
+    StructField("accepted_lines", LongType()),
+    StructField("rejected_lines", LongType()),
     StructField("comparison", ArrayType(COMPARISON_SCHEMA)),
     StructField("per_class", ArrayType(PER_CLASS_SCHEMA)),
 ])
