@@ -28,8 +28,11 @@ SHAPES = 32
 #: Words whose counts are broadcast; the others' counts are joined. Scores don't depend on it (from the network's words on).
 KNOWN_WORDS = 50_000
 SIDE, HIDDEN = 2, 16
-ROUNDS, BATCH, RATE = 3, 512, 0.15
+ROUNDS, BATCH, RATE = 3, 1024, 0.15
 PAD = SYMBOLS
+#: The softmax has two levels: a symbol's class (its number // INNER), and the symbol within the class.
+INNER = 16
+OUTER = SYMBOLS // INNER
 
 
 def shapes(w: Words) -> np.ndarray:
@@ -72,9 +75,10 @@ class Vocabulary:
 
 
 class Network:
-    """tanh of summed neighbour embeddings (a table per relative position), then a softmax over symbols."""
+    """tanh of summed neighbour embeddings (a table per relative position), then a softmax over classes of
+    symbols and one over the symbols of the target's class: INNER + OUTER exponentials, and their product sums to 1."""
 
-    SHAPES = ((2 * SIDE, SYMBOLS + 1, HIDDEN), (HIDDEN,), (HIDDEN, SYMBOLS), (SYMBOLS,))
+    SHAPES = ((2 * SIDE, SYMBOLS + 1, HIDDEN), (HIDDEN,), (HIDDEN, OUTER), (OUTER,), (OUTER, HIDDEN, INNER), (OUTER, INNER))
     SIZE = sum(int(np.prod(s)) for s in SHAPES)
 
     def __init__(self, flat: np.ndarray):
@@ -87,51 +91,90 @@ class Network:
 
     @classmethod
     def fresh(cls, frequency: np.ndarray, seed: int = 8) -> Network:
-        """Small random weights; the output bias starts at the symbols' log frequencies."""
+        """Small random weights; the output biases start at the log frequencies of classes and symbols."""
         net = cls(np.random.default_rng(seed).normal(0, 0.1, cls.SIZE))
         net.parts[1][:] = 0
-        net.parts[3][:] = np.log((frequency + 1) / (frequency.sum() + SYMBOLS))
+        share = ((frequency + 1) / (frequency.sum() + SYMBOLS)).reshape(OUTER, INNER)
+        net.parts[3][:] = np.log(share.sum(1))
+        net.parts[5][:] = np.log(share / share.sum(1, keepdims=True))
         return net
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         table, bias = self.parts[0], self.parts[1]
-        h = table[0][around[:, 0]] + bias
+        h = table[0].take(around[:, 0], 0) + bias
         for k in range(1, 2 * SIDE):
-            h += table[k][around[:, k]]
+            h += table[k].take(around[:, k], 0)
         return np.tanh(h, out=h)
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         out = np.empty(len(target))
-        for lo in range(0, len(target), 2048):
-            y = target[lo : lo + 2048]
-            z = self.hidden(around[lo : lo + 2048]) @ self.parts[2]
-            z += self.parts[3]
-            z -= z.max(1, keepdims=True)
-            own = z[np.arange(len(y)), y].astype(float)
-            out[lo : lo + 2048] = own - np.log(np.exp(z, out=z).sum(1, dtype=np.float64))
+        for lo in range(0, len(target), 4096):
+            y = target[lo : lo + 4096]
+            h = self.hidden(around[lo : lo + 4096])
+            p = _softmax(h @ self.parts[2] + self.parts[3])
+            total = np.log(p[np.arange(len(y)), y // INNER].astype(float))
+            for c, rows in _by_class(y):
+                q = _softmax(h[rows] @ self.parts[4][c] + self.parts[5][c])
+                total[rows] += np.log(q[np.arange(len(rows)), y[rows] % INNER].astype(float))
+            out[lo : lo + 4096] = total
         return out
 
+    def gradient(self, around: np.ndarray, target: np.ndarray) -> Network:
+        """Of the mean negative log-probability of the targets, by every weight."""
+        order = np.argsort(target // INNER, kind="stable")  # classes side by side
+        around, target = around[order], target[order]
+        number, n, every = target // INNER, len(target), np.arange(len(target))
+        h = self.hidden(around)
+        grad = Network(np.zeros(self.SIZE, np.float32))
+        z = _softmax(h @ self.parts[2] + self.parts[3])
+        z[every, number] -= 1
+        z /= n
+        grad.parts[2][:] = h.T @ z
+        grad.parts[3][:] = z.sum(0)
+        back = z @ self.parts[2].T
+        first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+        place = target % INNER
+        for c, lo, hi in zip(number[first].tolist(), first.tolist(), [*first[1:].tolist(), n]):
+            weights, own = self.parts[4][c], h[lo:hi]
+            z = _softmax(own @ weights + self.parts[5][c])
+            z[every[: hi - lo], place[lo:hi]] -= 1
+            z /= n
+            grad.parts[4][c] = own.T @ z
+            grad.parts[5][c] = z.sum(0)
+            back[lo:hi] += z @ weights.T
+        back *= 1 - h * h
+        grad.parts[1][:] = back.sum(0)
+        for k in range(2 * SIDE):
+            column = around[:, k]
+            order = np.argsort(column.astype(np.uint16), kind="stable")  # 16 bits: a radix sort
+            column = column[order]
+            first = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
+            grad.parts[0][k][column[first]] = np.add.reduceat(back.take(order, 0), first)
+        return grad
+
     def train(self, around: np.ndarray, target: np.ndarray, memory: np.ndarray) -> None:
         """One pass of Adagrad over the examples in batches; ``memory`` holds the squared gradients."""
-        table, bias, out, shift = self.parts
-        grad = Network(np.zeros(self.SIZE, np.float32))
         for lo in range(0, len(target), BATCH):
-            c, y = around[lo : lo + BATCH], target[lo : lo + BATCH]
-            h = self.hidden(c)
-            z = h @ out + shift
-            z = np.exp(z - z.max(1, keepdims=True))
-            z /= z.sum(1, keepdims=True)
-            z[np.arange(len(y)), y] -= 1
-            z /= len(y)
-            grad.flat[:] = 0
-            grad.parts[2][:] = h.T @ z
-            grad.parts[3][:] = z.sum(0)
-            back = (z @ out.T) * (1 - h * h)
-            grad.parts[1][:] = back.sum(0)
-            for k in range(2 * SIDE):
-                np.add.at(grad.parts[0][k], c[:, k], back)
-            memory += grad.flat**2
-            self.flat -= RATE * grad.flat / np.sqrt(memory)
+            slope = self.gradient(around[lo : lo + BATCH], target[lo : lo + BATCH]).flat
+            memory += slope**2
+            self.flat -= RATE * slope / np.sqrt(memory)
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
+def _by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(class, the rows whose target is in it)."""
+    number = target // INNER
+    order = np.argsort(number, kind="stable")
+    first = np.r_[0, np.flatnonzero(np.diff(number[order])) + 1, len(order)]
+    for lo, hi in zip(first[:-1], first[1:]):
+        if hi > lo:
+            yield int(number[order[lo]]), order[lo:hi]
 
 
 def examples(symbols: np.ndarray, first: np.ndarray, pick: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

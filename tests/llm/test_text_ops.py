@@ -236,6 +236,35 @@ def test_examples_and_network():
     assert np.exp(net.log_probabilities(context, np.arange(pseudolm.SYMBOLS))).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_gradient_and_score_by_plain_sums():
+    """log P and its slopes by loops over one position after the other, in double precision."""
+    rng = np.random.default_rng(5)
+    net = pseudolm.Network(rng.normal(0, 0.5, pseudolm.Network.SIZE))
+    symbols = rng.integers(0, pseudolm.SYMBOLS, 40).astype(np.uint8)
+    around, target = pseudolm.examples(symbols, np.array([0, 25, 25, 40]))
+
+    def plain(flat):
+        at, parts = 0, []
+        for s in net.SHAPES:
+            parts.append(flat[at : at + int(np.prod(s))].reshape(s))
+            at += int(np.prod(s))
+        out = []
+        for c, y in zip(around, target):
+            h = np.tanh(sum(parts[0][k][c[k]] for k in range(2 * pseudolm.SIDE)) + parts[1])
+            outer = h @ parts[2] + parts[3]
+            inner = h @ parts[4][y // pseudolm.INNER] + parts[5][y // pseudolm.INNER]
+            out.append(outer[y // pseudolm.INNER] - np.log(np.exp(outer).sum()) + inner[y % pseudolm.INNER] - np.log(np.exp(inner).sum()))
+        return np.array(out)
+
+    flat = net.flat.astype(float)
+    assert np.allclose(net.log_probabilities(around, target), plain(flat), atol=1e-4)
+    slope = net.gradient(around, target).flat
+    for w in [*rng.integers(0, net.SIZE, 40), *np.argsort(-np.abs(slope))[:60]]:
+        step = np.zeros(net.SIZE)
+        step[w] = 1e-5
+        assert slope[w] == pytest.approx(-(plain(flat + step).mean() - plain(flat - step).mean()) / 2e-5, abs=1e-4)
+
+
 def test_training_learns_both_sides():
     """A symbol fixed by its left and right neighbours together is learned."""
     rng = np.random.default_rng(2)
