@@ -58,13 +58,15 @@ def with_draw(df: DataFrame, seed: int = 42, of: Sequence[str] | None = None) ->
     more than ``EQUAL_ROWS`` of them by several tasks. -0.0 becomes 0.0, as in any grouping.
     """
     columns = list(df.columns)
-    counts = df.groupBy(*[qcol(c) for c in columns]).agg(F.count(F.lit(1)).alias("__n"))
-    several = counts.filter(F.col("__n") > EQUAL_ROWS).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(EQUAL_ROWS).cast("long"))))
-    several = several.repartition(F.xxhash64(*[qcol(c) for c in columns]), "__from")
+    # a row is grouped as one struct: with wide rows the optimiser would derive constraints from every column's expression
+    counts = df.groupBy(F.struct(*[qcol(c) for c in columns]).alias("__row")).agg(F.count(F.lit(1)).alias("__n"))
     few = counts.filter(F.col("__n") <= EQUAL_ROWS).withColumn("__from", F.lit(0).cast("long"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(EQUAL_ROWS).cast("long"))
+    several = counts.filter(F.col("__n") > EQUAL_ROWS).withColumn("__from", F.explode(starts)).repartition(F.xxhash64("__row"), "__from")
     each = few.unionByName(several).withColumn("__k", F.explode(F.sequence("__from", F.least(F.col("__n"), F.col("__from") + EQUAL_ROWS) - 1)))
-    text = F.concat_ws("|", *[F.coalesce(qcol(c).cast("string"), F.lit("\\N")) for c in of or columns], F.col("__k").cast("string"))
-    return each.select(*[qcol(c) for c in columns], _drawn(F.concat(text, F.lit(f":{seed}"))).alias(DRAW))
+    row = F.col("__row")
+    text = F.concat_ws("|", *[F.coalesce(row.getField(c).cast("string"), F.lit("\\N")) for c in of or columns], F.col("__k").cast("string"))
+    return each.select(*[row.getField(c).alias(c) for c in columns], _drawn(F.concat(text, F.lit(f":{seed}"))).alias(DRAW))
 
 
 def hash_bucket(key: Column, seed: int = 42) -> Column:
