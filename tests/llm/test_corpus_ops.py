@@ -121,8 +121,8 @@ def near_pairs(texts):
     return out
 
 
-@pytest.mark.parametrize(("block", "tile"), [(16_384, 1024), (40, 7), (1000, 50)])
-def test_forest_equals_brute_force(spark, docs, block, tile):
+@pytest.mark.parametrize(("block", "tile", "node"), [(2048, 1024, 4096), (40, 7, 16)])
+def test_forest_equals_brute_force(spark, docs, block, tile, node):
     rng = random.Random(8)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     stem = [f"w{rng.randrange(900)}" for _ in range(150)]
@@ -132,7 +132,7 @@ def test_forest_equals_brute_force(spark, docs, block, tile):
             w[rng.randrange(150)] = f"x{rng.randrange(5)}"
         texts[20_000 + k] = " ".join(w)
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in lshforest.near_duplicates(frame, forest=lshforest.Forest(block=block, tile=tile)).collect()}
+    got = {r["doc_id"]: r for r in lshforest.near_duplicates(frame, forest=lshforest.Forest(block=block, tile=tile, node=node, shingles=block * 500)).collect()}
     links = near_pairs(texts)
     count, whole = Counter(i for e in links for i in e), classes(texts, links)
     assert len(got) == len(texts)
@@ -152,7 +152,9 @@ def test_forest_odd(spark):
 
 def test_forest_recall_bound():
     f = lshforest.Forest()
-    assert f.found(0.8, 4) >= f.recall > f.found(0.8, f.depth)
+    assert f.found(0.8, f.floor(0.8)) >= f.recall > f.found(0.8, f.floor(0.8) + 1)
+    draws = np.random.default_rng(1).binomial(f.trees * f.depth, 0.8, 10**6)
+    assert (draws < f.agreeing(0.8)).sum() <= 8 and (draws < f.agreeing(0.8) + 3).any()
 
 
 def test_forest_finds_pairs_at_the_threshold_among_many_copies(spark):
@@ -167,6 +169,47 @@ def test_forest_finds_pairs_at_the_threshold_among_many_copies(spark):
     assert got.filter("doc_id >= 400").count() == 12_000 and got.filter("doc_id < 400").count() >= 398
 
 
+def test_forest_rows_that_repeat_an_id(spark):
+    """Texts of one id are judged apart: none is lost, no link is lost."""
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    frame = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b), (2, a)], "doc_id long, text string")
+    got = sorted(map(tuple, lshforest.near_duplicates(frame).select("doc_id", "n_links", "class_id", "kept").collect()))
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 2, True), (3, 1, 2, False)]
+    kept = sorted(map(tuple, lshforest.keep_one(frame).collect()))
+    assert kept == [(1, a), (2, b)]
+    both = spark.createDataFrame([(1, a), (1, b), (2, b + " more")], "doc_id long, text string")
+    assert sorted(map(tuple, lshforest.keep_one(both).collect())) == [(1, a), (1, b)]
+
+
+def test_forest_template_makes_no_group(spark):
+    """Texts that share a third of their shingles meet in the trees, but are no candidates."""
+    rng = random.Random(12)
+    stem = " ".join(f"s{k}" for k in range(100))
+    texts = [(k, stem + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))) for k in range(600)]
+    forest = lshforest.Forest()
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    signed = lshforest._signatures(rows, forest, forest.floor(0.8))
+    kinds = signed.selectExpr("doc_id AS id", "nodes", "sketch")
+    met = kinds.selectExpr("explode(nodes) AS node").groupBy("node").count().filter("count > 1")
+    assert met.agg(F.sum("count")).first()[0] > 50  # one node a tree, of the template's shingles
+    assert lshforest._candidates(kinds, 0.8, forest).count() == 0
+
+
+def test_descent_joins_what_agrees():
+    """The groups of a subtree are the components of all pairs that agree, in any order of the tries."""
+    rng = np.random.default_rng(3)
+    for case in range(40):
+        base = rng.integers(0, 256, (5, 128)).astype(np.uint8)
+        rows = base[rng.integers(0, 5, 150)].copy()
+        change = rng.random(rows.shape) < rng.choice([0.05, 0.15, 0.3], (150, 1))
+        rows[change] = rng.integers(0, 256, int(change.sum()))
+        need = 80
+        agree = (rows[:, None] == rows[None]).sum(2) >= need
+        whole = classes(range(150), [tuple(map(int, e)) for e in np.argwhere(np.triu(agree, 1))])
+        low = lshforest.descend(rows, range(4 + 8 * (case % 16), 8 + 8 * (case % 16)), need, rows=17)
+        assert [whole[i] for i in range(150)] == low.tolist()
+
+
 # --- Decontamination ---------------------------------------------------------------------------
 
 def contained(texts, items, threshold=0.8):
