@@ -86,21 +86,27 @@ def _shared(rows: DataFrame) -> DataFrame:
     return write_table(ends.filter("least < most").select("h", "least"), "shared-hashes")
 
 
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, mark, text); ``mark`` tells the texts of an id that repeats apart."""
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+
+
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, whole, starts): documents with words to remove; ``whole``: all of them, else the starts of repeated windows."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    """(doc_id, mark, whole, starts): texts with words to remove; ``whole``: all of them, else the starts of repeated windows."""
+    rows = _rows(docs, doc_id, text).filter("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for lo, hi, texts in text_chunks(batch.column(1)):
+            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for lo, hi, texts in text_chunks(batch.column(2)):
                 h, doc, pos = anchors(words(texts))
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[lo:hi][doc]), pa.array(pos.astype(np.int32))], names=["h", "doc_id", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[lo:hi][doc]), pa.array(marks[lo:hi][doc]), pa.array(pos.astype(np.int32))],
+                                                 names=["h", "doc_id", "mark", "pos"])
 
-    found = write_table(rows.mapInArrow(anchored, "h long, doc_id long, pos int"), "anchors")
+    found = write_table(rows.mapInArrow(anchored, "h long, doc_id long, mark long, pos int"), "anchors")
     shared = _shared(found)
     # of a whole-text anchor only the later copies are of use: their words all go, and their windows begin in the first copy too
-    hits = found.join(shared, "h").filter("pos >= 0 OR doc_id > least").groupBy("doc_id").agg(
+    hits = found.join(shared, "h").filter("pos >= 0 OR doc_id > least").groupBy("doc_id", "mark").agg(
         (F.min("pos") < 0).alias("whole"), F.collect_list("pos").alias("positions"))
     hits = write_table(hits.withColumn("positions", F.when(F.col("whole"), F.array().cast("array<int>")).otherwise(F.col("positions"))), "anchor-hits")
     drop_table(found)
@@ -108,25 +114,25 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            flat, at = numbers(batch.column(2), np.int64)
-            for lo, hi, texts in text_chunks(batch.column(1)):
+            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            flat, at = numbers(batch.column(3), np.int64)
+            for lo, hi, texts in text_chunks(batch.column(2)):
                 w = words(texts)
                 n = w.counts()
                 starts = [around(flat[at[lo + d] : at[lo + d + 1]], n[d]) if n[d] >= WINDOW else np.zeros(0, np.int64) for d in range(hi - lo)]
                 doc = np.repeat(np.arange(hi - lo), list(map(len, starts)))
                 pos = np.concatenate(starts)
                 begin = w.first[doc] + pos
-                yield pa.RecordBatch.from_arrays([pa.array(Rolling(w).of(begin, begin + WINDOW, 3)), pa.array(ids[lo:hi][doc]), pa.array(pos.astype(np.int32))],
-                                                 names=["h", "doc_id", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(Rolling(w).of(begin, begin + WINDOW, 3)), pa.array(ids[lo:hi][doc]), pa.array(marks[lo:hi][doc]),
+                                                  pa.array(pos.astype(np.int32))], names=["h", "doc_id", "mark", "pos"])
 
-    wide = rows.join(hits.filter("NOT whole").select("doc_id", "positions"), "doc_id").select("doc_id", "text", "positions")
-    windows = write_table(wide.mapInArrow(extended, "h long, doc_id long, pos int"), "windows")
+    wide = rows.join(hits.filter("NOT whole").select("doc_id", "mark", "positions"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "positions")
+    windows = write_table(wide.mapInArrow(extended, "h long, doc_id long, mark long, pos int"), "windows")
     release(docs.sparkSession)
     shared = _shared(windows)
-    later = windows.join(shared, "h").filter("doc_id > least").groupBy("doc_id").agg(F.collect_list("pos").alias("starts"))
-    out = later.select("doc_id", F.lit(False).alias("whole"), "starts").unionAll(
-        hits.filter("whole").select("doc_id", "whole", F.col("positions").alias("starts")))
+    later = windows.join(shared, "h").filter("doc_id > least").groupBy("doc_id", "mark").agg(F.collect_list("pos").alias("starts"))
+    out = later.select("doc_id", "mark", F.lit(False).alias("whole"), "starts").unionAll(
+        hits.filter("whole").select("doc_id", "mark", "whole", F.col("positions").alias("starts")))
     out = write_table(out, "repeated")
     drop_table(windows)
     drop_table(hits)
@@ -139,12 +145,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Words are runs outside [\\x20\\x09-\\x0D]; a passage is a window of 50. Windows are judged on the
     input. A null text has no words; a row without an id loses nothing and is no source; rows that
-    repeat an id are one document, of which each row's text counts. kept_text: the kept words,
+    repeat an id are one document, whose texts are each judged against smaller documents alone. kept_text: the kept words,
     joined by a space; ``digest``: kept_sha256 instead.
     """
-    gone = repeated(docs, doc_id, text).withColumnRenamed("doc_id", "__id")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    wide = rows.join(gone, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)), F.coalesce("starts", F.array().cast("array<int>")))
+    gone = repeated(docs, doc_id, text).withColumnsRenamed({"doc_id": "__id", "mark": "__mark"})
+    rows = _rows(docs, doc_id, text)
+    wide = rows.join(gone, (F.col("doc_id") == F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)), F.coalesce("starts", F.array().cast("array<int>")))
     last = "kept_sha256" if digest else "kept_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
