@@ -112,7 +112,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, vec_id: str = "vec_i
     vector count as one vector; ids are expected to be unique otherwise.
     """
     v = F.col("embedding")
-    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("embedding"),
+    single = df.schema[embedding].dataType.simpleString() == "array<float>"  # floats are sent as they are, all else as doubles
+    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>" if single else "array<double>").alias("embedding"),
                      F.col(label).cast("string").alias("label")).distinct()
     fit = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)
            & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
@@ -282,4 +283,5 @@ def _by_length(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for n in np.unique(length):
         at = np.flatnonzero(length == n)
         x = flat[offsets[at][:, None] + np.arange(n)]
+        x = x / np.abs(x).max(1, keepdims=True)  # squares of very large and very small components stay in range
         yield at, x / np.sqrt((x * x).sum(1, keepdims=True))
