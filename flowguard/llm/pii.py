@@ -47,6 +47,8 @@ FORMATS = [re.compile(p) for p in (
     r"[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}", r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", r"[A-Z0-9]{20}", r"[A-Za-z]{2,3}[_-][A-Za-z0-9]{20,}")]
 NUMBER_FORMATS = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{4}([ -][0-9]{4}){3}")
 WORD = re.compile(r"[a-z]+")
+#: Weight of all spans together in the estimates: votes count by their shares, alike in a small and a large corpus.
+MASS = 100_000
 LABELERS = ("format", "cue", "assigned", "gazetteer", "varied", "delimited", "length")
 
 
@@ -187,7 +189,7 @@ def estimate(patterns: list[tuple[int, tuple[int, ...], int]], rounds: int = 100
     kind = np.array([p[0] for p in patterns])
     vote = np.array([p[1] for p in patterns]) + 1  # 0 against, 1 abstains, 2 for
     n = np.array([p[2] for p in patterns], float)
-    n = n / n.sum() * min(n.sum(), 1e6)
+    n = n / n.sum() * MASS
     start = (vote == 2).sum(1) - 1.5 * (vote == 0).sum(1) + 2.0 * (kind < 4)
     p = np.clip(1 / (1 + np.exp(-(start - 1.0))), 0.02, 0.98)
     said = np.zeros((2, len(LABELERS), 3))

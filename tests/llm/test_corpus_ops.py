@@ -99,6 +99,16 @@ def test_lattice_recall_and_counts(spark, block, tile):
     assert got[None]["kept"] and lattice.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_lattice_doubles(spark):
+    """Components of any size, compared in double precision."""
+    side = (1 - 0.93**2) ** 0.5
+    rows = [(1, [1e300] * 4), (2, [1e300] * 4), (3, [1e-300] * 4), (4, [2e-300] * 4), (5, [1e300, 1.0, -1e300, 0.0]),
+            (6, [1.0, 0.0, 0.0, 0.0]), (7, [0.93 + 1e-9, side, 0.0, 0.0]), (8, [0.93 - 1e-9, 0.0, side, 0.0])]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in lattice.near_duplicates(frame).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8)}
+
+
 # --- LSH forest --------------------------------------------------------------------------------
 
 def shingle_set(text):
@@ -315,6 +325,14 @@ def test_substrings_equal_brute_force(spark, docs):
     assert got == plain_removal(texts)
 
 
+def test_substrings_of_rows_that_repeat_an_id(spark):
+    """What one text of an id loses is no loss of another."""
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    frame = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b + " x " + a)], "doc_id long, text string")
+    got = sorted(map(tuple, substring.remove_repeats(frame).select("doc_id", "n_removed", "kept_text").collect()))
+    assert got == sorted([(1, 0, a), (2, 60, ""), (2, 0, b), (2, 60, b + " x")])
+
+
 def test_substrings_odd(spark):
     got = Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring.remove_repeats(odd(spark)).collect())
     assert got == Counter((i, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), 0) for i, t in ODD)

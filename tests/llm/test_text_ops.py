@@ -127,6 +127,15 @@ def test_pii_frame(spark, docs):
     assert keys["spans"] == "secret:12:52"
 
 
+def test_pii_estimates_follow_shares():
+    """The same shares of vote patterns give the same model at any size, also beyond a million spans."""
+    rng = random.Random(6)
+    patterns = sorted({(kind, tuple(rng.choice((-1, 0, 1)) for _ in pii.LABELERS)) for kind in range(6) for _ in range(12)})
+    counts = [rng.randrange(1, 500) for _ in patterns]
+    small, large = (pii.estimate([(*p, n * by) for p, n in zip(patterns, counts)]) for by in (1, 10**6))
+    assert np.allclose(small.weights, large.weights, atol=1e-6)
+
+
 def test_pii_odd(spark):
     model = pii.learn(odd(spark).limit(0))
     assert pii.find(odd(spark).limit(0), model).count() == 0
