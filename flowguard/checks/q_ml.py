@@ -67,6 +67,19 @@ def index_categories(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "l_returnflag_idx", "l_linestatus_idx", "service_idx")
 
 
+FLOW_KEY = "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"
+
+
+@register("index_categories_wide", "WITH " + ",\n".join([_rank_sql(FLOW_KEY, "fk"), _rank_sql("CAST(l_partkey AS STRING)", "pk")]) + f"""
+SELECT l.l_orderkey, l.l_linenumber, fk.idx AS flow_key_idx, pk.idx AS l_partkey_idx
+FROM lineitem l JOIN fk ON {FLOW_KEY} = fk.v JOIN pk ON CAST(l_partkey AS STRING) = pk.v""")
+def index_categories_wide(spark, sf_dir):
+    """Columns with as many values as rows and with thousands: ranks by range partition, joined on the value."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.expr(FLOW_KEY).alias("flow_key"))
+    out, _ = features.index_categories(li, ["flow_key", "l_partkey"])
+    return out.select("l_orderkey", "l_linenumber", "flow_key_idx", "l_partkey_idx")
+
+
 @register("index_to_label", with_(EVENTS_RULES) + """
 SELECT p.event_id, coalesce(n.name, CAST(CAST(p.pred_rule_b AS INTEGER) AS VARCHAR)) AS predicted_label
 FROM ev_pred p LEFT JOIN ev_names n ON p.pred_rule_b = n.idx""")

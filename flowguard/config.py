@@ -55,6 +55,7 @@ class ExperimentConfig:
     keep_categorical_metadata: bool = False  # True: trees see nominal features (needs max_bins)
     max_bins: int = 32
     gbt_one_vs_rest: bool = False           # multiclass: train GBT one-vs-rest instead of leaving it out
+    fit_threads: int = 4                    # models fitted side by side; 1: one after another
     label_col: str = "label"
     source_col: str = "source_file"
 

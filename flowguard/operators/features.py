@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.exprs import label_name_expr, qcol
+from flowguard.operators.categories import CategoryIndex, fit_category_index
 
 
 def _q(name: str) -> str:
@@ -59,14 +60,13 @@ def index_labels(df: DataFrame, label_col: str = "label", output_col: str = "lab
     return model.transform(df), list(model.labels)
 
 
-def index_categories(
-    df: DataFrame, columns: Sequence[str], suffix: str = "_idx"
-) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Multi-column StringIndexer (one fit pass for all columns)."""
-    model = StringIndexer(
-        inputCols=list(columns), outputCols=[c + suffix for c in columns], handleInvalid="keep"
-    ).fit(df)
-    return model.transform(df), {c: list(lbls) for c, lbls in zip(columns, model.labelsArray)}
+def index_categories(df: DataFrame, columns: Sequence[str], suffix: str = "_idx") -> tuple[DataFrame, CategoryIndex]:
+    """Index several columns by frequency; returns the indexed frame and the fitted index, a table (``categories``).
+
+    For columns with any number of values; the values never reach the driver, so the indices carry no names as metadata.
+    """
+    index = fit_category_index(df, columns)
+    return index.transform(df, suffix), index
 
 
 def index_to_label(df: DataFrame, idx_col: str, labels: Sequence[str], output_col: str) -> DataFrame:
