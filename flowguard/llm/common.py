@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -120,6 +120,34 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[in
         yield lo, hi, texts_of(column.slice(lo, hi - lo))
 
 
+# ---------------------------------------------------------------------------------------------
+# Few rows among many
+
+SIFT_BITS = 27  # the largest bitmap: 2**27 bits, 16 MB
+_PIECE_BITS = 15  # bits of a row of the bitmap, those of bitmap_construct_agg
+
+
+def sifted(rows: DataFrame, keys: list[Column], wanted: DataFrame, bits: int = SIFT_BITS) -> DataFrame:
+    """``rows`` with ``__may``: false only where ``keys`` equal no row of ``wanted``, whose columns are compared in order.
+
+    For a join with few rows: those of ``rows`` that can't match needn't be shuffled with all they
+    carry. ``wanted`` travels as a bitmap of 16 bits a row, 2**``bits`` at most; one row in 16 (more if the
+    bitmap is at its limit) passes by chance, so an exact join follows. The types of both must agree.
+    """
+    size = min(max((16 * wanted.count() - 1).bit_length(), _PIECE_BITS), bits)
+
+    def place(columns: list[Column]) -> tuple[Column, Column]:
+        at = F.shiftrightunsigned(F.xxhash64(*columns), 64 - size)
+        return F.shiftright(at, _PIECE_BITS), at.bitwiseAND((1 << _PIECE_BITS) - 1)
+
+    piece, bit = place([F.col(c) for c in wanted.columns])
+    bitmap = wanted.groupBy(piece.alias("__piece")).agg(F.bitmap_construct_agg(bit).alias("__bits"))
+    piece, bit = place(keys)
+    byte = F.conv(F.hex(F.substring("__bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    return rows.join(F.broadcast(bitmap), piece == F.col("__piece"), "left").withColumn("__may", held).drop("__piece", "__bits")
+
+
 # ---------------------------------------------------------------------------------------------
 # Hashes of words and shingles
 

@@ -39,6 +39,7 @@ from flowguard.llm.common import (
     numbers,
     permutations,
     shingles,
+    sifted,
     text_chunks,
     tiles,
     whole_groups,
@@ -110,8 +111,10 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, forest: Forest = Forest())
     """
     signed, linked = _classes(docs, threshold, "doc_id", "text", forest)
     gone = signed.join(linked.filter("NOT kept").select("doc_id", "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
-    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(gone, (F.col("doc_id") == F.col("__gone")) & (_mark(F.col("text")) == F.col("__mark")), "left_anti")
+    gone = write_table(gone.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct(), "text-gone")
+    told = sifted(docs, [F.col("doc_id").cast("long"), _mark(F.col("text"))], gone)
+    left = told.filter("__may").join(gone, (F.col("doc_id") == F.col("__gone")) & (_mark(F.col("text")) == F.col("__mark")), "left_anti")
+    return told.filter("NOT __may").unionAll(left).drop("__may")
 
 
 def _mark(text: Column) -> Column:
@@ -270,7 +273,9 @@ def _verify(rows: DataFrame, groups: DataFrame, threshold: float, forest: Forest
     blocks = groups.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / forest.block), F.ceil(F.sum("n") / forest.shingles)).cast("int").alias("blocks"))
     dealt = groups.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    sets = _sets(rows.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
+    grouped = groups.select(F.col("rep").alias("doc_id"))
+    few = sifted(rows, [F.col("doc_id")], grouped).filter("__may").drop("__may")  # not every text is shuffled
+    sets = _sets(few.join(grouped, "doc_id", "left_semi"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rest = ["own", "id", "copies", "nodes", "shingles"]
     work = dealt.join(sets, ["rep", "k1", "k2"]).select("component", other.alias("other"), *rest).select(

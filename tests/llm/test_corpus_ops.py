@@ -11,7 +11,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from flowguard.llm import decontam, lattice, lshforest, queries, sharding, substring
-from flowguard.llm.common import components, table
+from flowguard.llm.common import components, sifted, table
 from pyspark.sql import functions as F
 from test_text_ops import ODD, SF, odd
 
@@ -438,3 +438,33 @@ def test_pipeline_odd(spark):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, SF)
         rows.count()
+
+
+@pytest.mark.parametrize("bits", [27, 10])
+def test_sifting_loses_no_match(spark, bits):
+    rows = spark.range(20000).select(F.when(F.col("id") % 100 != 7, F.col("id")).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 3).alias("mark"))
+    wanted = spark.range(50, 20000, 400).select(F.col("id").alias("a"), F.concat(F.lit("t"), F.col("id") % 3).alias("b"))
+    told = sifted(rows, [F.col("doc_id"), F.col("mark")], wanted, bits)
+    assert told.columns == ["doc_id", "mark", "__may"]
+    assert told.count() == 20000
+    may = told.filter("__may").select("doc_id", "mark")
+    assert wanted.exceptAll(may).count() == 0
+    assert may.count() <= 20000 * (0.01 if bits == 27 else 0.25)
+    assert sifted(rows, [F.col("doc_id"), F.col("mark")], wanted.limit(0), bits).filter("__may").count() == 0
+
+
+def test_only_texts_with_candidates_are_shuffled(spark, monkeypatch):
+    """Of texts without a near copy few reach the joins that shuffle texts, whatever may be broadcast."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda k: F.md5(
+        F.concat_ws(":", F.greatest("id", F.lit(9)), k))), " ").alias("text"))  # 0 to 9 are copies
+    passed = []
+
+    def counted(rows, keys, wanted, **more):
+        told = sifted(rows, keys, wanted, **more)
+        passed.append(told.filter("__may").count())
+        return told
+
+    monkeypatch.setattr(lshforest, "sifted", counted)
+    kept = lshforest.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(10, 3000)]
+    assert len(passed) == 2 and max(passed) <= 60
