@@ -308,3 +308,16 @@ def test_raw_flows_are_read_once(spark):
         assert res.comparison.count() == 1 and res.label_counts.count() == 2
         res.release()
     flows.release()
+
+
+def test_source_tag_looks_for_no_pattern_in_every_row(spark, tmp_path):
+    """The folder's name is cut from the path by position; odd names come back as they are on disk."""
+    names = ["Monday-flows.csv", "day=a b+c%.csv", "k=x=y.csv"]
+    for name in names:
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.csv").write_text("A,Label\n1,x\n")
+    read = flow_csv.read_flow_csvs(spark, [str(tmp_path / name) for name in names])
+    assert sorted(r.source_file for r in read.collect()) == ["Monday-flows.csv", "a b+c%.csv", "x=y.csv"]
+    one = flow_csv.read_flow_csv(spark, str(tmp_path / names[0]))
+    assert [tuple(r) for r in one.collect()] == [("1", "x", "Monday-flows.csv")]
+    assert "regexp" not in one._jdf.queryExecution().optimizedPlan().toString()
