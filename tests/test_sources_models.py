@@ -1,9 +1,12 @@
 """CSV sources, profile resolution, model selection and experiment invariants."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from flowguard import session
 from flowguard.config import ExperimentConfig
 from flowguard.operators.models import build_classifier, select_models
 from flowguard.plans.experiment import run_experiment
@@ -321,3 +324,17 @@ def test_source_tag_looks_for_no_pattern_in_every_row(spark, tmp_path):
     one = flow_csv.read_flow_csv(spark, str(tmp_path / names[0]))
     assert [tuple(r) for r in one.collect()] == [("1", "x", "Monday-flows.csv")]
     assert "regexp" not in one._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_kdd_scratch_is_written_compressed(spark, tmp_path):
+    from flowguard.checks.q_sources import kdd_frame, write_kdd_file
+
+    plain, packed = str(tmp_path / "plain"), write_kdd_file(spark, SF_SMALL)
+    size = lambda p: sum(f.stat().st_size for f in pathlib.Path(p).glob("part-*"))
+    flow_csv.write_kdd_csv(kdd_frame(spark, SF_SMALL), plain)
+    assert size(packed.removeprefix("file:")) * 3 < size(plain)
+    a, b = flow_csv.read_kdd(spark, plain), flow_csv.read_kdd(spark, packed)
+    assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 < a.count()
+    flow_csv.write_kdd_csv(kdd_frame(spark, SF_SMALL), str(tmp_path / "many"), compression="gzip", file_rows=500)
+    many = spark.read.text(str(tmp_path / "many")).groupBy("_metadata.file_name").count().collect()
+    assert max(r["count"] for r in many) <= 500 and sum(r["count"] for r in many) == a.count()
