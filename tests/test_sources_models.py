@@ -338,3 +338,18 @@ def test_kdd_scratch_is_written_compressed(spark, tmp_path):
     flow_csv.write_kdd_csv(kdd_frame(spark, SF_SMALL), str(tmp_path / "many"), compression="gzip", file_rows=500)
     many = spark.read.text(str(tmp_path / "many")).groupBy("_metadata.file_name").count().collect()
     assert max(r["count"] for r in many) <= 500 and sum(r["count"] for r in many) == a.count()
+
+
+def test_training_frames_are_dealt_by_cells(spark, monkeypatch):
+    from flowguard.operators.features import assemble_features
+
+    monkeypatch.setattr(session, "TASK_CELLS", 1200)
+    rows = spark.range(1000, numPartitions=1).withColumn("x", F.lit(1.0))
+    for frame, most in ((rows, 120), (assemble_features(rows, ["id", "x"]).select("id", "features"), 110)):
+        df = session.materialize(frame)
+        held = df.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in held) <= most * 1.1 and sum(r["count"] for r in held) == 1000
+        assert df.agg(F.count_distinct("id")).first()[0] == 1000
+        files = df.inputFiles()
+        session.drop_table(df)
+        assert not any(pathlib.Path(f.removeprefix("file://")).exists() for f in files)
