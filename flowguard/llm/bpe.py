@@ -70,7 +70,7 @@ class ByteBpe:
         self.older: dict[str, tuple[int, ...]] = {}
 
     def __reduce__(self):
-        return coder, (self.source,)
+        return ByteBpe, (self.source,)  # a worker's copy and what it remembers go with its broadcast, not with the process
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -159,7 +159,7 @@ class ByteBpe:
 
 @lru_cache(1)
 def coder(source: str) -> ByteBpe:
-    """The tokenizer of a file's content: one per process, which tasks share one after another."""
+    """The driver's tokenizer of a file's content."""
     return ByteBpe(source)
 
 

@@ -62,6 +62,13 @@ def with_columns(frame: DataFrame, keep: list[str], new: dict[str, str]) -> Stru
     return StructType([*frame.select(*[F.col(f"`{k}`") for k in keep]).schema.fields, *more.fields])
 
 
+def beside_text(docs: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, int]:
+    """The ``keep`` columns and the text that a task reads, and that column's number: a text that is kept isn't sent twice."""
+    if text in keep:
+        return docs.select(*keep), keep.index(text)
+    return docs.select(*keep, F.col(text).alias("__text")), len(keep)
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver's JVM collect its garbage, so that Spark deletes the shuffle files of finished steps."""
     gc.collect()

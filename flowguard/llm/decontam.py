@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import CHUNK_CHARS, least, permutations, plain_words, shingles, small_batches, texts_of, with_columns
+from flowguard.llm.common import CHUNK_CHARS, beside_text, least, permutations, plain_words, shingles, small_batches, texts_of, with_columns
 
 #: Bytes of item text that a pass over the documents takes (expected; one item is never divided).
 BLOCK_BYTES = 4 << 20
@@ -153,19 +153,19 @@ def mark(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text: str =
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("containment", pa.float64())]))
     keep = [c for c in docs.columns if c != column]
     out = docs.select(*keep).withColumn(column, F.array().cast("array<struct<item_id:long,containment:double>>"))
+    width = len(keep)
     for rows in item_blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(Items(rows, threshold))
-        width = len(keep) + 2
+        frame, at = beside_text(out, [*keep, column], text)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
             block = shared.value
-            for batch in small_batches(batches, width - 1, CHUNK_CHARS):
-                before = batch.column(width - 2).to_pylist()
-                now = block.found(texts_of(batch.column(width - 1)))
+            for batch in small_batches(batches, at, CHUNK_CHARS):
+                before = batch.column(width).to_pylist()
+                now = block.found(texts_of(batch.column(at)))
                 both = [[*(b or []), *({"item_id": i, "containment": c} for i, c in x)] for b, x in zip(before, now)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(both, kind)], names=[*batch.schema.names[:-2], column])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(both, kind)], names=[*batch.schema.names[:width], column])
 
-        frame = out.select(*keep, column, F.col(text).alias("__text"))
         out = frame.mapInArrow(run, with_columns(frame, keep, {column: "array<struct<item_id:long,containment:double>>"}))
     return out
 

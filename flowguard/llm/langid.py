@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import small_batches, texts_of, with_columns
+from flowguard.llm.common import beside_text, small_batches, texts_of, with_columns
 
 #: Most frequent n-grams (one to three letters, a space marks a word's edge) in a profile.
 PROFILE = 400
@@ -125,18 +125,18 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", prefix: st
     """
     new = {f"{prefix}pred": "string", f"{prefix}score": "double", f"{prefix}distance": "double"}
     keep = [c for c in docs.columns if c not in new]
-    frame = docs.select(*keep, F.col(text).alias("__text"))
+    frame, at = beside_text(docs, keep, text)
     schema = with_columns(frame, keep, new)
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    width = len(frame.columns)
+    width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in small_batches(batches, width - 1):
-            found = [model.predict(t) for t in texts_of(batch.column(width - 1))]
+        for batch in small_batches(batches, at):
+            found = [model.predict(t) for t in texts_of(batch.column(at))]
             name, score, away = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(away, pa.float64())],
-                                             names=[*batch.schema.names[:-1], *new])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(away, pa.float64())],
+                                             names=[*batch.schema.names[:width], *new])
 
     return frame.mapInArrow(run, schema)
 

@@ -1,13 +1,16 @@
 """Operators on single texts: BPE, PII, toxicity, language ID, pseudo-likelihood; brute force or held-out accuracy."""
 
+import gc
 import hashlib
+import pickle
 import random
 import re
+import weakref
 
 import numpy as np
 import pytest
 from corpus_pipeline import tokenizer_path
-from flowguard.llm import bpe, langid, pii, pseudolm, toxicity
+from flowguard.llm import bpe, decontam, langid, pii, pseudolm, toxicity
 from flowguard.llm.common import held_out, plain_words, table, words
 from pyspark.sql import functions as F
 
@@ -75,6 +78,31 @@ def test_bpe_forgetting_changes_nothing(coder, monkeypatch):
     assert bpe.ByteBpe(coder.source).encode(text) == coder.encode(text)
 
 
+def test_bpe_memory_goes_with_its_broadcast(coder):
+    """A worker keeps a broadcast only while its tasks use it: no copy of the tokenizer may stay beside it."""
+    copy, other = (pickle.loads(pickle.dumps(coder)) for _ in range(2))
+    text = "a worker's copy, remembering"
+    assert copy is not other and copy.encode(text) == coder.encode(text)
+    gone = weakref.ref(copy)
+    del copy
+    gc.collect()
+    assert gone() is None
+
+
+def test_a_kept_text_is_sent_once(spark):
+    rows = spark.createDataFrame([(1, "one two three four five six seven eight nine", "x"), (2, None, "y")], "doc_id long, text string, body string")
+    items = spark.createDataFrame([(7, "two three four five six seven eight")], "item_id long, text string")
+    held = langid.Profiles({"en": [int(c) for c in langid.ranked(*langid.grams("one two three"))]})
+    for found in (langid.identify(rows, held), decontam.mark(rows, items)):
+        assert "__text" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.select("text").collect() == rows.select("text").collect()
+    assert [len(r["contained_items"]) for r in decontam.mark(rows, items).orderBy("doc_id").collect()] == [1, 0]
+    other = decontam.mark(rows.drop("body").withColumnRenamed("text", "said").selectExpr("doc_id", "struct(said) AS in"), items, text="in.said")
+    assert other.columns == ["doc_id", "in", "contained_items"]
+    assert [len(r["contained_items"]) for r in other.orderBy("doc_id").collect()] == [1, 0]
+    assert [r["lang_pred"] for r in langid.identify(rows, held).orderBy("doc_id").collect()] == ["en", "und"]
+
+
 def test_bpe_frame(spark, docs, library):
     out = bpe.encode_decode(docs.limit(200), tokenizer_path(), digests=True).collect()
     for r in out:
