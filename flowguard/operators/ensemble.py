@@ -32,8 +32,14 @@ def hard_vote(df: DataFrame, pred_cols: Sequence[str], output_col: str = "predic
 def soft_vote_probability(
     df: DataFrame, prob_cols: Sequence[str], output_col: str = "ensemble_probability",
 ) -> DataFrame:
-    """Mean of probability vectors/arrays (zero-padded, nulls left out)."""
-    return df.withColumn(output_col, soft_vote_probability_expr([_as_array(df, c) for c in prob_cols]))
+    """Mean of probability vectors/arrays (zero-padded, nulls left out).
+
+    Each vector becomes an array once per row: the mean reads it at every position, and as part of that
+    expression it would be converted anew each time.
+    """
+    arrays = {f"__array_{i}": _as_array(df, c) for i, c in enumerate(prob_cols)}
+    told = df.select("*", *[a.alias(n) for n, a in arrays.items()])
+    return told.withColumn(output_col, soft_vote_probability_expr([F.col(n) for n in arrays])).drop(*arrays)
 
 
 def vector_argmax(df: DataFrame, col: str, output_col: str = "prediction") -> DataFrame:

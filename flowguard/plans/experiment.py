@@ -4,8 +4,8 @@ Data movement:
   * the raw flows are read once: the prepared rows are written as a parquet table in the shared
     folder with a random draw per row, and every split of it is a filter;
   * the feature pipeline fit reads the training part once (StringIndexer counts);
-  * the assembled training frame is checkpointed to the shared folder and persisted, because
-    every MLlib fit iterates over it (lost executors recompute from the checkpoint files);
+  * the assembled training frame is checkpointed to the shared folder and persisted on disk, because
+    every MLlib fit reads it some times (lost executors recompute from the checkpoint files);
   * the test part is read ONCE: all models score it in a chain of ``transform`` calls, the
     votes are column expressions, and one ``groupBy`` produces the confusion counts of every
     model; that table (models x classes^2 rows) is checkpointed and feeds all metrics.

@@ -93,7 +93,10 @@ TASK_CELLS = 30_000_000
 
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
-    """``write_table``, cached: for frames that MLlib reads again and again.
+    """``write_table``, cached on disk: for frames that MLlib's fits read a few times each.
+
+    What a fit iterates over it keeps in memory itself (blocks of a gradient, bagged rows of trees), many times as
+    large as the frame: the memory is left to that.
 
     A file split holds as many rows as its format packs into some bytes, and what a fit keeps of a row
     can be a hundred times that: rows are dealt out anew where a task would get more than ``TASK_CELLS``.
@@ -103,7 +106,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     parts = -(-out.count() * width // TASK_CELLS)  # a count from the file footers
     if out.rdd.getNumPartitions() < parts:
         out = out.repartition(parts)
-    return out.persist(StorageLevel.MEMORY_AND_DISK)
+    return out.persist(StorageLevel.DISK_ONLY)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

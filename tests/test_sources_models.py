@@ -3,11 +3,14 @@
 import pathlib
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from conftest import SF_SMALL
 from flowguard import session
 from flowguard.config import ExperimentConfig
+from flowguard.operators.ensemble import soft_vote
 from flowguard.operators.models import build_classifier, select_models
 from flowguard.plans.experiment import run_experiment
 from flowguard.session import checkpoint_dir, scratch_path
@@ -353,3 +356,20 @@ def test_training_frames_are_dealt_by_cells(spark, monkeypatch):
         files = df.inputFiles()
         session.drop_table(df)
         assert not any(pathlib.Path(f.removeprefix("file://")).exists() for f in files)
+
+
+def test_training_frames_leave_memory_to_the_fits(spark):
+    df = session.materialize(spark.range(10).toDF("x"))
+    assert df.storageLevel.useDisk and not df.storageLevel.useMemory
+    session.drop_table(df)
+
+
+def test_soft_vote_converts_a_vector_once(spark):
+    """Not at each position of the mean: the plan holds one conversion per voter. Columns keep their places."""
+    rows = [(1, Vectors.dense(0.2, 0.8), 9.0, Vectors.dense(0.6, 0.3)), (2, Vectors.dense(0.9, 0.1), 9.0, Vectors.dense(0.5, 0.25, 0.25))]
+    df = spark.createDataFrame(rows, StructType([StructField("id", LongType()), StructField("p", VectorUDT()), StructField("mean", DoubleType()), StructField("q", VectorUDT())]))
+    out = soft_vote(df, ["p", "q"], "vote", "mean")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("UDF(") == 2
+    assert out.columns == ["id", "p", "mean", "q", "vote"]
+    found = {r["id"]: ([round(x, 6) for x in r["mean"]], r["vote"]) for r in out.collect()}
+    assert found == {1: ([0.4, 0.55], 1.0), 2: ([0.7, 0.175, 0.125], 0.0)}
