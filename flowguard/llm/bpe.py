@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -26,12 +27,13 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import small_batches, texts_of, with_columns
 
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pieces, and pre-tokens, whose ids are remembered per Python worker; results don't depend on it.
+#: Pieces and pre-tokens, together, whose ids are remembered per Python worker; results don't depend on it.
 REMEMBERED = 400_000
 
 _WS = "\t-\r \x85\xa0  -     　"  # Unicode White_Space
-#: A piece is white space and the run of other characters after it. No pre-token crosses pieces.
-PIECE = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+#: A piece is white space and the run of other characters after it. No pre-token crosses pieces. Plain words and the full stop
+#: or comma after them are pieces of their own (each is a pre-token), so that a word is remembered once.
+PIECE = re.compile(f" ?[A-Za-z]+(?=[.,]?(?:[{_WS}]|\\Z))|[.,](?=[{_WS}]|\\Z)|[{_WS}]*[^{_WS}]+|[{_WS}]+")
 #: Fixed value: the published pre-token pattern of this vocabulary.
 PRETOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
@@ -59,98 +61,97 @@ class ByteBpe:
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.byte_ids = [vocabulary[c] for c in byte_characters()]
         self.rank_of: dict[int, int] = {}
+        self.after: dict[int, dict[int, int]] = dict.fromkeys(vocabulary.values(), {})  # by left symbol: rank by right symbol
         self.parts: list[tuple[int, int, int]] = []  # by rank: left, right and merged symbol
         for rank, m in enumerate(model["merges"]):
             left, right = m.split(" ") if isinstance(m, str) else m
             self.parts.append((vocabulary[left], vocabulary[right], vocabulary[left + right]))
             self.rank_of[vocabulary[left] << 32 | vocabulary[right]] = rank
+            self.after[vocabulary[left]] = self.after[vocabulary[left]] or {}
+            self.after[vocabulary[left]][vocabulary[right]] = rank
         self.decimal = [str(i) for i in range(max(self.strings) + 1)]
-        self.tokens: dict[str, tuple[int, ...]] = {}
-        self.remembered: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.byte_ranks = [self.rank_of.get(a << 32 | b) for a in self.byte_ids for b in self.byte_ids]  # by both bytes
+        self.remembered: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.older: dict[str, bytes] = {}
 
     def __reduce__(self):
         return ByteBpe, (self.source,)  # a worker's copy and what it remembers go with its broadcast, not with the process
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ids = [self.byte_ids[b] for b in data]
-        n = len(ids)
-        if n < 2:
+        n = len(data)
+        byte_ranks, ranks, parts = self.byte_ranks, self.after, self.parts
+        # rank and position of the left symbol in one integer (a small one, if it can be): lowest rank first, then leftmost
+        bits = 14 if n <= 1 << 14 else 32
+        place = (1 << bits) - 1
+        queue = [rank << bits | i for i, (a, b) in enumerate(zip(data, data[1:])) if (rank := byte_ranks[a << 8 | b]) is not None]
+        ids = list(map(self.byte_ids.__getitem__, data))
+        if not queue:
             return ids
-        rank_of, parts = self.rank_of.get, self.parts
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        queue = []  # rank and position of the left symbol in one integer: lowest rank first, then leftmost
-        for i in range(n - 1):
-            rank = rank_of(ids[i] << 32 | ids[i + 1])
-            if rank is not None:
-                queue.append(rank << 32 | i)
         heapify(queue)
+        ids.append(-1)  # follows the last symbol
+        before, after = [*range(-1, n)], [*range(1, n + 2)]
         while queue:
             entry = heappop(queue)
-            i = entry & 0xFFFFFFFF
-            left, right, new = parts[entry >> 32]
+            i = entry & place
+            left, right, new = parts[entry >> bits]
+            if ids[i] != left:
+                continue  # stale: the left symbol has gone
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
-                continue  # stale: one of the two symbols has gone
+            if ids[j] != right:
+                continue  # stale: the right symbol has gone
             ids[i] = new
             ids[j] = -1
             k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-                rank = rank_of(new << 32 | ids[k])
-                if rank is not None:
-                    heappush(queue, rank << 32 | i)
+            before[k] = i
+            rank = ranks[new].get(ids[k])
+            if rank is not None:
+                heappush(queue, rank << bits | i)
             h = before[i]
             if h >= 0:
-                rank = rank_of(ids[h] << 32 | new)
+                rank = ranks[ids[h]].get(new)
                 if rank is not None:
-                    heappush(queue, rank << 32 | h)
+                    heappush(queue, rank << bits | h)
         return [x for x in ids if x >= 0]
 
-    def pretoken(self, text: str) -> tuple[int, ...]:
-        found = self.tokens.get(text)
-        if found is None:
-            found = tuple(self.merge(text.encode("utf-8", "surrogatepass")))
-            if len(text) <= 64:
-                if len(self.tokens) >= REMEMBERED:
-                    self.tokens = {}
-                self.tokens[text] = found
-        return found
-
-    def piece(self, text: str) -> tuple[int, ...]:
+    def piece(self, text: str, whole: bool = False) -> bytes:
+        """Ids of a piece; it is one pre-token if ``whole``."""
+        found = self.remembered.get(text)
+        if found is not None:
+            return found
         found = self.older.pop(text, None)
         if found is None:
-            if (text[1:] if text[0] == " " else text).isalpha():
-                found = self.pretoken(text)  # letters only: one pre-token
+            if whole or (text[1:] if text[0] == " " else text).isalpha():  # letters only: one pre-token
+                found = array("i", self.merge(text.encode("utf-8", "surrogatepass"))).tobytes()
             else:
-                found = tuple(i for t in PRETOKEN.findall(text) for i in self.pretoken(t))
+                found = b"".join([self.piece(t, True) for t in PRETOKEN.findall(text)])
         if len(text) <= 64:
             if len(self.remembered) >= REMEMBERED // 2:
                 self.older, self.remembered = self.remembered, {}
             self.remembered[text] = found
         return found
 
-    def _plain(self, text: str, out: list[int]) -> None:
-        known = self.remembered
-        for p in PIECE.findall(text):
-            found = known.get(p)
-            if found is None:
-                found = self.piece(p)
-                known = self.remembered
-            out += found
+    def _plain(self, text: str) -> bytes:
+        pieces = PIECE.findall(text)
+        found = list(map(self.remembered.get, pieces))
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            found[at] = self.piece(pieces[at])
+        return b"".join(found)
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers. A special token's string becomes its id, as the tokenizers library does."""
+        if not self.special_pattern or "<" not in text:
+            return self._plain(text)
+        out, at = [], 0
+        for m in self.special_pattern.finditer(text):
+            out += self._plain(text[at : m.start()]), array("i", [self.special[m[0]]]).tobytes()
+            at = m.end()
+        return b"".join([*out, self._plain(text[at:])])
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text. A special token's string becomes its id, as the tokenizers library does."""
-        out: list[int] = []
-        at = 0
-        if self.special_pattern and "<" in text:
-            for m in self.special_pattern.finditer(text):
-                self._plain(text[at : m.start()], out)
-                out.append(self.special[m[0]])
-                at = m.end()
-        self._plain(text[at:] if at else text, out)
-        return out
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The vocabulary strings of ``ids``, joined; bytes that are no UTF-8 become U+FFFD."""
@@ -199,20 +200,23 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str | Non
         for batch in small_batches(batches, 0):
             count, first, second = [], [], []
             for text in texts_of(batch.column(0)):
-                found = bpe.encode(text)
-                back = bpe.decode(found)
-                count.append(len(found))
+                coded = bpe.packed(text)
+                count.append(len(coded) // 4)
                 if digests:
+                    found = array("i", coded).tolist()
                     first.append(hashlib.sha256(",".join(map(bpe.decimal.__getitem__, found)).encode()).hexdigest())
-                    second.append(hashlib.sha256(back.encode()).hexdigest())
+                    second.append(hashlib.sha256(bpe.decode(found).encode()).hexdigest())
                 else:
-                    first.append(np.array(found, np.int32) if ids else None)
-                    second.append(back if decoded else None)
+                    first.append(coded if ids else b"")
+                    second.append(bpe.decode(array("i", coded)) if decoded else None)
             values = [pa.array(count, pa.int64())]
             if digests:
                 values += [pa.array(first, pa.string()), pa.array(second, pa.string())]
             else:
-                values += [pa.array(first, pa.list_(pa.int32()))] * bool(ids) + [pa.array(second, pa.string())] * bool(decoded)
+                if ids:
+                    flat = pa.Array.from_buffers(pa.int32(), sum(count), [None, pa.py_buffer(b"".join(first))])
+                    values.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *count]), pa.int32()), flat))
+                values += [pa.array(second, pa.string())] * bool(decoded)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *values], names=[*batch.schema.names[1:], *new])
 
     return frame.mapInArrow(run, schema)

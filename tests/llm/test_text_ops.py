@@ -78,6 +78,21 @@ def test_bpe_forgetting_changes_nothing(coder, monkeypatch):
     assert bpe.ByteBpe(coder.source).encode(text) == coder.encode(text)
 
 
+def test_bpe_remembers_a_word_once(coder, library, monkeypatch):
+    """With a full stop or comma or without, and all that is remembered is bounded together."""
+    copy = bpe.ByteBpe(coder.source)
+    copy.encode("one, one. one")
+    assert sorted(copy.remembered) == [" one", ",", ".", "one"]
+    rng = random.Random(5)
+    bits = ["the", " of", "Tion", ".", ",", "'s", "'", " ", "\n", "  ", "é", "1", "　", ".,", "?"]
+    monkeypatch.setattr(bpe, "REMEMBERED", 60)
+    copy = bpe.ByteBpe(coder.source)
+    for _ in range(2000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(12)))
+        assert copy.encode(text) == library.encode(text, add_special_tokens=False).ids, text
+        assert sum(len(held) for name, held in vars(copy).items() if name in ("tokens", "remembered", "older")) <= 61
+
+
 def test_bpe_memory_goes_with_its_broadcast(coder):
     """A worker keeps a broadcast only while its tasks use it: no copy of the tokenizer may stay beside it."""
     copy, other = (pickle.loads(pickle.dumps(coder)) for _ in range(2))
