@@ -130,6 +130,17 @@ def test_bpe_frame(spark, docs, library):
     assert bpe.encode_decode(odd(spark).limit(0), tokenizer_path()).count() == 0
 
 
+def test_bpe_ids_column(spark, library):
+    """The ids as a column: of null, empty and odd texts, with and without the decoded text."""
+    got = {r["doc_id"]: r for r in bpe.encode_decode(odd(spark), tokenizer_path(), keep=["doc_id", "text"]).collect()}
+    for r in got.values():
+        assert r["token_ids"] == library.encode(r["text"] or "", add_special_tokens=False).ids and r["n_tokens"] == len(r["token_ids"])
+        assert r["decoded"] == library.decode(r["token_ids"], skip_special_tokens=False)
+    alone = bpe.encode_decode(odd(spark), tokenizer_path(), keep=["doc_id"], decoded=None)
+    assert alone.columns == ["doc_id", "n_tokens", "token_ids"]
+    assert {r["doc_id"]: r["token_ids"] for r in alone.collect()} == {i: r["token_ids"] for i, r in got.items()}
+
+
 # --- PII ---------------------------------------------------------------------------------------
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
