@@ -90,6 +90,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 #: Cells of a partition of a frame that is cached for fits: its rows times (8 + their values, those of vectors included).
 TASK_CELLS = 30_000_000
+#: Fewer cells than this are not worth a task of their own.
+MIN_TASK_CELLS = 500_000
+
+
+def task_count(cells: int, slots: int) -> int:
+    """Tasks of one size for ``cells`` on ``slots`` cores: all cores busy if there is enough for each, whole waves beyond.
+
+    A frame is read hundreds of times by the rounds of boosted trees, each as long as its last wave.
+    """
+    parts = -(-cells // TASK_CELLS)
+    if parts > slots:
+        return -(-parts // slots) * slots
+    return max(parts, min(slots, -(-cells // MIN_TASK_CELLS)))
 
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
@@ -99,13 +112,15 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     large as the frame: the memory is left to that.
 
     A file split holds as many rows as its format packs into some bytes, and what a fit keeps of a row
-    can be a hundred times that: rows are dealt out anew where a task would get more than ``TASK_CELLS``.
+    can be a hundred times that: rows are dealt out anew where a task would get more than ``TASK_CELLS``, where
+    cores would be left idle (``task_count``), and where the splits' last wave would be a part of one.
     """
     out = write_table(df, name)
     width = 8 + sum(f.metadata.get("ml_attr", {}).get("num_attrs", 1) for f in df.schema.fields)
-    parts = -(-out.count() * width // TASK_CELLS)  # a count from the file footers
-    if out.rdd.getNumPartitions() < parts:
-        out = out.repartition(parts)
+    slots, found = out.sparkSession.sparkContext.defaultParallelism, out.rdd.getNumPartitions()
+    parts = task_count(out.count() * width, slots)  # a count from the file footers
+    if found < parts or (found > slots and -(-found // slots) * slots > 1.1 * found):
+        out = out.repartition(max(parts, 1))
     return out.persist(StorageLevel.DISK_ONLY)
 
 

@@ -358,6 +358,25 @@ def test_training_frames_are_dealt_by_cells(spark, monkeypatch):
         assert not any(pathlib.Path(f.removeprefix("file://")).exists() for f in files)
 
 
+def test_training_frames_keep_all_cores_busy(spark, monkeypatch):
+    """A frame of few file splits goes to every core, a split more than the cores have makes no second wave."""
+    slots = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(session, "MIN_TASK_CELLS", 900, raising=False)  # 100 rows of 9 cells
+    for files in (1, slots + 1):
+        df = session.materialize(spark.range(200 * slots, numPartitions=files))
+        held = df.groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) == df.rdd.getNumPartitions() == slots
+        assert max(r["count"] for r in held) <= 1.2 * 200 and df.agg(F.count_distinct("id")).first()[0] == 200 * slots
+        session.drop_table(df)
+    small = session.materialize(spark.range(90, numPartitions=1))
+    assert small.rdd.getNumPartitions() == 1
+    session.drop_table(small)
+    monkeypatch.undo()
+    tasks = session.task_count
+    assert [tasks(n, 12) for n in (0, 1, 600_000, 6_000_000, 60_000_000)] == [0, 1, 2, 12, 12]
+    assert [tasks(n * session.TASK_CELLS, 12) for n in (12, 13, 24, 25)] == [12, 24, 24, 36]
+
+
 def test_training_frames_leave_memory_to_the_fits(spark):
     df = session.materialize(spark.range(10).toDF("x"))
     assert df.storageLevel.useDisk and not df.storageLevel.useMemory
