@@ -12,6 +12,7 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "flowguard", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -113,14 +114,17 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
 
     A file split holds as many rows as its format packs into some bytes, and what a fit keeps of a row
     can be a hundred times that: rows are dealt out anew where a task would get more than ``TASK_CELLS``, where
-    cores would be left idle (``task_count``), and where the splits' last wave would be a part of one.
+    cores would be left idle (``task_count``), and where the longest split or a part of a wave would keep them waiting.
     """
     out = write_table(df, name)
     width = 8 + sum(f.metadata.get("ml_attr", {}).get("num_attrs", 1) for f in df.schema.fields)
-    slots, found = out.sparkSession.sparkContext.defaultParallelism, out.rdd.getNumPartitions()
-    parts = task_count(out.count() * width, slots)  # a count from the file footers
-    if found < parts or (found > slots and -(-found // slots) * slots > 1.1 * found):
-        out = out.repartition(max(parts, 1))
+    slots = out.sparkSession.sparkContext.defaultParallelism
+    held = out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))  # no column is read
+    rows, most = held.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    found, parts = out.rdd.getNumPartitions(), max(task_count(rows * width, slots), 1)
+    longest, even = -(-found // slots) * most, -(-parts // slots) * -(-rows // parts)  # rows that a core reads, at worst
+    if found < parts or longest > 1.1 * even:
+        out = out.repartition(parts)
     return out.persist(StorageLevel.DISK_ONLY)
 
 

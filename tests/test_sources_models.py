@@ -368,6 +368,10 @@ def test_training_frames_keep_all_cores_busy(spark, monkeypatch):
         assert len(held) == df.rdd.getNumPartitions() == slots
         assert max(r["count"] for r in held) <= 1.2 * 200 and df.agg(F.count_distinct("id")).first()[0] == 200 * slots
         session.drop_table(df)
+    skewed = spark.range(200 * slots).repartitionByRange(slots, F.when(F.col("id") < 100 * slots, 0).otherwise(F.col("id")))
+    df = session.materialize(skewed)  # a split with half of the rows
+    assert max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) <= 1.2 * 200
+    session.drop_table(df)
     small = session.materialize(spark.range(90, numPartitions=1))
     assert small.rdd.getNumPartitions() == 1
     session.drop_table(small)
