@@ -396,3 +396,31 @@ def test_soft_vote_converts_a_vector_once(spark):
     assert out.columns == ["id", "p", "mean", "q", "vote"]
     found = {r["id"]: ([round(x, 6) for x in r["mean"]], r["vote"]) for r in out.collect()}
     assert found == {1: ([0.4, 0.55], 1.0), 2: ([0.7, 0.175, 0.125], 0.0)}
+
+
+def test_wide_stages_run_in_methods_the_jvm_compiles(spark, monkeypatch):
+    """What an experiment writes and fits runs under the limit; the caller's setting comes back, a lower one stays."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from flowguard.plans import experiment
+
+    seen, write, fit = [], DataFrameWriter.parquet, experiment.train_models
+    limit = lambda: int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    before = limit()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: (seen.append(("write", limit())), write(*a, **k))[1])
+    monkeypatch.setattr(experiment, "train_models", lambda *a, **k: (seen.append(("fit", limit())), fit(*a, **k))[1])
+    rows = spark.range(60).select((F.col("id") % 7).cast("double").alias("x"), F.col("id").cast("double").alias("y"),
+                                  F.when(F.col("id") % 3 == 0, "BENIGN").otherwise("DDoS").alias("label"))
+    experiment.run_experiment(rows, ExperimentConfig(split="random", sample_fraction=1.0, models=("nb",))).release(results=True)
+    assert {kind for kind, _ in seen} == {"write", "fit"}
+    assert seen[0] == ("write", 8000) and all(n == 8000 for kind, n in seen if kind == "fit") and limit() == before
+    with session.compiled_methods(spark), session.compiled_methods(spark):
+        assert limit() == 8000
+    assert limit() == before
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "500")
+    try:
+        with session.compiled_methods(spark):
+            assert limit() == 500
+        assert limit() == 500
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
