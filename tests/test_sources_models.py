@@ -424,3 +424,75 @@ def test_wide_stages_run_in_methods_the_jvm_compiles(spark, monkeypatch):
         assert limit() == 500
     finally:
         spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+
+
+def _kdd_line(**cells):
+    line = [str(i) for i in range(41)] + ["normal."]
+    for place, cell in cells.items():
+        line[int(place[1:])] = cell
+    return ",".join(line)
+
+
+def test_kdd_lines_are_cut_as_the_csv_reader_cuts_them(spark, tmp_path):
+    """Plain lines at their commas, others by the parser; each number is made once for the filter and the rows."""
+    from flowguard.plans.experiment import prepare
+    from flowguard.session import made_once
+
+    line = _kdd_line
+    lines = [line(), line(c1='"a,b"'), line(c1='a"b'), line(c1='\\"x'), line(c0=" 1.5 ", c1=" tcp "), line(c0="", c1="", c41=""), line(c1='""'),
+             line(c0="inf", c4="NaN", c5="-Infinity", c6="1e400", c7="1d", c8="x", c9='"7"'), "   ", "", "\t", "\x00", line(c1="é😀", c41="back.."),
+             line(c2="\\"), line(c1="a\x00b"), "\x00" + line(), "#" + line(), line(c3='"open'), line(c1='"a""b"'), line() + ",9", line() + ",", "a,b", ",", "," * 41, "," * 42]
+    (tmp_path / "kdd").write_bytes("\n".join(lines).encode() + b"\r\n" + line(c1="\xff").encode("latin1") + b"\r" + line(c1="last").encode())
+    names = [*flow_csv.KDD_COLUMNS, flow_csv.RAGGED]
+    raw = (spark.read.schema(", ".join(f"`{c}` string" for c in names)).option("columnNameOfCorruptRecord", flow_csv.RAGGED)
+           .option("columnPruning", False).csv(str(tmp_path / "kdd")))
+    meant = flow_csv.strip_label_dot(flow_csv.cast_numeric(raw, flow_csv.KDD_NUMERIC), "label")
+    found = flow_csv.read_kdd(spark, str(tmp_path / "kdd"), rejects=True)
+    rows = lambda df: sorted(map(repr, df.select(names).collect()))
+    assert rows(found) == rows(meant) and len(rows(found)) > 20
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        strict = prepare(made_once(flow_csv.read_kdd(spark, str(tmp_path / "kdd"))), ExperimentConfig(dataset="kdd"))
+        plan = strict._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("try_cast(") == len(flow_csv.KDD_NUMERIC) and plan.count("split(") == 1
+
+
+def test_kdd_lines_are_the_csv_writers(spark, tmp_path):
+    """Byte for byte, whether the writer is asked for a row or not."""
+    from flowguard.checks.q_sources import kdd_frame
+
+    texts = ["tcp", None, "", "a,b", 'a"b', "a\\b", " lead", "trail ", "a b", "#c", "x\ny", "x\n", "é", "\t", "normal.", "-"]
+    numbers = [1.0, None, float("nan"), float("inf"), -0.0, 1e300, 1e-7, 3.0]
+    rows = [(t, numbers[i % 8]) for i, t in enumerate(texts)]
+    odd = spark.createDataFrame(rows, "t string, x double").coalesce(1)
+    odd = odd.select([F.col("t" if c in ("protocol_type", "flag", "label") else "x").alias(c) for c in flow_csv.KDD_COLUMNS])
+    for name, df in (("odd", odd), ("texts", odd.select([F.col(c).cast("string") for c in flow_csv.KDD_COLUMNS])), ("flows", kdd_frame(spark, SF_SMALL))):
+        flow_csv.write_kdd_csv(df, str(tmp_path / name))
+        df.select([F.col(c).cast("string") for c in flow_csv.KDD_COLUMNS]).write.csv(str(tmp_path / f"{name}-csv"))
+        content = [b"".join(f.read_bytes() for f in sorted((tmp_path / n).glob("part-*"))) for n in (name, f"{name}-csv")]
+        assert content[0] == content[1] != b""
+
+
+def test_training_rows_are_not_written_again(spark):
+    """They are cached from the prepared table, dealt evenly by their draws; ``release`` leaves the caller's table."""
+    from flowguard.plans.experiment import prepare_flows
+
+    slots = spark.sparkContext.defaultParallelism
+    cfg = ExperimentConfig(mode="multiclass", split="random", sample_fraction=1.0, models=("nb",), class_weights=False)
+    flows = prepare_flows(lineitem_flows(spark, SF_SMALL).drop("l_orderkey", "l_linenumber"), cfg)
+    scratch = pathlib.Path(checkpoint_dir(spark).removeprefix("file:")) / "flowguard-scratch"
+    before = {f.name for f in scratch.iterdir()}
+    res = run_experiment(flows, cfg)
+    assert {f.name.split("-")[0] for f in scratch.iterdir() if f.name not in before} == {"confusion"}
+    train, = res.persisted
+    assert train.columns == ["label_idx", "features"] and train.storageLevel.useDisk and not train.storageLevel.useMemory
+    res.release()
+    assert not train.storageLevel.useDisk and flows.rows.count() == 6000
+    flows.release()
+    drawn = spark.range(300_000, numPartitions=1).withColumn("d", F.xxhash64("id") % 1000003)
+    df = session.dealt(drawn, 300_000, "d")
+    held = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert df.columns == ["id"] and len(held) == min(slots, 6) and sum(held) == 300_000 and max(held) < 1.1 * 300_000 / len(held)
+    df.unpersist()
